@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, warc
+from . import license_scan, line_dedup, mixing, topk, warc
 from .common import table
 
 
@@ -18,6 +19,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.curriculum(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -25,6 +34,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
+    "op5_license_scan": op5_license_scan,
+    "op6_top_k": op6_top_k,
     "op9_warc": op9_warc,
 }
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": line_dedup.ORACLE,
+    "op3_mixing": mixing.ORACLE,
+    "op5_license_scan": license_scan.oracle(),
+    "op6_top_k": topk.ORACLE,
+    "op9_warc": warc.ORACLE,
+}
