@@ -71,8 +71,12 @@ _POWERS: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64 and of its inverse, n of each at least."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
-        _POWERS[:] = [np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+        size, tables = max(n, 1 << 20), []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            tables.append(np.cumprod(steps, dtype=np.uint64))
+        _POWERS[:] = tables
     return _POWERS[0], _POWERS[1]
 
 
