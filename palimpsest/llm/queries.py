@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, line_dedup, mixing, topk, toxicity, warc
+from . import digest, license_scan, line_dedup, mixing, topk, toxicity, warc
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
 
 
+def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.successors(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op5_license_scan": op5_license_scan,
     "op6_top_k": op6_top_k,
+    "op7_digest": op7_digest,
     "op9_warc": op9_warc,
 }
 ORACLES: dict[str, str] = {
