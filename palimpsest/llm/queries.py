@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, license_scan, line_dedup, mixing, topk, toxicity, warc
+from . import digest, license_scan, line_dedup, mixing, packing, topk, toxicity, warc
 from .common import table
 
 
@@ -37,6 +37,16 @@ def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.successors(table(spark, sf_dir, "documents"))
 
 
+def _tokenizer() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), *_tokenizer())
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -48,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_top_k": op6_top_k,
     "op7_digest": op7_digest,
+    "op8_packing": op8_packing,
     "op9_warc": op9_warc,
 }
 ORACLES: dict[str, str] = {
