@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, license_scan, line_dedup, mixing, packing, topk, toxicity, warc
+from . import digest, license_scan, line_dedup, mixing, near_dup, packing, topk, toxicity, warc
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_digest": op7_digest,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
