@@ -11,8 +11,11 @@ that repeat are documents of their own; columns that the operator doesn't need a
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,16 +63,27 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_r
     return ranked.select("source", "source_size", "weight", F.least(capped.cast("double"), F.lit(level) * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, slopes: tuple[float, ...] = (0.5, 0.0, -0.5), weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, carry: tuple[str, ...] = ()) -> DataFrame:
+SLOPES = (0.5, 0.0, -0.5)
+
+
+def _due(share, weight, weights: tuple[float, ...], slopes: tuple[float, ...]):
+    due = F.lit(None).cast("double")
+    for w, slope in zip(weights, slopes, strict=True):
+        due = F.when(weight == w, Schedule(slope).due(share)).otherwise(due)
+    return due
+
+
+def mix(docs: DataFrame, slopes: tuple[float, ...] = SLOPES, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, carry: tuple[str, ...] = (), rounds: bool = False) -> DataFrame:
     """``doc_id, size, source_size, target, taken, position`` (and ``carry``) of every document, by position.
 
     A source's documents stand in the order of md5(doc_id). With r = target / source_size, the words taken of a document
     are floor(r * words up to and with it) - floor(r * words before it): they add up to the floor of the target, and none
     has more than ceil(r * size). ``position`` is the time 0..1 at which its first word is due, null if none is taken.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry)
-    if not carry:
-        sized = materialize(sized, "mix-sizes")
+    if "_size" in docs.columns:  # counted before
+        sized = docs.select("doc_id", "source", F.col("_size").alias("size"), *carry)
+    else:
+        sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry), "mix-sizes")
     targets = source_targets(sized, weights, max_repeats)
     # 4096 slices of the md5 order: what precedes a slice is summed first, so that one source fills many tasks.
     placed = sized.withColumn("_at", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
@@ -85,11 +99,11 @@ def mix(docs: DataFrame, slopes: tuple[float, ...] = (0.5, 0.0, -0.5), weights:
     high = F.col("_before") + F.col("_in")
     low = high - F.col("size")
     rows = rows.withColumn("taken", (F.floor(ratio * high) - F.floor(ratio * low)).cast("long"))
-    share = low / F.col("source_size")
-    due = F.lit(None).cast("double")
-    for w, slope in zip(weights, slopes, strict=True):
-        due = F.when(F.col("weight") == w, Schedule(slope).due(share)).otherwise(due)
-    rows = rows.withColumn("position", F.when(F.col("taken") > 0, due))
+    # The source's words come in rounds; the mix has max(1, ratio) of them, and a document is first due in the first.
+    share = low / F.col("source_size") / F.greatest(F.lit(1.0), ratio)
+    rows = rows.withColumn("position", F.when(F.col("taken") > 0, _due(share, F.col("weight"), weights, slopes)))
+    if rounds:
+        return rows.select("doc_id", "size", "taken", "weight", (low / F.col("source_size")).alias("share"), F.greatest(F.lit(1.0), ratio).alias("rounds"), *carry)
     return rows.select("doc_id", "size", "source_size", "target", "taken", "position", *carry)
 
 
@@ -98,6 +112,51 @@ def curriculum(docs: DataFrame, **how) -> DataFrame:
     return mix(docs, **how).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def first_words(text: str, n: int) -> str:
+    """A text up to the end of its n-th word."""
+    end = 0
+    for i, m in enumerate(_WORD.finditer(text)):
+        if i == n:
+            break
+        end = m.end()
+    return text[:end]
+
+
+def _copies(names: list[str]):
+    def copies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            text, part = batch.schema.get_field_index("text"), batch.column(batch.schema.get_field_index("_words")).to_pylist()
+            cut = [t if n is None or t is None else first_words(t, n) for t, n in zip(batch.column(text).to_pylist(), part, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()) if c == "text" else x for c, x in zip(names, columns, strict=True)], names)
+
+    return copies
+
+
+def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The mix itself: the rows of ``docs`` as often as they are taken, range-sorted by training position.
+
+    A document of which the mix takes more words than it has stands once for each whole round, and once more with the
+    first of its words for the rest; one that isn't taken goes. Rows that repeat id and text share evenly what is taken
+    of them. Texts join what is taken of them once, by 64 bits of a hash of id and text.
+    """
+    names, kinds = docs.columns, dict(docs.dtypes)
+    key = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    keyed = materialize(docs.select("doc_id", "source", "text", key.alias("_row")).select("doc_id", "source", word_count(F.col("text")).alias("_size"), "_row"), "mix-sizes")
+    taken = mix(keyed, slopes, weights, max_repeats, ("_row",), rounds=True)
+    by_row = taken.groupBy(F.col("_row").alias("_of")).agg((F.sum("taken") / F.count(F.lit(1))).cast("long").alias("_taken"), F.first("size").alias("_size"), F.first("weight").alias("_weight"), F.min("share").alias("_share"), F.first("rounds").alias("_rounds")).filter("_taken > 0")
+    rows = docs.withColumn("_row", key).join(by_row.hint("shuffle_hash"), F.col("_row") == F.col("_of"))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.col("_size")).cast("int"))))
+    left = F.col("_taken") - F.col("_copy") * F.col("_size")
+    rows = rows.withColumn("_words", F.when(left < F.col("_size"), left))
+    share = F.least(F.lit(1.0), (F.col("_share") + F.col("_copy")) / F.col("_rounds"))
+    rows = rows.withColumn("_at", _due(share, F.col("_weight"), weights, slopes)).orderBy("_at", "_row", "_copy")
+    return rows.select(*names, "_words").mapInArrow(_copies(names), ", ".join(f"`{c}` {kinds[c]}" for c in names))
+
+
 ORACLE = """
 WITH d AS (SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),

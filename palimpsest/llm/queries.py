@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, license_scan, line_dedup, mixing, near_dup, packing, topk, toxicity, warc
+from . import digest, license_scan, line_dedup, mixing, near_dup, packing, substrings, topk, toxicity, warc
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.curriculum(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), bytes_out=False)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -37,14 +41,14 @@ def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.successors(table(spark, sf_dir, "documents"))
 
 
-def _tokenizer() -> tuple[str, str]:
+def tokenizer_files() -> tuple[str, str]:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), *_tokenizer())
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
+    "op4_substrings": op4_substrings,
     "op5_license_scan": op5_license_scan,
     "op6_top_k": op6_top_k,
     "op7_digest": op7_digest,
