@@ -95,15 +95,15 @@ def mix(docs: DataFrame, slopes: tuple[float, ...] = SLOPES, weights: tuple[floa
     rows = rows.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_slice") == F.col("_k")))
     names = targets.select(F.col("source").alias("_t"), "source_size", "weight", "target")
     rows = rows.join(names, F.col("source").eqNullSafe(F.col("_t")))
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    ratio = F.coalesce(F.col("target") / F.nullif("source_size", F.lit(0)), F.lit(0.0))
     high = F.col("_before") + F.col("_in")
     low = high - F.col("size")
     rows = rows.withColumn("taken", (F.floor(ratio * high) - F.floor(ratio * low)).cast("long"))
     # The source's words come in rounds; the mix has max(1, ratio) of them, and a document is first due in the first.
-    share = low / F.col("source_size") / F.greatest(F.lit(1.0), ratio)
+    share = low / F.nullif("source_size", F.lit(0)) / F.greatest(F.lit(1.0), ratio)
     rows = rows.withColumn("position", F.when(F.col("taken") > 0, _due(share, F.col("weight"), weights, slopes)))
     if rounds:
-        return rows.select("doc_id", "size", "taken", "weight", (low / F.col("source_size")).alias("share"), F.greatest(F.lit(1.0), ratio).alias("rounds"), *carry)
+        return rows.select("doc_id", "size", "taken", "weight", (low / F.nullif("source_size", F.lit(0))).alias("share"), F.greatest(F.lit(1.0), ratio).alias("rounds"), *carry)
     return rows.select("doc_id", "size", "source_size", "target", "taken", "position", *carry)
 
 
@@ -149,7 +149,7 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple
     taken = mix(keyed, slopes, weights, max_repeats, ("_row",), rounds=True)
     by_row = taken.groupBy(F.col("_row").alias("_of")).agg((F.sum("taken") / F.count(F.lit(1))).cast("long").alias("_taken"), F.first("size").alias("_size"), F.first("weight").alias("_weight"), F.min("share").alias("_share"), F.first("rounds").alias("_rounds")).filter("_taken > 0")
     rows = docs.withColumn("_row", key).join(by_row.hint("shuffle_hash"), F.col("_row") == F.col("_of"))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.col("_size")).cast("int"))))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.nullif("_size", F.lit(0))).cast("int"))))
     left = F.col("_taken") - F.col("_copy") * F.col("_size")
     rows = rows.withColumn("_words", F.when(left < F.col("_size"), left))
     share = F.least(F.lit(1.0), (F.col("_share") + F.col("_copy")) / F.col("_rounds"))
