@@ -555,9 +555,9 @@ y AS (SELECT *, CASE WHEN p <= 0 THEN 1.0::DOUBLE ELSE 1 + p * 0.8::DOUBLE + pow
 @query(f"""WITH {_KIT_SQL}, z AS (SELECT *, base * 1.2::DOUBLE * (1 + ab + 0.5::DOUBLE) * (1 + du) * (1 - 0.5::DOUBLE * (1 - least(1.0, dd))) AS hit FROM y),
 d AS (SELECT name, (hit * 1.25::DOUBLE + hit * (cm - 1)) * (1::DOUBLE / iv) + hit * m * 3 * CASE WHEN hardcc THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END * (ch / 100 / iv) AS dps,
   100 * revive::INT + 60 * no_retreat::INT + 40 * immune::INT + 35 * heal::INT + 30 * dec_cc::INT + 25 * hardcc::INT + 30 * g AS util FROM z)
-SELECT name, round(dps, 4) AS dps, round(util, 4) AS utility, round(0.7::DOUBLE * (dps / (SELECT max(dps) FROM d) * 100) + 0.3::DOUBLE * (util / (SELECT max(util) FROM d) * 100), 4) AS strength FROM d""")
+SELECT name, round(dps, 2) AS dps, round(util, 4) AS utility, round(0.7::DOUBLE * (dps / (SELECT max(dps) FROM d) * 100) + 0.3::DOUBLE * (util / (SELECT max(util) FROM d) * 100), 4) AS strength FROM d""")
 def strength_score(spark, sf):
-    return entities.scored(_kit(spark, sf)).select("name", F.round("dps", 4).alias("dps"), F.round("utility", 4).alias("utility"), F.round("strength", 4).alias("strength"))
+    return entities.scored(_kit(spark, sf)).select("name", F.round("dps", 2).alias("dps"), F.round("utility", 4).alias("utility"), F.round("strength", 4).alias("strength"))
 
 
 @query(f"""WITH {_KIT_SQL}, t AS (SELECT team, max(dd) AS d, max(ab) AS a, max(du) AS u, bool_or(hardcc) AS h FROM k GROUP BY team), b(boss, r) AS (VALUES ('黄金甜心', 0.5::DOUBLE), ('古纳冈', 0.5::DOUBLE), ('乌塔尔', 0.65::DOUBLE), ('堕威大佛', 0.6::DOUBLE), ('大往女', 0.6::DOUBLE), ('狂王', 0.6::DOUBLE), ('弗栗多', 0.75::DOUBLE)),
