@@ -150,7 +150,7 @@ def scored(kit: DataFrame) -> DataFrame:
     """Kits with damage a second, utility, strength (0.7 and 0.3 of the shares of the best), rank and tier."""
     normal, special = X.damage_rates(F.col("base"), F.col("combo_rate"), F.col("action_speed"), F.col("ult_charge"), F.col("ult_mult"), F.col("atk_buff"), F.col("dmg_up"), X.solo_reduction(F.col("def_down")), F.col("hardcc"), F.col("self_speed"))
     rated = kit.withColumn("normal_dps", normal).withColumn("ult_dps", special).withColumn("dps", F.col("normal_dps") + F.col("ult_dps"))
-    rated = rated.withColumn("utility", X.utility_score({k: F.col(k) for k in X.UTILITY})).withColumn("ult_share", F.col("ult_dps") / F.col("dps"))
+    rated = rated.withColumn("utility", X.utility_score({k: F.col(k) for k in X.UTILITY})).withColumn("ult_share", F.col("ult_dps") / F.nullif("dps", F.lit(0.0)))
     most = rated.agg(F.max("dps").alias("_d"), F.max("utility").alias("_u"))
     both = rated.join(F.broadcast(most))  # one row
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b) * 100).otherwise(0.0)

@@ -37,7 +37,8 @@ def changed_pages(events: DataFrame, key: str = "name", state: str = "state", or
 
 
 def debounced(events: DataFrame, at: str = "ts", gap: str = "1.5 seconds", keys: tuple[str, ...] = ()) -> DataFrame:
-    """(keys, start, end, n): bursts of events with less than ``gap`` between them; one rebuild for each."""
+    """(keys, start, end, n): bursts of events with less than ``gap`` between them; one rebuild for each.
+    A stream needs a key and a watermark."""
     window = F.session_window(at, gap)
     return events.groupBy(*keys, window.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
