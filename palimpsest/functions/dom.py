@@ -79,6 +79,12 @@ class Node:
         other.parent.children.insert(at, self)
         self.parent = other.parent
 
+    def put_before_new(self, other: Node) -> None:
+        """Put a node that has no place yet before another."""
+        at = next(i for i, c in enumerate(other.parent.children) if c is other)
+        other.parent.children.insert(at, self)
+        self.parent = other.parent
+
     def append(self, child: Node) -> None:
         child.remove()
         self.children.append(child)

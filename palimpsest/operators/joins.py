@@ -54,11 +54,11 @@ def prefix_join(rows: DataFrame, text: str, names: DataFrame, delimiters: str =
     Each place where a name may end is a candidate, so this is an equi-join on prefixes of at most ``longest``
     characters, which is a property of the names (raise it for longer ones).
     """
-    keyed = rows.withColumn("_id", F.monotonically_increasing_id()) if "_id" not in rows.columns else rows
-    ends = F.filter(F.sequence(F.lit(1), F.least(F.length(text), F.lit(longest))), lambda i: (i == F.length(text)) | F.instr(F.lit(delimiters), F.substr(F.col(text), i + 1, F.lit(1))).cast("boolean"))
-    tries = keyed.select("_id", F.explode(F.transform(ends, lambda i: F.substr(F.col(text), F.lit(1), i))).alias("name")).join(names.select("name").distinct(), "name")
-    found = tries.groupBy("_id").agg(F.max_by("name", F.length("name")).alias("prefix"))
-    return keyed.join(found, "_id", "left").drop("_id")
+    texts = rows.select(F.col(text).alias("_text")).distinct()
+    ends = F.filter(F.sequence(F.lit(1), F.least(F.length("_text"), F.lit(longest))), lambda i: (i == F.length("_text")) | F.instr(F.lit(delimiters), F.substr(F.col("_text"), i + 1, F.lit(1))).cast("boolean"))
+    tries = texts.filter("_text <> ''").select("_text", F.explode(F.transform(ends, lambda i: F.substr(F.col("_text"), F.lit(1), i))).alias("name"))
+    found = tries.join(names.select("name").distinct(), "name").groupBy("_text").agg(F.max_by("name", F.length("name")).alias("prefix"))
+    return rows.join(found, F.col(text) == F.col("_text"), "left").drop("_text")
 
 
 def as_of_level(rows: DataFrame, keys: list[str], level: str, order: str, limit: int) -> DataFrame:
