@@ -199,8 +199,8 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray) -> Model:
     x, w = _signals(p, tokens.doc, len(labels)), np.zeros(3)
     for _ in range(30):  # Newton's method, with a ridge for separable labels
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weights * (labels - q)) - 0.1 * w * [0, 1, 1]
-        curve = (x * (weights * q * (1 - q))[:, None]).T @ x + np.diag([1e-6, 0.1, 0.1])
+        slope = x.T @ (weights * (labels - q)) - 0.01 * w * [0, 1, 1]
+        curve = (x * (weights * q * (1 - q))[:, None]).T @ x + np.diag([1e-6, 0.01, 0.01])
         step = np.linalg.solve(curve, slope)
         w = w + step / max(1, np.abs(step).max() / 2)
     return Model(crf, w)
