@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import has_kana, shares_character, skip_in_worklist
+from ..functions.text import has_kana, shares_character, skip_in_worklist, split_suffix
 from .joins import first_by
 
 Norm = Callable[[Column], Column]
@@ -73,9 +73,21 @@ def fill_by_position(items: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def corrections(entries: DataFrame, canonical: DataFrame, norm: Norm) -> DataFrame:
-    """(wrong, right): translations of a dictionary's terms that differ from it but share a character; the last wins."""
-    joined = entries.filter(~missing("zh")).withColumn("_n", norm(F.col("ja"))).join(canonical.select(F.col("key").alias("_n"), F.col("value").alias("right")), "_n")
-    wrong = joined.filter((F.col("zh") != F.col("right")) & shares_character(F.col("zh"), F.col("right")))
+    """(wrong, right): translations of a dictionary's terms that differ from it but share a character; the last wins.
+
+    A source with a suffix takes its base's rendering: a bracket keeps the translation's bracket, other suffixes what
+    follows the translation's last blank.
+    """
+    parts = split_suffix(F.col("ja"))
+    rows = entries.filter(~missing("zh")).withColumn("_n", norm(F.col("ja"))).withColumn("_base", norm(parts["base"])).withColumn("_suffix", parts["suffix"])
+    table = canonical.select(F.col("key").alias("_key"), F.col("value").alias("_value")).dropDuplicates(["_key"])
+    whole = rows.join(table, F.col("_n") == F.col("_key")).withColumn("right", F.col("_value"))
+    based = rows.filter("_suffix <> ''").join(table.withColumnRenamed("_key", "_whole").select("_whole"), F.col("_n") == F.col("_whole"), "left_anti").join(table, F.col("_base") == F.col("_key"))
+    bracket = F.regexp_extract("zh", r"[（(][^（）()]*[）)]$", 0)
+    last = F.substring_index("zh", " ", -1)
+    tail = F.when(F.col("_suffix").rlike("^[（(]"), bracket).when(F.contains("zh", F.lit(" ")), F.concat(F.lit(" "), last)).otherwise("")
+    both = whole.unionByName(based.withColumn("right", F.concat("_value", tail)))
+    wrong = both.filter((F.col("zh") != F.col("right")) & shares_character(F.col("zh"), F.col("_value")))
     return wrong.groupBy(F.col("zh").alias("wrong")).agg(F.max_by("right", F.struct("slug", "ord")).alias("right"))
 
 

@@ -52,6 +52,20 @@ def test_tree_passes():
     assert out == '<li class="pcmt" data-comment-id="c1">译文<ul class="list2"><li>reply</li></ul><span class="comment_date">d</span></li><li class="pcmt">x</li>' or "译文 -- [id]" in out
 
 
+def test_sanitize():
+    html = '<div class="jumpmenu">x</div><h2 id="h1">One<a class="anchor_super" id="a1">†</a></h2><p onclick="f()" style="a:\n b">t --[me]2024-01-02(火)03:04:05</p><table></table><table><tr><td>c</table><svg viewbox="0 0 1 1"></svg><div class="contents"><a href="#a1">One</a></div>'
+    once = render.sanitize(html)
+    assert once == '<h2 id="h1">One<span id="a1"></span></h2><p style="a: b">t </p><div class="table-scroll"><table><tr><td>c</td></tr></table></div><svg viewBox="0 0 1 1"></svg><div class="contents"><a href="#h1">One</a></div>'
+
+
+def test_corrections_with_suffix(spark):
+    entries = spark.createDataFrame([("a", 1, "剣(強)", "古剑(强)"), ("a", 2, "剣SSR", "旧剑 SSR"), ("a", 3, "剣 ※", "旧剑"), ("a", 4, "剣(強)", "无关"), ("a", 5, "剣", "老剑")], "slug string, ord int, ja string, zh string")
+    canonical = spark.createDataFrame([("剣", "剑")], "key string, value string")
+    from palimpsest.operators import store
+
+    assert rows(store.corrections(entries, canonical, norm), "wrong", "right") == sorted([("古剑(强)", "剑(强)"), ("旧剑", "剑"), ("旧剑 SSR", "剑 SSR"), ("老剑", "剑")], key=str)
+
+
 def test_display_names(spark):
     links = spark.createDataFrame([("p", "剣士", "page", True), ("p", "剣士", "page", False), ("p", "文", "none", False), ("p", "語", "none", False), ("q", "文", "none", False)], "slug string, text string, href_slug string, is_entity boolean")
     pair = lambda *x: spark.createDataFrame(list(x), "key string, value string")
