@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,19 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def runs(column: pa.Array, most_bytes: int = 1 << 20, most_rows: int = 256) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs with about ``most_bytes`` of text at most; a longer text is alone."""
+    sizes = np.diff(flat(column)[1])
+    at = total = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > at and (total + size > most_bytes or i - at == most_rows):
+            yield at, i - at
+            at, total = i, 0
+        total += size
+    if len(sizes):
+        yield at, len(sizes) - at
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values (the constants are those of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -6,15 +6,15 @@ the threshold, a ratio of integers. No link is lost:
 
 1. Documents with equal sets are one class (64 bits of a digest of the set); classes go on.
 2. Two sets that reach the threshold share an element of their prefixes, the first n - ceil(t n) + 1 elements in any
-   global order. The order here: elements of a fixed part U of the hash space that no other class has, those of U that
-   others have, the rest. So a class whose elements in U are mostly its own has no candidate. A class with too few
+   global order. The order here: elements of a fixed part U of the hash space, those of fewer classes first, then the rest. So a class whose elements in U are mostly its own has no candidate. A class with too few
    elements in U for its prefix sends all its elements.
-3. Classes that are tied by shared prefix elements form families: components of that graph. Each class's set is sent to
-   its family once. Families of over BLOCK classes are dealt into blocks, and each pair of blocks meets in one group.
+3. Classes that are tied by shared prefix elements, and by sizes that allow a link, form families: components of that
+   graph. A family is divided into bins of sizes such that links are within bins or between adjacent ones, and a bin of
+   over BLOCK classes into blocks. Each class's set goes to the groups where its block meets itself and such others.
 4. A group's classes form a signature tree: leaves by size, inner nodes with the OR of their bitmaps (a bit for each
    element that two of the group's sets have) and their range of sizes. A dual traversal leaves out pairs of nodes whose
-   largest possible overlap can't reach the threshold, and counts the overlaps of the others' leaves exactly. Of the
-   links found it emits a spanning forest, or all of them on request.
+   largest possible overlap can't reach the threshold, and counts the overlaps of the others' leaves exactly. It emits
+   each set with the first one of its links' component in the group, or all links on request.
 5. Components of the links, over classes, give each document its component.
 
 Edge cases: a null, empty or blank text has an empty set and links with nothing, its component is its own id; rows that
@@ -25,18 +25,19 @@ ids are null; an empty table gives an empty result; only the columns named below
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, flat, materialize, mix64, partitions, range_hashes, word_spans
+from .common import LOWER, flat, materialize, mix64, partitions, range_hashes, runs, word_spans
 from .components import components
 
-CHUNK = 256  # texts hashed at a time
 BLOCK = 256  # classes in a block of a family
+MOST = 4096  # an element that so many classes have isn't counted further
 LEAF, FAN = 16, 8
 
 
@@ -84,10 +85,10 @@ def _signature(s: np.ndarray) -> int:
 def _sketch(k: int, cut: int):
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, CHUNK):
-                sets = shingle_sets(batch.column(1).slice(i, CHUNK), k)
+            for i, n in runs(batch.column(1)):
+                sets = shingle_sets(batch.column(1).slice(i, n), k)
                 inside = [int(np.searchsorted(s, cut) - np.searchsorted(s, 0)) for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, CHUNK), pa.array([len(s) for s in sets], pa.int64()), pa.array(inside, pa.int64()), pa.array([_signature(s) for s in sets], pa.int64())], ["doc_id", "n", "inside", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(inside, pa.int64()), pa.array([_signature(s) for s in sets], pa.int64())], ["doc_id", "n", "inside", "sig"])
 
     return sketch
 
@@ -98,9 +99,9 @@ def _elements(k: int, cut: int, num: int, den: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for i in range(0, batch.num_rows, CHUNK):
+            for i, n in runs(batch.column(0)):
                 hashes, sigs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for s in shingle_sets(batch.column(0).slice(i, CHUNK), k):
+                for s in shingle_sets(batch.column(0).slice(i, n), k):
                     if not len(s) or (sig := _signature(s)) in seen:
                         continue
                     seen.add(sig)
@@ -114,26 +115,58 @@ def _elements(k: int, cut: int, num: int, den: int):
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (h, sig), the distinct ones whose h has more than one sig. At most one row waits for the next batch."""
-    h, sig, multi = np.zeros(0, np.int64), np.zeros(0, np.int64), False  # the last row, and whether its h is known to be shared
+    """Of rows sorted by (h, sig), the distinct ones whose h has more than one sig, with the number of its sigs.
+
+    Numbers end at MOST, so that no more than MOST rows wait for the end of their h, however many it has.
+    """
+    h = last = None  # the unfinished h and its last sig
+    held: list[np.ndarray] = []  # its sigs, until they are sent
+    size, sent = 0, False
+
+    def rows(hs: np.ndarray, sigs: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hs), pa.array(sigs), pa.array(df.astype(np.int32))], ["h", "sig", "df"])
+
+    def grown(sigs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        nonlocal held, size, sent
+        if not sent:
+            held.append(sigs)
+            size += len(sigs)
+            if size < MOST:
+                return
+            sigs, held, sent = np.concatenate(held), [], True
+        yield rows(np.full(len(sigs), h), sigs, np.full(len(sigs), MOST))
+
+    def ended() -> Iterator[pa.RecordBatch]:
+        nonlocal held, size, sent
+        if not sent and size > 1:
+            yield rows(np.full(size, h), np.concatenate(held), np.full(size, size))
+        held, size, sent = [], 0, False
+
     for batch in batches:
-        hs, sigs = np.concatenate([h, batch.column(0).to_numpy()]), np.concatenate([sig, batch.column(1).to_numpy()])
+        hs, sigs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        new = np.ones(len(hs), bool)
+        new[1:] = (hs[1:] != hs[:-1]) | (sigs[1:] != sigs[:-1])
+        if len(hs) and h is not None and hs[0] == h and sigs[0] == last:
+            new[0] = False
+        hs, sigs = hs[new], sigs[new]
         if not len(hs):
             continue
-        carried = len(h)
-        new = np.concatenate([[True], (hs[1:] != hs[:-1]) | (sigs[1:] != sigs[:-1])])
-        hs, sigs = hs[new], sigs[new]
-        near = np.zeros(len(hs), bool)
-        near[1:] = hs[1:] == hs[:-1]
-        keep = near.copy()
-        keep[:-1] |= near[1:]
-        if carried and multi:
-            keep[0] = False  # already sent
-        last_multi = bool(near[-1]) or bool(multi and carried and hs[-1] == hs[0])
-        if not near[-1] and not (len(hs) == 1 and multi and carried):
-            keep[-1] = False  # waits
-        yield pa.RecordBatch.from_arrays([pa.array(hs[keep]), pa.array(sigs[keep])], ["h", "sig"])
-        h, sig, multi = hs[-1:], sigs[-1:], last_multi
+        first = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
+        if h is not None and hs[0] == h:
+            yield from grown(sigs[: first[1] if len(first) > 1 else len(hs)])
+            first = first[1:]
+        if len(first):
+            yield from ended()
+            count = np.diff(first)
+            inner = slice(first[0], first[-1])
+            each = np.repeat(count, count)
+            keep = each > 1
+            if keep.any():
+                yield rows(hs[inner][keep], sigs[inner][keep], np.minimum(each[keep], MOST))
+            h = hs[first[-1]]
+            yield from grown(sigs[first[-1] :])
+        last = sigs[-1]
+    yield from ended()
 
 
 class SignatureTree:
@@ -198,9 +231,10 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
 def _join(num: int, den: int, all_links: bool):
     def join(group: pa.Table) -> pa.Table:
         group = group.sort_by("sig")
-        sigs, blocks = group.column("sig").to_numpy(), group.column("block").to_numpy()
+        sigs, part = group.column("sig").to_numpy(), group.column("part").to_numpy()
         sets = [np.frombuffer(x.as_py(), np.int64) for x in group.column("elements")]
-        x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
+        alone = not group.column("across")[0].as_py() and group.column("x")[0].as_py() == group.column("y")[0].as_py()
+
         parent = np.arange(len(sigs))
 
         def root(i: int) -> int:
@@ -211,14 +245,17 @@ def _join(num: int, den: int, all_links: bool):
 
         links: list[tuple[int, int]] = []
         for a, b in SignatureTree(bitmaps(sets), np.array([len(s) for s in sets], np.int64)).join(num, den) if sets else ():
-            if all_links:  # a pair of one block belongs to the group that has this block alone
-                own = (blocks[a] != blocks[b]) if x != y else np.ones(len(a), bool)
-                links.extend(zip(sigs[a[own]], sigs[b[own]], strict=True))
+            if not alone:  # pairs within a block belong to the group that has this block alone
+                own = part[a] != part[b]
+                a, b = a[own], b[own]
+            if all_links:
+                links.extend((u, v) for u, v in zip(sigs[a], sigs[b], strict=True) if u != v)
                 continue
             for i, j in zip(a, b, strict=True):
                 if (p := root(i)) != (q := root(j)):
                     parent[max(p, q)] = min(p, q)
-                    links.append((sigs[i], sigs[j]))
+        if not all_links:
+            links = [(sigs[i], sigs[r]) for i in range(len(sigs)) if (r := root(i)) != i]
         return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
     return join
@@ -227,8 +264,8 @@ def _join(num: int, den: int, all_links: bool):
 def _load_sets(k: int):
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, CHUNK):
-                part = batch.slice(i, CHUNK)
+            for i, n in runs(batch.column(0)):
+                part = batch.slice(i, n)
                 sets = shingle_sets(part.column(0), k)
                 right = pa.array([_signature(s) == w for s, w in zip(sets, part.column(1).to_pylist(), strict=True)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([s.tobytes() for s in sets], pa.binary())], [*part.schema.names[1:], "elements"]).filter(right)
@@ -237,7 +274,7 @@ def _load_sets(k: int):
 
 
 class NearDuplicates:
-    """``sketch``: doc_id, n, sig of every row; ``links``: (u, v) over classes' sigs."""
+    """``sketch``: doc_id, n, sig of every row; ``links``: (u, v) over classes' sigs, all links or as many as tie each group."""
 
     def __init__(self, docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, all_links: bool = False):
         spark, cut = docs.sparkSession, _cut(num, den)
@@ -245,26 +282,45 @@ class NearDuplicates:
         self.sketch = materialize(rows.mapInArrow(_sketch(k, cut), "doc_id long, n long, inside long, sig long"), "sketch")
         classes = self.sketch.filter("n > 0").groupBy("sig").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc"), F.first("n").alias("n"), F.first("inside").alias("inside"))
         elements = rows.select("text").mapInArrow(_elements(k, cut, num, den), "h long, sig long")
-        shared = elements.repartition(4 * partitions(spark), "h").sortWithinPartitions("h", "sig").mapInArrow(_shared, "h long, sig long")
-        own = shared.groupBy("sig").agg(F.array_sort(F.collect_set("h")).alias("all"))
+        shared = elements.repartition(4 * partitions(spark), "h").sortWithinPartitions("h", "sig").mapInArrow(_shared, "h long, sig long, df int")
+        own = shared.groupBy("sig").agg(F.transform(F.array_sort(F.collect_set(F.struct("df", "h"))), lambda x: x["h"]).alias("all"))  # rarest first
         own = own.withColumn("common", F.filter("all", lambda h: (h >= 0) & (h < cut)))
         prefix = F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1
         spare = F.greatest(F.lit(0), prefix - (F.col("inside") - F.size("common")))
         picked = own.join(classes, "sig").withColumn("prefix", F.concat(F.slice("common", 1, spare.cast("int")), F.filter("all", lambda h: (h < 0) | (h >= cut))))
         held = materialize(picked.select("sig", "n", "doc", "prefix"), "prefixes")
-        pairs = held.select("sig", F.explode("prefix").alias("h"))
-        least = pairs.groupBy("h").agg(F.min("sig").alias("m"), F.max("sig").alias("o")).filter("m <> o")
-        tied = pairs.join(least.select("h", "m"), "h").select(F.col("sig").alias("u"), F.col("m").alias("v"))
-        family = materialize(components(tied), "families")
-        sizes = family.groupBy(F.col("root").alias("family")).agg(F.count(F.lit(1)).alias("members"))
-        wanted = family.join(held.select(F.col("sig").alias("node"), "doc"), "node").join(sizes, F.col("root") == F.col("family"))
-        wanted = wanted.select(F.col("node").alias("sig"), "doc", "family", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-        texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).join(wanted.hint("shuffle_hash"), "doc").select("text", "sig", "family", "blocks")
-        sets = texts.mapInArrow(_load_sets(k), "sig long, family long, blocks int, elements binary").dropDuplicates(["sig"])
-        sets = sets.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-        meets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        meets = meets.select("family", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "elements")
-        self.links = materialize(meets.groupBy("family", "x", "y").applyInArrow(lambda g: _join(num, den, all_links)(g), "u long, v long"), "links")
+        # Linked sets' sizes are within the threshold's ratio, and so are those of neighbours by size between them: among
+        # the sets with an element, all that can link by it are in one run of such neighbours.
+        by_size = Window.partitionBy("h").orderBy("n", "sig")
+        near = held.select("sig", "n", F.explode("prefix").alias("h")).withColumn("_m", F.lag("n").over(by_size))
+        near = near.withColumn("_run", F.sum(F.when(F.col("_m") * den >= F.col("n") * num, 0).otherwise(1)).over(by_size))
+        ties = near.select(F.col("sig").alias("u"), F.min("sig").over(Window.partitionBy("h", "_run")).alias("v"))
+        family = materialize(components(ties), "families")
+        # Linked sets are in one bin of sizes or in adjacent ones; a large family's bins are dealt into blocks.
+        sizes = F.floor(F.log("n") / math.log(den / num * 1.0001)).cast("int") if num < den else F.col("n").cast("int")
+        members = family.join(held.select(F.col("sig").alias("node"), "doc", "n"), "node").select(F.col("node").alias("sig"), "doc", F.col("root").alias("family"), sizes.alias("bin"))
+        blocks = materialize(members.groupBy("family", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
+        for name, step in (("here", 0), ("above", 1), ("below", -1)):
+            other = blocks.select(F.col("family").alias("_f"), (F.col("bin") - step).alias("_b"), F.col("blocks").alias(name))
+            members = members.join(other, (F.col("family") == F.col("_f")) & (F.col("bin") == F.col("_b")), "left").drop("_f", "_b")
+        own = F.pmod(F.xxhash64("sig"), F.col("here")).cast("int")
+
+        def meetings(count: str, bin_: Column, x, y, part: Column) -> Column:
+            """A row for each block met: the lower bin, whether bins differ, the blocks x and y, and the side."""
+            one = lambda o: F.struct(bin_.alias("bin"), F.lit(count != "here").alias("across"), x(o).alias("x"), y(o).alias("y"), part.cast("int").alias("part"))
+            return F.transform(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1), one)
+
+        none = F.slice(meetings("here", F.col("bin"), lambda o: F.least(own, o), lambda o: F.greatest(own, o), own), 1, 0)
+        met = F.concat(
+            meetings("here", F.col("bin"), lambda o: F.least(own, o), lambda o: F.greatest(own, o), own),
+            F.when(F.col("above").isNotNull(), meetings("above", F.col("bin"), lambda o: own, lambda o: o, F.lit(0))).otherwise(none),
+            F.when(F.col("below").isNotNull(), meetings("below", F.col("bin") - 1, lambda o: o, lambda o: own, F.lit(1))).otherwise(none),
+        )
+        wanted = members.select("sig", "doc", "family", met.alias("met"))
+        texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).join(wanted.hint("shuffle_hash"), "doc").select("text", "sig", "family", "met")
+        sets = texts.mapInArrow(_load_sets(k), "sig long, family long, met array<struct<bin: int, across: boolean, x: int, y: int, part: int>>, elements binary")
+        dealt = sets.select("sig", "family", "elements", F.explode("met").alias("m")).select("sig", "family", "elements", "m.*")
+        self.links = materialize(dealt.groupBy("family", "bin", "across", "x", "y").applyInArrow(lambda g: _join(num, den, all_links)(g), "u long, v long"), "links")
 
     def documents(self) -> DataFrame:
         """``doc_id, n_shingles, component_id`` of every row."""

@@ -55,25 +55,26 @@ def test_hot_lines(spark, monkeypatch):
     assert sum(r[2] for r in plain) == 66 + 28
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_shared_elements(seed):
-    """Streaming over batches of any size finds the elements that two classes have."""
+@pytest.mark.parametrize("seed", range(6))
+def test_shared_elements(seed, monkeypatch):
+    """Streaming over batches of any size finds the elements that two classes have, and how many have them."""
+    monkeypatch.setattr(near_dup, "MOST", 3 if seed % 2 else 100)
     rng = random.Random(seed)
-    rows = sorted((rng.randrange(12), rng.randrange(5)) for _ in range(120))
+    rows = sorted((rng.randrange(12), rng.randrange(5 + seed)) for _ in range(120))
     have = defaultdict(set)
     for h, s in rows:
         have[h].add(s)
-    want = sorted((h, s) for h, v in have.items() if len(v) > 1 for s in v)
+    want = sorted((h, s, min(len(v), near_dup.MOST)) for h, v in have.items() if len(v) > 1 for s in v)
 
     def batches():
         i = 0
         while i < len(rows):
-            n = rng.randrange(0, 6)
+            n = rng.randrange(0, 6 + 10 * (seed % 3))
             part = rows[i : i + n]
             i += n
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in part], pa.int64()), pa.array([p[1] for p in part], pa.int64())], ["h", "sig"])
 
-    got = [(h, s) for b in near_dup._shared(batches()) for h, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    got = [tuple(x.values()) for b in near_dup._shared(batches()) for x in b.to_pylist()]
     assert sorted(got) == want
 
 
