@@ -90,7 +90,7 @@ def mix(docs: DataFrame, slopes: tuple[float, ...] = SLOPES, weights: tuple[floa
     placed = placed.withColumn("_slice", F.substring("_at", 1, 3))
     slices = placed.groupBy("source", "_slice").agg(F.sum("size").alias("_sum"))
     before = slices.select(F.col("source").alias("_s"), F.col("_slice").alias("_k"), (F.sum("_sum").over(Window.partitionBy("source").orderBy("_slice")) - F.col("_sum")).alias("_before"))
-    within = Window.partitionBy("source", "_slice").orderBy("_at", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("source", "_slice").orderBy("_at", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, 0)
     rows = placed.withColumn("_in", F.sum("size").over(within))
     rows = rows.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_slice") == F.col("_k")))
     names = targets.select(F.col("source").alias("_t"), "source_size", "weight", "target")
@@ -103,7 +103,7 @@ def mix(docs: DataFrame, slopes: tuple[float, ...] = SLOPES, weights: tuple[floa
     share = low / F.nullif("source_size", F.lit(0)) / F.greatest(F.lit(1.0), ratio)
     rows = rows.withColumn("position", F.when(F.col("taken") > 0, _due(share, F.col("weight"), weights, slopes)))
     if rounds:
-        return rows.select("doc_id", "size", "taken", "weight", (low / F.nullif("source_size", F.lit(0))).alias("share"), F.greatest(F.lit(1.0), ratio).alias("rounds"), *carry)
+        return rows.select("doc_id", "size", "weight", low.alias("low"), "source_size", F.floor("target").cast("long").alias("words"), *carry)
     return rows.select("doc_id", "size", "source_size", "target", "taken", "position", *carry)
 
 
@@ -129,7 +129,7 @@ def _copies(names: list[str]):
     def copies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            text, part = batch.schema.get_field_index("text"), batch.column(batch.schema.get_field_index("_words")).to_pylist()
+            text, part = batch.schema.get_field_index("text"), batch.column(batch.schema.get_field_index("_part")).to_pylist()
             cut = [t if n is None or t is None else first_words(t, n) for t, n in zip(batch.column(text).to_pylist(), part, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()) if c == "text" else x for c, x in zip(names, columns, strict=True)], names)
 
@@ -139,22 +139,28 @@ def _copies(names: list[str]):
 def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as they are taken, range-sorted by training position.
 
-    A document of which the mix takes more words than it has stands once for each whole round, and once more with the
-    first of its words for the rest; one that isn't taken goes. Rows that repeat id and text share evenly what is taken
-    of them. Texts join what is taken of them once, by 64 bits of a hash of id and text.
+    Of each source the floor of its target is taken along its order (see ``mix``): in whole rounds of all its documents,
+    then in whole documents from the first on. Only the one at which the target is reached is cut, to the first of its
+    words; documents after it stand in the whole rounds alone. ``mix`` spreads a source's words over all its documents
+    instead, as its SQL says. Texts join their place in the order once, by 64 bits of a hash of id, source and text.
     """
     names, kinds = docs.columns, dict(docs.dtypes)
-    key = F.xxhash64(F.col("doc_id").cast("string"), "text")
-    keyed = materialize(docs.select("doc_id", "source", "text", key.alias("_row")).select("doc_id", "source", word_count(F.col("text")).alias("_size"), "_row"), "mix-sizes")
-    taken = mix(keyed, slopes, weights, max_repeats, ("_row",), rounds=True)
-    by_row = taken.groupBy(F.col("_row").alias("_of")).agg((F.sum("taken") / F.count(F.lit(1))).cast("long").alias("_taken"), F.first("size").alias("_size"), F.first("weight").alias("_weight"), F.min("share").alias("_share"), F.first("rounds").alias("_rounds")).filter("_taken > 0")
+    key = F.xxhash64(F.col("doc_id").cast("string"), F.col("source").isNull(), "source", "text")
+    keyed = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("_size"), key.alias("_row")), "mix-sizes")
+    placed = mix(keyed, slopes, weights, max_repeats, ("_row",), rounds=True)
+    # Rows that repeat id, source and text stand next to each other in the order.
+    by_row = placed.groupBy(F.col("_row").alias("_of")).agg(F.min("low").alias("_first"), *(F.first(c).alias(f"_{c}") for c in ("size", "weight", "source_size", "words"))).filter("_size > 0 AND _words > 0 AND (_words >= _source_size OR _first < _words)")
     rows = docs.withColumn("_row", key).join(by_row.hint("shuffle_hash"), F.col("_row") == F.col("_of"))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.nullif("_size", F.lit(0))).cast("int"))))
-    left = F.col("_taken") - F.col("_copy") * F.col("_size")
-    rows = rows.withColumn("_words", F.when(left < F.col("_size"), left))
-    share = F.least(F.lit(1.0), (F.col("_share") + F.col("_copy")) / F.col("_rounds"))
+    rows = rows.withColumn("_low", F.col("_first") + F.col("_size") * (F.row_number().over(Window.partitionBy("_row").orderBy("_of")) - 1))
+    whole = F.floor(F.col("_words") / F.col("_source_size"))
+    rows = rows.withColumn("_rest", F.col("_words") - whole * F.col("_source_size") - F.col("_low"))
+    copies = (whole + (F.col("_rest") > 0).cast("long")).cast("int")
+    rows = rows.withColumn("_whole", whole).withColumn("_copies", copies).filter("_copies > 0")
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    rows = rows.withColumn("_part", F.when((F.col("_copy") == F.col("_whole")) & (F.col("_rest") < F.col("_size")), F.col("_rest")))
+    share = (F.col("_low") + F.col("_copy") * F.col("_source_size")) / F.col("_words")
     rows = rows.withColumn("_at", _due(share, F.col("_weight"), weights, slopes)).orderBy("_at", "_row", "_copy")
-    return rows.select(*names, "_words").mapInArrow(_copies(names), ", ".join(f"`{c}` {kinds[c]}" for c in names))
+    return rows.select(*names, "_part").mapInArrow(_copies(names), ", ".join(f"`{c}` {kinds[c]}" for c in names))
 
 
 ORACLE = """

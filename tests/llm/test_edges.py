@@ -1,11 +1,12 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.llm import digest, license_scan, line_dedup, mixing, near_dup, packing, substrings, topk, toxicity, warc
+from palimpsest.llm import common, digest, license_scan, line_dedup, mixing, near_dup, packing, substrings, topk, toxicity, warc
 from palimpsest.llm.queries import tokenizer_files
 
 LONG = " ".join(f"word{i % 977}" for i in range(60_000))
@@ -100,6 +101,26 @@ def test_mixture(docs, wide, empty):
     assert mixing.first_words("a  b\tc", 2) == "a  b" and mixing.first_words("a", 0) == ""
 
 
+def test_mixture_takes_whole_documents(spark):
+    """Of each source one document at most is cut; sources over and under their size, and rows that repeat."""
+    text = {i: " ".join(f"d{i}w{j}" for j in range(5 + i % 7)) for i in range(120)}
+    rows = [(i, text[i], "abc"[i % 3]) for i in range(120)] + [(1, text[1], "b"), (1, text[1], "c"), (7, text[7], None)]
+    rows += [(500 + i // 40, "the same words in many rows", "b") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = {r.source: r.target for r in mixing.source_targets(docs.select("source", common.word_count(F.col("text")).alias("size"))).collect()}
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in targets}
+    assert any(targets[s] < sizes[s] for s in targets) and any(targets[s] > sizes[s] for s in targets)
+    whole = {(d, s): t for d, t, s in rows}
+    out = mixing.mixture(docs).collect()
+    for s, target in targets.items():
+        own = [r for r in out if r.source == s]
+        assert sum(len(r.text.split()) for r in own) == int(target)
+        cut = [r for r in own if r.text != whole[r.doc_id, s]]
+        assert len(cut) <= 1 and all(whole[r.doc_id, s].startswith(r.text) for r in cut)
+        held, taken = Counter((d, x) for d, _, x in rows if x == s), Counter((r.doc_id, s) for r in own)
+        assert all(target // sizes[s] * n <= taken[k] <= (target // sizes[s] + 1) * n for k, n in held.items())
+
+
 def test_substrings(docs, wide, empty):
     for rows in (docs, wide):
         out = substrings.remove_repeats(rows).collect()
