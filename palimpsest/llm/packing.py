@@ -3,7 +3,7 @@
 Documents are packed in shards: runs of the input's partitions with about SHARD_TOKENS tokens, whole documents each, so
 that a shard's size has a bound and nothing is shuffled. A document's full windows stand alone. What remains of the
 documents (under one window each) is indexed by BM25 over token ids; a seed takes its window, its best unused neighbours
-follow in order of score, and the last is cut where the window ends; its rest stays for later. So only the last sequence
+follow in order of their score for all of its terms, and the last is cut where the window ends; its rest stays for later. So only the last sequence
 of a shard needs padding.
 
 Edge cases: null and empty texts are documents of the closing id alone; a text of any length is tokenized whole; rows
@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,6 @@ from pyspark.sql import DataFrame
 
 WINDOW = 1024
 SHARD_TOKENS = 2_000_000
-QUERY_TERMS = 32
 K1, B = 1.2, 0.75
 CHUNK_BYTES = 8 << 20
 
@@ -96,35 +96,59 @@ class ByteTokenizer:
         return out
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Items, mean length and, by term, the number of items that hold it."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+
+def _cells(items: list[np.ndarray], vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each item's distinct terms: item, term and occurrences, by item."""
+    length = [len(x) for x in items]
+    flat = np.concatenate(items).astype(np.int64) if items else np.zeros(0, np.int64)
+    cells, tf = np.unique(np.repeat(np.arange(len(items)), length) * vocabulary + flat, return_counts=True)
+    return cells // vocabulary, cells % vocabulary, tf
+
+
+def _weights(items: list[np.ndarray], item: np.ndarray, token: np.ndarray, tf: np.ndarray, stats: Statistics) -> np.ndarray:
+    idf = np.log1p((stats.n - stats.df + 0.5) / (stats.df + 0.5))
+    norm = K1 * (1 - B + B * np.array([len(x) for x in items]) / max(1.0, stats.mean))
+    return idf[token] * tf * (K1 + 1) / (tf + norm[item])
+
+
 class Bm25:
-    """An inverted index over items of token ids: postings with BM25 weights, and each item's weightiest terms."""
+    """An inverted index over items of token ids: postings with BM25 weights. ``stats`` are those of the items if not
+    given."""
 
-    def __init__(self, items: list[np.ndarray], vocabulary: int):
-        n, length = len(items), np.array([len(x) for x in items], np.int64)
-        flat = np.concatenate(items) if items else np.zeros(0, np.int32)
-        cells, tf = np.unique(np.repeat(np.arange(n), length) * vocabulary + flat, return_counts=True)
-        item, token = cells // vocabulary, cells % vocabulary
+    def __init__(self, items: list[np.ndarray], vocabulary: int, stats: Statistics | None = None):
+        item, token, tf = _cells(items, vocabulary)
         df = np.bincount(token, minlength=vocabulary)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * length / max(1.0, length.mean() if n else 1.0))
-        weight = idf[token] * tf * (K1 + 1) / (tf + norm[item])
+        stats = stats or Statistics(len(items), float(np.mean([len(x) for x in items])) if items else 0.0, df)
+        weight = _weights(items, item, token, tf, stats)
+        self.terms = np.split(token, np.searchsorted(item, np.arange(1, len(items)))) if items else []
         order = np.argsort(token, kind="stable")
+        self.n, self.vocabulary, self.token = len(items), vocabulary, token[order]
         self.items, self.weights = item[order], weight[order]
         self.start = np.concatenate([[0], np.cumsum(df)])
-        best = np.lexsort((token, -weight, item))
-        first = np.searchsorted(item[best], np.arange(n + 1))
-        ranked = token[best]
-        self.terms = [ranked[a : min(b, a + QUERY_TERMS)] for a, b in zip(first[:-1], first[1:], strict=True)]
-        self.n = n
+
+    def drop(self, free: np.ndarray) -> None:
+        """Forget the postings of items that aren't free any more."""
+        left = free[self.items]
+        self.items, self.weights, self.token = self.items[left], self.weights[left], self.token[left]
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(self.token, minlength=self.vocabulary))])
 
     def scores(self, item: int) -> np.ndarray:
-        spans = [slice(self.start[t], self.start[t + 1]) for t in self.terms[item]]
+        """Every item's score for all terms of ``item``."""
+        spans = [slice(a, b) for a, b in zip(self.start[self.terms[item]].tolist(), self.start[self.terms[item] + 1].tolist(), strict=True) if a < b]
         if not spans:
             return np.zeros(self.n)
         return np.bincount(np.concatenate([self.items[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
 
 
-def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
+def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW, stats: Statistics | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (document, start, length); every id of every document is in exactly one."""
     sequences, items, left, start = [], [], [], []
     for d, ids in enumerate(docs):
@@ -134,8 +158,8 @@ def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW) ->
             items.append(d)
             start.append(full)
             left.append(len(ids) - full)
-    index = Bm25([docs[d][s:] for d, s in zip(items, start, strict=True)], vocabulary)
-    free, next_seed = np.ones(len(items), bool), 0
+    index = Bm25([docs[d][s:] for d, s in zip(items, start, strict=True)], vocabulary, stats)
+    free, next_seed, indexed = np.ones(len(items), bool), 0, len(items)
     while next_seed < len(items):
         if not free[next_seed]:
             next_seed += 1
@@ -151,6 +175,9 @@ def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW) ->
 
         place(seed)
         if space:
+            if 10 * np.count_nonzero(free) < 9 * indexed:
+                index.drop(free)
+                indexed = np.count_nonzero(free)
             score = index.scores(seed)
             score[~free] = -1
             few = np.argpartition(-score, 16)[:16] if len(score) > 32 else np.arange(len(score))

@@ -320,6 +320,19 @@ def test_packing_prefers_neighbours():
     assert pure >= len(sequences) - 2
 
 
+def test_packing_ranks_by_all_terms():
+    """Neighbours that share only frequent terms with a seed are found, however many rare terms it has."""
+    rare, shared = np.arange(100, 200), np.arange(60)
+    docs = [np.concatenate([rare, shared])] + [np.arange(200 + 60 * i, 260 + 60 * i) for i in range(40)] + [shared] * 8
+    index = packing.Bm25([d.astype(np.int32) for d in docs], 3000)
+    score = index.scores(0)
+    assert (score[-8:] > 0).all() and not score[1:-8].any()
+    free = np.ones(len(docs), bool)
+    free[-4:] = False
+    index.drop(free)
+    assert np.allclose(index.scores(0)[:-4], score[:-4]) and not index.scores(0)[-4:].any()
+
+
 def test_marginals_are_exact():
     """Forward-backward against the sum over all paths."""
     rng = np.random.default_rng(0)
