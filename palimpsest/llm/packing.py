@@ -1,10 +1,11 @@
 """Pack tokenized documents into fixed windows, each filled with lexically close documents.
 
-Documents are packed in shards: runs of the input's partitions with about SHARD_TOKENS tokens, whole documents each, so
-that a shard's size has a bound and nothing is shuffled. A document's full windows stand alone. What remains of the
-documents (under one window each) is indexed by BM25 over token ids; a seed takes its window, its best unused neighbours
-follow in order of their score for all of its terms, and the last is cut where the window ends; its rest stays for later. So only the last sequence
-of a shard needs padding.
+A document's full windows stand alone. What remains of the documents (under one window each) is packed in shards of about
+SHARD_TOKENS tokens. Shards group what is lexically close, whatever files or partitions it comes from: remainders are
+range-sorted by the leaf of a tree over their BM25 vectors, then by a min-hash, and a shard is a run of that order. In a
+shard a seed takes its window, its best unused neighbours follow in order of BM25 over all of its terms, and the last is
+cut where the window ends; its rest stays for later. So only the last sequence of a shard needs padding. Document
+frequencies and the mean length are those of all remainders. What a shard can't see are neighbours in other shards.
 
 Edge cases: null and empty texts are documents of the closing id alone; a text of any length is tokenized whole; rows
 that repeat are documents of their own; an empty table gives an empty result; a null doc_id stays null; only the columns
@@ -23,11 +24,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import materialize, mix64
 
 WINDOW = 1024
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 CHUNK_BYTES = 8 << 20
+#: The tree that groups remainders is fitted on about so many of them (twice at most), splits vectors of so many hashed terms, and so deep.
+#: It only chooses which documents share a shard: all are placed by it and packed.
+TREE_SAMPLE, TREE_DIM, TREE_DEPTH = 4096, 1024, 9
 
 
 class ByteTokenizer:
@@ -148,6 +155,46 @@ class Bm25:
         return np.bincount(np.concatenate([self.items[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
 
 
+def vectors(items: list[np.ndarray], vocabulary: int, stats: Statistics) -> np.ndarray:
+    """The items' BM25 weights by hashed term, each of length 1."""
+    item, token, tf = _cells(items, vocabulary)
+    slot = (mix64(np.arange(vocabulary)) % np.uint64(TREE_DIM)).astype(np.int64)
+    out = np.bincount(item * TREE_DIM + slot[token], _weights(items, item, token, tf, stats), len(items) * TREE_DIM)
+    out = out.reshape(len(items), TREE_DIM).astype(np.float32)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+
+class Tree:
+    """Halves a sample of vectors along its principal direction, and each half again."""
+
+    def __init__(self, sample: np.ndarray, depth: int = TREE_DEPTH, first: int = 0):
+        self.first, self.leaves, self.direction = first, 1, None
+        if depth == 0 or len(sample) < 16:
+            return
+        centred = sample - sample.mean(0)
+        direction = centred[np.argmax((centred**2).sum(1))]
+        for _ in range(12):
+            direction = centred.T @ (centred @ direction)
+            direction /= max(1e-12, float(np.linalg.norm(direction)))
+        along = sample @ direction
+        cut = float(np.median(along))
+        low = along <= cut
+        if low.all() or not low.any():
+            return
+        self.direction, self.cut = direction, cut
+        self.below = Tree(sample[low], depth - 1, first)
+        self.above = Tree(sample[~low], depth - 1, first + self.below.leaves)
+        self.leaves = self.below.leaves + self.above.leaves
+
+    def place(self, rows: np.ndarray) -> np.ndarray:
+        """Each vector's leaf; the order of leaves is that of the tree."""
+        if self.direction is None or not len(rows):
+            return np.full(len(rows), self.first, np.int32)
+        out, low = np.empty(len(rows), np.int32), np.einsum("ij,j->i", rows, self.direction) <= self.cut  # one thread
+        out[low], out[~low] = self.below.place(rows[low]), self.above.place(rows[~low])
+        return out
+
+
 def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW, stats: Statistics | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (document, start, length); every id of every document is in exactly one."""
     sequences, items, left, start = [], [], [], []
@@ -193,52 +240,145 @@ def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW, st
     return sequences
 
 
-def _pack(path: str, ranks: str, end_id: int, window: int, shard_tokens: int, ids_out: bool):
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokens(path: str, ranks: str, end_id: int, window: int, ids_out: bool, stats: Statistics | None = None, tree: Tree | None = None):
+    """Each document's row; with a tree, also its place, and a last row (-1) with the counts that Statistics adds up."""
+
+    def tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = ByteTokenizer(path, ranks)
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 40
-        names: list = []
-        docs: list[np.ndarray] = []
+        counts = np.zeros(tokenizer.size + 2, np.int64)
+        hashed = mix64(np.arange(tokenizer.size)).view(np.int64)
+        for batch in batches:
+            texts = batch.column(1)
+            step = max(1, min(len(texts), int(len(texts) * CHUNK_BYTES / max(1, texts.nbytes))))
+            for i in range(0, len(texts), step):
+                docs = [np.append(ids, end_id).astype("<u4") for ids in tokenizer.encode(texts.slice(i, step))]
+                full = [len(ids) // window * window for ids in docs]
+                crcs = [np.array([zlib.crc32(ids[s : s + window].tobytes()) for s in range(0, n, window)], "<u4").tobytes() for ids, n in zip(docs, full, strict=True)]
+                items = [ids[n:] for ids, n in zip(docs, full, strict=True)]
+                rest = [ids.astype(_kind(tokenizer.size)).tobytes() for ids in items]
+                columns = {"doc_id": batch.column(0).slice(i, step), "row": pa.array(np.arange(number, number + len(docs)))}
+                columns |= {"doc_tokens": pa.array([len(ids) for ids in docs], pa.int64()), "crcs": pa.array(crcs, pa.binary()), "rest": pa.array(rest, pa.binary())}
+                if ids_out:
+                    columns["head"] = pa.array([ids[:n].tobytes() for ids, n in zip(docs, full, strict=True)], pa.binary())
+                if tree:
+                    parts = [items[j : j + 1024] for j in range(0, len(items), 1024)]
+                    columns["leaf"] = pa.array(np.concatenate([tree.place(vectors(x, tokenizer.size, stats)) for x in parts]))
+                    columns["near"] = pa.array([int(hashed[x].min()) if len(x) else 0 for x in items], pa.int64())
+                    for x in parts:
+                        counts[:-2] += np.bincount(_cells(x, tokenizer.size)[1], minlength=tokenizer.size)
+                    counts[-2:] += sum(len(x) > 0 for x in items), sum(map(len, items))
+                number += len(docs)
+                yield pa.RecordBatch.from_pydict(columns)
+        if tree:
+            last = {"doc_id": pa.nulls(1, pa.int64()), "row": pa.array([-1]), "doc_tokens": pa.array([0]), "crcs": pa.array([counts.tobytes()], pa.binary()), "rest": pa.array([b""], pa.binary())}
+            last |= {"head": pa.array([b""], pa.binary())} if ids_out else {}
+            yield pa.RecordBatch.from_pydict(last | {"leaf": pa.array([0], pa.int32()), "near": pa.array([0])})
+
+    return tokens
+
+
+def _kind(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def _items(column: pa.Array, vocabulary: int) -> list[np.ndarray]:
+    return [np.frombuffer(x, _kind(vocabulary)).astype(np.int32) for x in column.to_pylist()]
+
+
+def _sum_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for x in batch.column(0).to_pylist():
+            own = np.frombuffer(x, np.int64)
+            total = own if total is None else total + own
+    if total is not None:
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"token": pa.array(held), "n": pa.array(total[held])})
+
+
+def statistics(tokens: DataFrame, vocabulary: int) -> Statistics:
+    """Those of all remainders."""
+    counts = tokens.filter("row = -1").select("crcs").mapInArrow(_sum_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(vocabulary + 2, np.int64)
+    total[counts.column("token").to_numpy()] = counts.column("n").to_numpy()
+    return Statistics(int(total[-2]), int(total[-1]) / max(1, int(total[-2])), total[:-2])
+
+
+def _pack(vocabulary: int, stats: Statistics, window: int, shard_tokens: int, ids_out: bool):
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        number = (task.partitionId() if task else 0) << 40
+        names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+        out: list[tuple] = []
+        pieces: list[np.ndarray] = []
+        docs: list[tuple] = []  # doc_id, doc_tokens, remainder
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            nonlocal number, names, docs, size
-            out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
-            pieces: list[np.ndarray] = []
-            for sequence in pack_shard(docs, tokenizer.size, window):
+        def made() -> pa.RecordBatch:
+            columns = {k: pa.array(v, pa.int64()) for k, v in zip(names, zip(*out, strict=True), strict=True)}
+            if ids_out:
+                columns["ids"] = pa.array(pieces, pa.list_(pa.int32()))
+            out.clear()
+            pieces.clear()
+            return pa.RecordBatch.from_pydict(columns)
+
+        def flush() -> None:
+            nonlocal number, size
+            for sequence in pack_shard([ids for _, _, ids in docs], vocabulary, window, stats):
                 offset = 0
                 for d, start, length in sequence:
-                    ids = docs[d][start : start + length].astype("<u4")
-                    for k, v in zip(out, (names[d], start, length, zlib.crc32(ids.tobytes()), len(docs[d]), number, offset), strict=True):
-                        out[k].append(v)
+                    name, total, rest = docs[d]
+                    ids = rest[start : start + length].astype("<u4")
+                    out.append((name, total - len(rest) + start, length, zlib.crc32(ids.tobytes()), total, number, offset))
                     if ids_out:
                         pieces.append(ids.astype(np.int32))
                     offset += length
                 number += 1
-            columns = {k: pa.array(v, pa.int64()) for k, v in out.items()}
-            if ids_out:
-                columns["ids"] = pa.array(pieces, pa.list_(pa.int32()))
-            names, docs, size = [], [], 0
-            return pa.RecordBatch.from_pydict(columns)
+            docs.clear()
+            size = 0
 
         for batch in batches:
-            texts = batch.column(1)
-            step = max(1, min(len(texts), int(len(texts) * CHUNK_BYTES / max(1, texts.nbytes))))
-            for i in range(0, len(texts), step):
-                for name, ids in zip(batch.column(0).slice(i, step).to_pylist(), tokenizer.encode(texts.slice(i, step)), strict=True):
-                    names.append(name)
-                    docs.append(np.append(ids, np.int32(end_id)))
-                    size += len(docs[-1])
-                    if size >= shard_tokens:
-                        yield flush()
-        if docs:
-            yield flush()
+            heads = batch.column(batch.schema.get_field_index("head")).to_pylist() if ids_out else [b""] * batch.num_rows
+            rest = _items(batch.column(batch.schema.get_field_index("rest")), vocabulary)
+            plain = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "doc_tokens", "crcs")]
+            for name, total, crcs, ids, head in zip(*plain, rest, heads, strict=True):
+                for i, crc in enumerate(np.frombuffer(crcs, "<u4").tolist()):
+                    out.append((name, i * window, window, crc, total, number, 0))
+                    if ids_out:
+                        pieces.append(np.frombuffer(head, "<u4", window, 4 * i * window).astype(np.int32))
+                    number += 1
+                if len(ids):
+                    docs.append((name, total, ids))
+                    size += len(ids)
+                if size >= shard_tokens:
+                    flush()
+            if len(out) >= 1 << 14:
+                yield made()
+        flush()
+        if out:
+            yield made()
 
     return pack
 
 
 def pack(docs: DataFrame, path: str, ranks: str, end_id: int = 0, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, ids_out: bool = False) -> DataFrame:
     """A row for each piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``)."""
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * ids_out
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(_pack(path, ranks, end_id, window, shard_tokens, ids_out), schema)
+    from tokenizers import Tokenizer
+
+    vocabulary = Tokenizer.from_file(path).get_vocab_size()
+    docs = docs.select(docs["doc_id"].cast("long"), "text")
+    schema = "doc_id long, row long, doc_tokens long, crcs binary, rest binary" + ", head binary" * ids_out
+    share = min(1 << 30, (TREE_SAMPLE << 30) // max(1, docs.count()))
+    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).limit(2 * TREE_SAMPLE).mapInArrow(_tokens(path, ranks, end_id, window, False), schema.removesuffix(", head binary"))
+    items = [x for x in _items(some.select("rest").toArrow().column("rest"), vocabulary) if len(x)]
+    rough = Statistics(len(items), float(np.mean([len(x) for x in items])) if items else 0.0, np.bincount(_cells(items, vocabulary)[1], minlength=vocabulary))
+    tree = Tree(vectors(items, vocabulary, rough))
+    tokens = materialize(docs.mapInArrow(_tokens(path, ranks, end_id, window, ids_out, rough, tree), f"{schema}, leaf int, near long"), "tokens")
+    stats = statistics(tokens, vocabulary)
+    order = ("leaf", "near", "row")
+    shards = max(1, -(-int(1.25 * stats.n * stats.mean) // shard_tokens))  # so that uneven ranges seldom take two
+    grouped = tokens.filter("row >= 0").repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * ids_out
+    return grouped.mapInArrow(_pack(vocabulary, stats, window, shard_tokens, ids_out), out)

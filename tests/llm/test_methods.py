@@ -333,6 +333,19 @@ def test_packing_ranks_by_all_terms():
     assert np.allclose(index.scores(0)[:-4], score[:-4]) and not index.scores(0)[-4:].any()
 
 
+def test_packing_groups_across_partitions(spark):
+    """Close documents meet in a sequence though every one comes from another partition and fills a shard's share."""
+    rng = np.random.default_rng(3)
+    topics = [[f"t{t}w{i}" for i in range(60)] for t in range(12)]
+    rows = [(t * 8 + i, " ".join(rng.permutation(topics[t]))) for i in range(8) for t in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(48, "doc_id")
+    pieces = packing.pack(docs, *tokenizer_files(), window=1024, shard_tokens=4096).collect()
+    spread = defaultdict(set)
+    for r in pieces:
+        spread[r.doc_id // 8].add(r.sequence_id)
+    assert sum(map(len, spread.values())) / len(spread) < 4.5  # 8 each if close documents don't meet
+
+
 def test_marginals_are_exact():
     """Forward-backward against the sum over all paths."""
     rng = np.random.default_rng(0)
