@@ -8,7 +8,7 @@ A line's key is the line without the bytes ``[ \\t-\\r]`` at both ends and with
 of documents. Hash: 128 bits of XXH3.
 
 Edge cases: a null or empty text is one empty line and comes back as an empty text; of rows that share the largest doc_id
-with a line all keep it; a null doc_id counts as a document that never keeps a line that another one has; an empty table
+with a line all keep it; a null doc_id counts as less than all others, so it keeps a line only if no other row has it; an empty table
 gives an empty result; columns that the operator doesn't need are carried only on request.
 """
 
@@ -31,6 +31,8 @@ MIN_DOCS = 5
 #: the input; every task holds their arrays (24 bytes a line), and no shard gets their occurrences.
 HOT_LINES = 4096
 GAMMA = 2.0
+#: Stands for a null doc_id: the least one, so that null keeps a line only where no other row has it.
+NO_ID = -(2**63)
 
 
 class MinimalPerfectHash:
@@ -124,13 +126,14 @@ def _hashes(text: bytes, min_chars: int) -> dict[bytes, None]:
 def _occurrences(min_chars: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, found = [], []
-            for doc, text in zip(batch.column(0), batch.column(1).cast(pa.binary()).fill_null(b""), strict=True):
+            ids, rows, found = [], [], []
+            for doc, text, row in zip(batch.column(0), batch.column(1).cast(pa.binary()).fill_null(b""), batch.column(2), strict=True):
                 own = _hashes(text.as_py(), min_chars)
                 found.extend(own)
                 ids.extend([doc.as_py()] * len(own))
+                rows.extend([row.as_py()] * len(own))
             both = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["doc_id", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["doc_id", "row", "h1", "h2"])
 
     return emit
 
@@ -151,8 +154,8 @@ def _probe(index: pa.Table, lines: pa.Table) -> pa.Table:
     else:
         arrays = LineIndex.from_row({k: index.column(k)[0].as_py() for k in index.column_names if k != "shard"})
         slot = arrays.probe(h1, h2)
-        hit = (slot >= 0) & (arrays.keepers[slot] != ids.fill_null(-(2**63)).to_numpy()) if len(arrays.prints) else np.zeros(len(h1), bool)
-    return pa.table({"doc_id": ids.filter(pa.array(hit)), "hash": pa.array([a.tobytes() for a in np.stack([h1[hit], h2[hit]], 1)], pa.binary())})
+        hit = (slot >= 0) & (arrays.keepers[slot] != ids.fill_null(NO_ID).to_numpy()) if len(arrays.prints) else np.zeros(len(h1), bool)
+    return pa.table({"doc_id": ids.filter(pa.array(hit)), "row": lines.column("row").filter(pa.array(hit)), "hash": pa.array([a.tobytes() for a in np.stack([h1[hit], h2[hit]], 1)], pa.binary())})
 
 
 def _clean(hot: dict[str, bytes], min_chars: int, carried: list[str]):
@@ -163,7 +166,7 @@ def _clean(hot: dict[str, bytes], min_chars: int, carried: list[str]):
             texts, drops = batch.column(batch.schema.get_field_index("text")), batch.column(batch.schema.get_field_index("_drop"))
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             for doc, text, drop in zip(ids, texts.cast(pa.binary()).fill_null(b""), drops, strict=True):
-                text, drop, doc = text.as_py(), set(drop.as_py() or ()), doc.as_py()
+                text, drop, doc = text.as_py(), set(drop.as_py() or ()), NO_ID if (doc := doc.as_py()) is None else doc
                 lines, kept = text.count(b"\n") + 1, None
                 if drop or len(arrays.prints) and len(text) >= min_chars:
                     parts = text.split(b"\n")
@@ -192,8 +195,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     and the columns ``carry``: lines whose key has ``min_chars`` code points and is in ``min_docs`` rows or more are
     dropped except in the largest doc_id that holds them."""
     spark = docs.sparkSession
-    lines = materialize(docs.select("doc_id", "text").mapInArrow(_occurrences(min_chars), "doc_id long, h1 long, h2 long"), "lines")
-    counted = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("doc_id"), F.lit(-(2**63))).alias("keeper")).filter(F.col("n") >= min_docs)
+    row = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))  # so that rows without an id don't gather in one group
+    lines = materialize(docs.select("doc_id", "text", row).mapInArrow(_occurrences(min_chars), "doc_id long, row long, h1 long, h2 long"), "lines")
+    counted = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("doc_id"), F.lit(NO_ID)).alias("keeper")).filter(F.col("n") >= min_docs)
     counted = materialize(counted, "line-counts")
     total, entries = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot_from = max(min_docs, total // HOT_LINES) + 1
@@ -205,13 +209,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     shard = F.pmod("h1", F.lit(shards)).cast("int")
     index = counted.filter(F.col("n") < hot_from).withColumn("shard", shard).groupBy("shard").applyInArrow(_build, _INDEX)
     cold = lines.join(F.broadcast(counted.filter(F.col("n") >= hot_from).select("h1", "h2")), ["h1", "h2"], "left_anti").withColumn("shard", shard)
-    hits = index.groupBy("shard").cogroup(cold.groupBy("shard")).applyInArrow(_probe, "doc_id long, hash binary")
-    drops = hits.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("hash").alias("_drop"))
+    hits = index.groupBy("shard").cogroup(cold.groupBy("shard")).applyInArrow(_probe, "doc_id long, row long, hash binary")
+    drops = hits.groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).agg(F.collect_set("hash").alias("_drop"))
     kinds = dict(docs.dtypes)
     carried = ["doc_id", "n_lines", "n_dropped", "kept_text" if text_out else "kept_sha256", *carry]
     schema = ", ".join(f"`{c}` " + {"n_lines": "long", "n_dropped": "long", "kept_text": "string", "kept_sha256": "string"}.get(c, kinds.get(c, "")) for c in carried)
-    rows = docs.select("doc_id", "text", *carry).join(drops.hint("shuffle_hash"), F.col("doc_id") == F.col("_doc"), "left")
-    return rows.drop("_doc").mapInArrow(_clean(hot_row, min_chars, carried), schema)
+    rows = docs.select("doc_id", "text", *carry).join(drops.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_doc")) & row.eqNullSafe(F.col("_row")), "left")
+    return rows.drop("_doc", "_row").mapInArrow(_clean(hot_row, min_chars, carried), schema)
 
 
 ORACLE = """

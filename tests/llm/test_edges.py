@@ -77,6 +77,19 @@ def test_line_dedup(docs, wide, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [4096, 1])
+@pytest.mark.parametrize("others", [2, 8])
+def test_line_dedup_null_ids(spark, monkeypatch, hot, others):
+    """Rows without an id lose a line that another row keeps, and keep one that only they have, hot or cold."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot)
+    both, alone = "a line that rows with and without an id repeat", "a line that only rows without an id repeat"
+    rows = [(None, f"{both}\n{alone}\n{i}") for i in range(6)] + [(i, f"{both}\n{i}") for i in range(others)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = sorted(((r.doc_id, r.kept_text) for r in out), key=str)
+    want = [(None, f"{alone}\n{i}") for i in range(6)] + [(i, f"{both}\n{i}" if i == others - 1 else str(i)) for i in range(others)]
+    assert kept == sorted(want, key=str)
+
+
 def test_mixing(docs, wide, empty):
     for rows in (docs, wide):
         out = mixing.curriculum(rows).collect()
