@@ -1,9 +1,12 @@
 """Recognise licences by sentences and by rules over sequences of them, with built-in expressions only.
 
-A text is lower-cased and cut into sentences at line feeds and at ``. ! ?`` before white space or the end; in a sentence,
-each run of other characters than a-z and 0-9 becomes one space. Known sentences map to identifiers. A rule is an ordered
-list of identifiers; it matches where these stand next to each other among the text's recognised sentences. One
-projection does all of it: there is no shuffle, and a document of any source or size is a row of its own.
+A text is lower-cased and reduced to words of a-z and 0-9. It is cut at blank lines and at ``. ! ?`` before white space
+or the end, but for ``v.`` before a number. A single line feed, ``;`` or ``:`` before white space may end a sentence or
+stand in it: a known sentence is found from cut to cut of either kind, over as many lines as it takes, the longest first.
+Known sentences map to identifiers. A rule is an ordered list of identifiers; it matches where these stand next to each
+other among the text's recognised sentences. One projection does all of it: there is no shuffle, and a document of any
+source or size is a row of its own. The SQL cuts at every line feed, so it finds no sentence that wraps; both agree on
+tables without such.
 
 Edge cases: a null or empty text has no sentences; sentences that repeat are recognised each time; rows that repeat give
 rows that repeat; an empty table gives an empty result; of other columns only ``carry`` is kept.
@@ -11,10 +14,13 @@ rows that repeat; an empty table gives an empty result; of other columns only ``
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Sentences of public licence texts and notices, normalised as above.
+#: Sentences of public licence texts and notices, in lower-case words.
 SENTENCES: dict[str, str] = {
     "mit-line": "released under the mit license",
     "mit-line-2": "licensed under the mit license",
@@ -62,11 +68,26 @@ RULES: list[tuple[str, str, list[str]]] = [
 ]
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text, in order; empty ones stay, so that positions count all."""
-    cut = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?]+(?:[\x20\x09-\x0D]|\z)|\n", "\n")
-    plain = F.regexp_replace(cut, r"[^a-z0-9\n]+", " ")
-    return F.transform(F.split(plain, "\n", -1), lambda s: F.trim(s))
+#: White space that ends no line.
+_BLANK = r"[\x20\x09\x0B-\x0D]"
+
+
+def normalised(text: Column) -> Column:
+    """A text's words, divided by a blank, by ``|`` where a sentence may end, and by a line feed where it does."""
+    marked = F.lower(F.translate(F.coalesce(text, F.lit("")), "|", " "))
+    marked = F.regexp_replace(marked, r"(?!(?<=\bv)\.[\x20\x09-\x0D]+[0-9])[.!?]+(?:[\x20\x09-\x0D]|\z)", "\n\n")
+    marked = F.regexp_replace(marked, rf"[;:](?={_BLANK})", "\n")
+    plain = F.regexp_replace(marked, r"[^a-z0-9\n]+", " ")
+    plain = F.regexp_replace(plain, r" ?\n ?(?:\n ?)+", "||")
+    plain = F.regexp_replace(plain, r" ?\n ?", "|")
+    return F.trim(F.replace(plain, F.lit("||"), F.lit("\n")))
+
+
+def sentences(text: Column, known: Iterable[str]) -> Column:
+    """The known sentences of a text, in order."""
+    alternatives = "|".join(re.sub(" ", "[ |]", s) for s in sorted(known, key=len, reverse=True))
+    found = F.regexp_extract_all(normalised(text), F.lit(rf"(?<![a-z0-9 ])(?:{alternatives})(?![a-z0-9 ])"), F.lit(0))
+    return F.transform(found, lambda s: F.translate(s, "|", " "))
 
 
 def license_scan(docs: DataFrame, known: dict[str, str] | None = None, rules: list[tuple[str, str, list[str]]] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -75,10 +96,7 @@ def license_scan(docs: DataFrame, known: dict[str, str] | None = None, rules: li
     rules whose sequences it contains). Lists are joined by commas."""
     known, rules = known or SENTENCES, rules or RULES
     ids = F.create_map(*[x for name, text in known.items() for x in (F.lit(text), F.lit(name))])
-    longest = max(map(len, known.values()))
-    shortest = min(map(len, known.values()))
-    candidates = F.filter(sentences(F.col("text")), lambda s: F.length(s).between(shortest, longest))
-    found = docs.select("doc_id", F.filter(F.transform(candidates, lambda s: F.element_at(ids, s)), lambda x: x.isNotNull()).alias("_ids"), *carry)
+    found = docs.select("doc_id", F.transform(sentences(F.col("text"), known.values()), lambda s: F.element_at(ids, s)).alias("_ids"), *carry)
     found = found.withColumn("_sequence", F.concat(F.lit(","), F.array_join("_ids", ","), F.lit(",")))
     sequence = {name: f",{','.join(parts)}," for name, _, parts in rules}
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(lic).alias("license"), F.lit(sequence[name]).alias("sequence"), F.array(*[F.lit(n) for n, s in sequence.items() if n != name and sequence[name] in s]).cast("array<string>").alias("inside")) for name, lic, _ in rules])

@@ -157,6 +157,81 @@ def test_license_scan(spark, docs, wide, empty):
     assert out[5].rules == "mit-short"  # another known sentence breaks the sequence
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 X
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+ISC = """Copyright 2020 X
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+BSD_2 = """Copyright 2020 X
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_3 = BSD_2 + """
+
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0"""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+WRAPPED = {"mit-full": MIT, "isc-full": ISC, "bsd-2-full": BSD_2, "bsd-3-full": BSD_3, "apache-header": APACHE, "gpl-3-header": GPL, "gpl-2-header": GPL.replace("version 3", "version 2"), "mpl-header": MPL}
+WRAPPED |= {name: "Some words\n" + license_scan.SENTENCES[parts[0]].replace(" the ", "\nthe ").replace(" cc", "\nCC") + "." for name, _, parts in license_scan.RULES if name.endswith(("-short", "-short-2"))}
+
+
+def test_wrapped_licenses(spark):
+    """Every rule finds its text hard-wrapped, in comments, with other line ends and right below another line."""
+    assert WRAPPED.keys() == {name for name, _, _ in license_scan.RULES}
+    shapes = {"plain": lambda t: t, "hash": lambda t: "# " + t.replace("\n", "\n# "), "star": lambda t: "/*\n * " + t.replace("\n", "\n * ") + "\n */", "crlf": lambda t: t.replace("\n", "\r\n"), "below": lambda t: "Copyright 2020 X\n" + t}
+    rows = [(f"{name} {shape}", name, f(text)) for name, text in WRAPPED.items() for shape, f in shapes.items()]
+    out = license_scan.license_scan(spark.createDataFrame(rows, "doc_id string, rule string, text string"), carry=("rule",)).collect()
+    assert [(r.doc_id, r.rules) for r in out if r.rules != r.rule] == []
+    cut = [(0, WRAPPED["mpl-header"].replace("Public\nLicense", "Public\n\nLicense")), (1, "Not licensed under the\nMIT license."), (2, "Licensed under the MIT license\nagreement."), (3, "Henry v. Licensed under the MIT license.")]
+    out = license_scan.license_scan(spark.createDataFrame(cut, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.rules for r in out] == ["", "", "mit-short-2", "mit-short-2"]
+
+
 def test_top_k(spark):
     schema = "vec_id long, embedding array<float>, label int, score string"
     rows = [(0, [1.0, 0.5], 1, "x"), (0, [1.0, 0.5], 1, "x"), (1, [1.0, 0.5], 1, "x"), (2, [1.0, 0.5], 1, "x"), (3, None, 1, None), (4, [None, 1.0], 1, ""), (5, [float("nan"), 1.0], 1, ""), (6, [float("inf"), 1.0], 1, ""), (None, [1.0, 1.0], 1, ""), (7, [], 1, ""), (8, [-1.0], 1, "")]
