@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Each round is two grouped minima and two joins; no neighbourhood is gathered in one place, and only a count and a
-checksum come to the driver. Each round's edges are a table in the shared folder.
+Each round is two grouped minima and two joins; no neighbourhood is gathered in one place: the minima of nodes with very
+many edges are broadcast (HOT nodes at most) and their edges stay where they are. Only counts and a checksum come to the
+driver. Each round's edges are a table in the shared folder, which the next round's replaces.
 """
 
 from __future__ import annotations
@@ -9,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import HOT, discard, materialize, skew_join
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """Each node's least neighbour or itself."""
-    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """``u, v, m`` for each edge: m is the least of u and its neighbours."""
+    least = edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    return skew_join(edges, least, ["u"], F.col("degree") > max(1024, total // HOT)).select("u", "v", "m")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,9 +32,13 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = tuple(state)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = _with_least(both, 2 * state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = materialize(large, "edges")
         # now every edge goes from a node to a smaller one; a node's smaller neighbours and itself go to the least of them
-        low = _least(large)
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = materialize(small.filter("u <> v").distinct(), "edges")
+        low = large.groupBy("u").agg(F.min("v").alias("v"))
+        small = _with_least(large, state[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low)
+        after = materialize(small.filter("u <> v").distinct(), "edges")
+        discard(edges)
+        discard(large)
+        edges = after
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))

@@ -72,7 +72,7 @@ def windows(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sums[0] = _GAIN[before[:WINDOW] + 1].sum()
     np.cumsum(rises, out=sums[1:])
     sums[1:] += sums[0]
-    up, down = powers(len(data) + 1)
+    up, down = powers(len(data) + 1)[:2]
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     return _TABLE[np.maximum(sums, 0) >> 10], (total[WINDOW:] - total[:-WINDOW]) * down[:n]

@@ -4,22 +4,28 @@ Words are runs of other bytes than ``[ \\t-\\r]``, A-Z lower-cased; a document's
 words, as 64-bit hashes, or with fewer words the whole sequence as one. Two documents link when the similarity reaches
 the threshold, a ratio of integers. No link is lost:
 
-1. Documents with equal sets are one class (64 bits of a digest of the set); classes go on.
+1. Documents with equal sets are one class (128 bits of a digest of the set); classes go on, as numbered nodes.
 2. Two sets that reach the threshold share an element of their prefixes, the first n - ceil(t n) + 1 elements in any
    global order. The order here: elements of a fixed part U of the hash space, those of fewer classes first, then the rest. So a class whose elements in U are mostly its own has no candidate. A class with too few
    elements in U for its prefix sends all its elements.
 3. Classes that are tied by shared prefix elements, and by sizes that allow a link, form families: components of that
-   graph. A family is divided into bins of sizes such that links are within bins or between adjacent ones, and a bin of
-   over BLOCK classes into blocks. Each class's set goes to the groups where its block meets itself and such others.
-4. A group's classes form a signature tree: leaves by size, inner nodes with the OR of their bitmaps (a bit for each
-   element that two of the group's sets have) and their range of sizes. A dual traversal leaves out pairs of nodes whose
-   largest possible overlap can't reach the threshold, and counts the overlaps of the others' leaves exactly. It emits
-   each set with the first one of its links' component in the group, or all links on request.
-5. Components of the links, over classes, give each document its component.
-
-Edge cases: a null, empty or blank text has an empty set and links with nothing, its component is its own id; rows that
-repeat an id are nodes of their own, and take part in the smallest id; a null id counts only where all of a component's
-ids are null; an empty table gives an empty result; only the columns named below are made.
+   graph. A family of BLOCK classes at most is one group.
+4. Larger families first link what is easy: classes are dealt by a min-hash of their prefixes into groups of about BLOCK,
+   each with the PIVOTS of its sizes, so that a mass of near copies becomes one component. What remains are links between
+   components: sizes are divided into bins such that links are within bins or between adjacent ones, a bin's classes
+   into blocks, those of a large component apart, and blocks meet but for those of one component. Families of over WIDE
+   blocks aren't met as a whole: there the classes with one shared element, and sizes that allow a link, are what is
+   divided so, and elements that only one component has are left out. So a set is copied at most once for each block that
+   shares one of its prefix elements.
+5. Where blocks meet, each one's classes form a signature tree: leaves by size, inner nodes with the OR of their bitmaps
+   (a bit for each element that two of the sets have) and their range of sizes. A dual traversal leaves out pairs of nodes
+   whose largest possible overlap can't reach the threshold, and counts the overlaps of the others' leaves exactly. It
+   emits each set with the first one of its links' component there, or all links on request.
+6. Components of the links, over classes, give each document its component.
+
+Edge cases: a null, empty or blank text has an empty set and links with nothing, its component is its own id; a text of
+any length is one set; rows that repeat an id are nodes of their own, and take part in the smallest id; a null id counts
+only where all of a component's ids are null; an empty table gives an empty result; only the columns named below are made.
 """
 
 from __future__ import annotations
@@ -30,15 +36,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, flat, materialize, mix64, partitions, range_hashes, runs, word_spans
+from .common import HOT, LOWER, flat, materialize, mix64, partitions, range_hashes, runs, skew_join, word_spans
 from .components import components
 
-BLOCK = 256  # classes in a block of a family
+BLOCK = 256  # classes in a block
+WIDE = 16  # blocks of a family that is met as a whole
+PURE = 64  # classes of a component that has blocks of its own
+PIVOTS = 8
 MOST = 4096  # an element that so many classes have isn't counted further
 LEAF, FAN = 16, 8
+NO_ID = -(2**63)  # stands for a null id
 
 
 def _least_overlap(n, num: int, den: int):
@@ -78,8 +88,8 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
-def _signature(s: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _signature(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
 def _sketch(k: int, cut: int):
@@ -88,19 +98,21 @@ def _sketch(k: int, cut: int):
             for i, n in runs(batch.column(1)):
                 sets = shingle_sets(batch.column(1).slice(i, n), k)
                 inside = [int(np.searchsorted(s, cut) - np.searchsorted(s, 0)) for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(inside, pa.int64()), pa.array([_signature(s) for s in sets], pa.int64())], ["doc_id", "n", "inside", "sig"])
+                sig = np.frombuffer(b"".join(map(_signature, sets)), np.int64).reshape(-1, 2)
+                made = [pa.array([len(s) for s in sets], pa.int64()), pa.array(inside, pa.int64()), pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), *made, batch.column(2).slice(i, n)], ["doc_id", "n", "inside", "s1", "s2", "t"])
 
     return sketch
 
 
 def _elements(k: int, cut: int, num: int, den: int):
-    """(h, sig): of each class its elements in U, or all where these are fewer than its prefix; once a partition."""
+    """(h, s1, s2): of each class its elements in U, or all where these are fewer than its prefix; once a partition."""
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
             for i, n in runs(batch.column(0)):
-                hashes, sigs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                hashes, sigs, sizes = [np.zeros(0, np.int64)], [], []
                 for s in shingle_sets(batch.column(0).slice(i, n), k):
                     if not len(s) or (sig := _signature(s)) in seen:
                         continue
@@ -108,23 +120,25 @@ def _elements(k: int, cut: int, num: int, den: int):
                     part = s[np.searchsorted(s, 0) : np.searchsorted(s, cut)]
                     part = s if len(part) < prefix_length(len(s), num, den) else part
                     hashes.append(part)
-                    sigs.append(np.full(len(part), sig))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(sigs))], ["h", "sig"])
+                    sigs.append(sig)
+                    sizes.append(len(part))
+                both = np.repeat(np.frombuffer(b"".join(sigs), np.int64).reshape(-1, 2), sizes, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["h", "s1", "s2"])
 
     return emit
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (h, sig), the distinct ones whose h has more than one sig, with the number of its sigs.
+    """Of rows sorted by (h, s1, s2), the distinct ones whose h has more than one class, with the number of its classes.
 
     Numbers end at MOST, so that no more than MOST rows wait for the end of their h, however many it has.
     """
-    h = last = None  # the unfinished h and its last sig
-    held: list[np.ndarray] = []  # its sigs, until they are sent
+    h = last = None  # the unfinished h and its last class
+    held: list[np.ndarray] = []  # its classes, until they are sent
     size, sent = 0, False
 
     def rows(hs: np.ndarray, sigs: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(hs), pa.array(sigs), pa.array(df.astype(np.int32))], ["h", "sig", "df"])
+        return pa.RecordBatch.from_arrays([pa.array(hs), pa.array(sigs[:, 0].copy()), pa.array(sigs[:, 1].copy()), pa.array(df.astype(np.int32))], ["h", "s1", "s2", "df"])
 
     def grown(sigs: np.ndarray) -> Iterator[pa.RecordBatch]:
         nonlocal held, size, sent
@@ -143,10 +157,10 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, sent = [], 0, False
 
     for batch in batches:
-        hs, sigs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        hs, sigs = batch.column(0).to_numpy(), np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], 1)
         new = np.ones(len(hs), bool)
-        new[1:] = (hs[1:] != hs[:-1]) | (sigs[1:] != sigs[:-1])
-        if len(hs) and h is not None and hs[0] == h and sigs[0] == last:
+        new[1:] = (hs[1:] != hs[:-1]) | (sigs[1:] != sigs[:-1]).any(1)
+        if len(hs) and h is not None and hs[0] == h and (sigs[0] == last).all():
             new[0] = False
         hs, sigs = hs[new], sigs[new]
         if not len(hs):
@@ -172,11 +186,11 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class SignatureTree:
     """Sets with exact bitmaps, sorted by size; levels of nodes with OR-combined bitmaps and ranges of sizes."""
 
-    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray):
+    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, height: int = 1):
         self.order = np.argsort(sizes, kind="stable")
         self.sizes, self.bitmaps = sizes[self.order], bitmaps[self.order]
         self.levels = [self._group(self.bitmaps, self.sizes, self.sizes, LEAF)]
-        while len(self.levels[-1][0]) > 1:
+        while len(self.levels[-1][0]) > 1 or len(self.levels) < height:
             self.levels.append(self._group(*self.levels[-1], FAN))
 
     @staticmethod
@@ -184,34 +198,37 @@ class SignatureTree:
         at = np.arange(0, len(low), width)
         return np.bitwise_or.reduceat(bitmaps, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
 
-    @staticmethod
-    def _may(level, x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
-        """Whether a set below node x and one below y can reach the threshold."""
-        bitmaps, low, high = level
-        overlap = np.minimum(np.minimum(high[x], high[y]), np.bitwise_count(bitmaps[x] & bitmaps[y]).sum(1, dtype=np.int64))
-        return den * overlap >= num * (np.maximum(low[x], overlap) + np.maximum(low[y], overlap) - overlap)
-
-    def join(self, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of sets (positions as given) that reach the threshold, a few leaves at a time."""
+    def _may(self, other: SignatureTree, level: int, x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Whether a set below node x and one of the other tree's below y can reach the threshold."""
+        (bits, low, high), (bits_, low_, high_) = self.levels[level], other.levels[level]
+        overlap = np.minimum(np.minimum(high[x], high_[y]), np.bitwise_count(bits[x] & bits_[y]).sum(1, dtype=np.int64))
+        return den * overlap >= num * (np.maximum(low[x], overlap) + np.maximum(low_[y], overlap) - overlap)
+
+    def join(self, num: int, den: int, other: SignatureTree | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of sets (positions as given) that reach the threshold, of this tree or of this and another one of the
+        same height; a few leaves at a time."""
+        alone, other = other is None, other or self
         x = y = np.zeros(1, np.int64)
-        for level, below in zip(self.levels[::-1], [*self.levels[::-1][1:], None], strict=True):
-            may = np.concatenate([self._may(level, x[i : i + 512], y[i : i + 512], num, den) for i in range(0, len(x), 512)]) if len(x) else np.zeros(0, bool)
+        for level in range(len(self.levels) - 1, -1, -1):
+            may = [self._may(other, level, x[i : i + 512], y[i : i + 512], num, den) for i in range(0, len(x), 512)]
+            may = np.concatenate(may) if may else np.zeros(0, bool)
             x, y = x[may], y[may]
-            if below is None or not len(x):
+            if not level or not len(x):
                 break
-            n = len(below[1])
             cx = (x[:, None] * FAN + np.arange(FAN))[:, :, None] + np.zeros((1, 1, FAN), np.int64)
             cy = (y[:, None] * FAN + np.arange(FAN))[:, None, :] + np.zeros((1, FAN, 1), np.int64)
-            ok = (cx < n) & (cy < n) & (cx <= cy)
+            ok = (cx < len(self.levels[level - 1][1])) & (cy < len(other.levels[level - 1][1]))
+            if alone:
+                ok &= cx <= cy
             x, y = cx[ok], cy[ok]
         for a, b in zip(x, y, strict=True):
             i, j = slice(a * LEAF, (a + 1) * LEAF), slice(b * LEAF, (b + 1) * LEAF)
-            overlap = np.stack([np.bitwise_count(row & self.bitmaps[j]).sum(1, dtype=np.int64) for row in self.bitmaps[i]])
-            hit = den * overlap >= num * (self.sizes[i][:, None] + self.sizes[j] - overlap)
-            if a == b:
+            overlap = np.stack([np.bitwise_count(row & other.bitmaps[j]).sum(1, dtype=np.int64) for row in self.bitmaps[i]])
+            hit = den * overlap >= num * (self.sizes[i][:, None] + other.sizes[j] - overlap)
+            if alone and a == b:
                 hit &= np.tri(*hit.shape, -1, dtype=bool).T
             p, q = np.nonzero(hit)
-            yield self.order[a * LEAF + p], self.order[b * LEAF + q]
+            yield self.order[a * LEAF + p], other.order[b * LEAF + q]
 
 
 def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -228,14 +245,27 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _join(num: int, den: int, all_links: bool):
-    def join(group: pa.Table) -> pa.Table:
-        group = group.sort_by("sig")
-        sigs, part = group.column("sig").to_numpy(), group.column("part").to_numpy()
-        sets = [np.frombuffer(x.as_py(), np.int64) for x in group.column("elements")]
-        alone = not group.column("across")[0].as_py() and group.column("x")[0].as_py() == group.column("y")[0].as_py()
-
-        parent = np.arange(len(sigs))
+def _meet(num: int, den: int, all_links: bool):
+    def meet(group: pa.Table) -> pa.Table:
+        """The links within side 0, or between it and side 1 where there is one."""
+        order = np.lexsort((group.column("side").to_numpy(), group.column("node").to_numpy()))
+        node, side = group.column("node").to_numpy()[order], group.column("side").to_numpy()[order]
+        once = np.concatenate([[True], (node[1:] != node[:-1]) | (side[1:] != side[:-1])])
+        node, side = node[once], side[once]
+        elements = group.column("elements")
+        sets = [np.frombuffer(elements[int(i)].as_py(), np.int64) for i in order[once]]
+        bits, sizes = bitmaps(sets), np.array([len(s) for s in sets], np.int64)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(left):
+            left, right = right, left
+        x = SignatureTree(bits[left], sizes[left])
+        if len(right):
+            y = SignatureTree(bits[right], sizes[right], len(x.levels))
+            x = SignatureTree(bits[left], sizes[left], len(y.levels))
+            found = ((left[a], right[b]) for a, b in x.join(num, den, y))
+        else:
+            found = ((left[a], left[b]) for a, b in x.join(num, den))
+        parent = np.arange(len(node))
 
         def root(i: int) -> int:
             while parent[i] != i:
@@ -244,93 +274,158 @@ def _join(num: int, den: int, all_links: bool):
             return i
 
         links: list[tuple[int, int]] = []
-        for a, b in SignatureTree(bitmaps(sets), np.array([len(s) for s in sets], np.int64)).join(num, den) if sets else ():
-            if not alone:  # pairs within a block belong to the group that has this block alone
-                own = part[a] != part[b]
-                a, b = a[own], b[own]
+        for a, b in found:
             if all_links:
-                links.extend((u, v) for u, v in zip(sigs[a], sigs[b], strict=True) if u != v)
+                links.extend((u, v) for u, v in zip(node[a], node[b], strict=True) if u != v)
                 continue
             for i, j in zip(a, b, strict=True):
                 if (p := root(i)) != (q := root(j)):
                     parent[max(p, q)] = min(p, q)
         if not all_links:
-            links = [(sigs[i], sigs[r]) for i in range(len(sigs)) if (r := root(i)) != i]
+            links = [(node[i], node[r]) for i in range(len(node)) if (r := root(i)) != i]
         return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
-    return join
+    return meet
 
 
 def _load_sets(k: int):
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for i, n in runs(batch.column(0)):
-                part = batch.slice(i, n)
-                sets = shingle_sets(part.column(0), k)
-                right = pa.array([_signature(s) == w for s, w in zip(sets, part.column(1).to_pylist(), strict=True)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([s.tobytes() for s in sets], pa.binary())], [*part.schema.names[1:], "elements"]).filter(right)
+                nodes, sets = [], []
+                own = shingle_sets(batch.column(0).slice(i, n), k)
+                for s, node, s1, s2 in zip(own, *(batch.column(j).slice(i, n).to_pylist() for j in (1, 2, 3)), strict=True):
+                    if node not in seen and np.frombuffer(_signature(s), np.int64).tolist() == [s1, s2]:
+                        seen.add(node)
+                        nodes.append(node)
+                        sets.append(s.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "elements"])
 
     return load
 
 
+_LINKS = "u long, v long"
+
+
 class NearDuplicates:
-    """``sketch``: doc_id, n, sig of every row; ``links``: (u, v) over classes' sigs, all links or as many as tie each group."""
+    """``sketch``: doc_id, n and the set's digest (s1, s2) of every row; ``classes``: the node of each digest; ``links``:
+    (u, v) over nodes, all links or as many as tie each group."""
 
     def __init__(self, docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, all_links: bool = False):
-        spark, cut = docs.sparkSession, _cut(num, den)
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.sketch = materialize(rows.mapInArrow(_sketch(k, cut), "doc_id long, n long, inside long, sig long"), "sketch")
-        classes = self.sketch.filter("n > 0").groupBy("sig").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc"), F.first("n").alias("n"), F.first("inside").alias("inside"))
-        elements = rows.select("text").mapInArrow(_elements(k, cut, num, den), "h long, sig long")
-        shared = elements.repartition(4 * partitions(spark), "h").sortWithinPartitions("h", "sig").mapInArrow(_shared, "h long, sig long, df int")
-        own = shared.groupBy("sig").agg(F.transform(F.array_sort(F.collect_set(F.struct("df", "h"))), lambda x: x["h"]).alias("all"))  # rarest first
+        self.spark, self.k, self.num, self.den, self.all_links = docs.sparkSession, k, num, den, all_links
+        cut = _cut(num, den)
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
+        self.sketch = materialize(rows.mapInArrow(_sketch(k, cut), "doc_id long, n long, inside long, s1 long, s2 long, t long"), "sketch")
+        one = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "t"))
+        classes = self.sketch.filter("n > 0").groupBy("s1", "s2").agg(one.alias("at"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"), F.first("n").alias("n"), F.first("inside").alias("inside"))
+        self.classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+        elements = rows.select("text").mapInArrow(_elements(k, cut, num, den), "h long, s1 long, s2 long")
+        shared = elements.repartition(4 * partitions(self.spark), "h").sortWithinPartitions("h", "s1", "s2").mapInArrow(_shared, "h long, s1 long, s2 long, df int")
+        own = shared.groupBy("s1", "s2").agg(F.transform(F.array_sort(F.collect_set(F.struct("df", "h"))), lambda x: x["h"]).alias("all"))  # rarest first
         own = own.withColumn("common", F.filter("all", lambda h: (h >= 0) & (h < cut)))
         prefix = F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1
         spare = F.greatest(F.lit(0), prefix - (F.col("inside") - F.size("common")))
-        picked = own.join(classes, "sig").withColumn("prefix", F.concat(F.slice("common", 1, spare.cast("int")), F.filter("all", lambda h: (h < 0) | (h >= cut))))
-        held = materialize(picked.select("sig", "n", "doc", "prefix"), "prefixes")
-        # Linked sets' sizes are within the threshold's ratio, and so are those of neighbours by size between them: among
-        # the sets with an element, all that can link by it are in one run of such neighbours.
-        by_size = Window.partitionBy("h").orderBy("n", "sig")
-        near = held.select("sig", "n", F.explode("prefix").alias("h")).withColumn("_m", F.lag("n").over(by_size))
-        near = near.withColumn("_run", F.sum(F.when(F.col("_m") * den >= F.col("n") * num, 0).otherwise(1)).over(by_size))
-        ties = near.select(F.col("sig").alias("u"), F.min("sig").over(Window.partitionBy("h", "_run")).alias("v"))
-        family = materialize(components(ties), "families")
-        # Linked sets are in one bin of sizes or in adjacent ones; a large family's bins are dealt into blocks.
-        sizes = F.floor(F.log("n") / math.log(den / num * 1.0001)).cast("int") if num < den else F.col("n").cast("int")
-        members = family.join(held.select(F.col("sig").alias("node"), "doc", "n"), "node").select(F.col("node").alias("sig"), "doc", F.col("root").alias("family"), sizes.alias("bin"))
-        blocks = materialize(members.groupBy("family", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
-        for name, step in (("here", 0), ("above", 1), ("below", -1)):
-            other = blocks.select(F.col("family").alias("_f"), (F.col("bin") - step).alias("_b"), F.col("blocks").alias(name))
-            members = members.join(other, (F.col("family") == F.col("_f")) & (F.col("bin") == F.col("_b")), "left").drop("_f", "_b")
-        own = F.pmod(F.xxhash64("sig"), F.col("here")).cast("int")
-
-        def meetings(count: str, bin_: Column, x, y, part: Column) -> Column:
-            """A row for each block met: the lower bin, whether bins differ, the blocks x and y, and the side."""
-            one = lambda o: F.struct(bin_.alias("bin"), F.lit(count != "here").alias("across"), x(o).alias("x"), y(o).alias("y"), part.cast("int").alias("part"))
-            return F.transform(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1), one)
-
-        none = F.slice(meetings("here", F.col("bin"), lambda o: F.least(own, o), lambda o: F.greatest(own, o), own), 1, 0)
-        met = F.concat(
-            meetings("here", F.col("bin"), lambda o: F.least(own, o), lambda o: F.greatest(own, o), own),
-            F.when(F.col("above").isNotNull(), meetings("above", F.col("bin"), lambda o: own, lambda o: o, F.lit(0))).otherwise(none),
-            F.when(F.col("below").isNotNull(), meetings("below", F.col("bin") - 1, lambda o: o, lambda o: own, F.lit(1))).otherwise(none),
-        )
-        wanted = members.select("sig", "doc", "family", met.alias("met"))
-        texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).join(wanted.hint("shuffle_hash"), "doc").select("text", "sig", "family", "met")
-        sets = texts.mapInArrow(_load_sets(k), "sig long, family long, met array<struct<bin: int, across: boolean, x: int, y: int, part: int>>, elements binary")
-        dealt = sets.select("sig", "family", "elements", F.explode("met").alias("m")).select("sig", "family", "elements", "m.*")
-        self.links = materialize(dealt.groupBy("family", "bin", "across", "x", "y").applyInArrow(lambda g: _join(num, den, all_links)(g), "u long, v long"), "links")
+        picked = own.join(self.classes, ["s1", "s2"]).withColumn("prefix", F.concat(F.slice("common", 1, spare.cast("int")), F.filter("all", lambda h: (h < 0) | (h >= cut))))
+        held = materialize(picked.filter("size(prefix) > 0").select("node", "n", "at", "s1", "s2", "prefix"), "prefixes")
+        near = self._runs(held)
+        family = materialize(components(near.select(F.col("node").alias("u"), F.col("tie").alias("v"))), "families")
+        family = family.select("node", F.col("root").alias("family"))
+        sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("classes"))
+        family = materialize(skew_join(family, sizes, ["family"], F.col("classes") > max(1024, family.count() // HOT)), "families")
+        # Linked sets' sizes are in one bin or in adjacent ones; a family that is one group needs no bins.
+        bin_ = F.floor(F.log("n") / math.log(den / num * 1.0001)).cast("int") if num < den else F.col("n").cast("int")
+        members = held.join(family, "node").withColumn("bin", F.when(F.col("classes") <= BLOCK, 0).otherwise(bin_))
+        members = materialize(members, "members")
+        self.sets = self._load(rows, members)
+        large = members.filter(F.col("classes") > BLOCK)
+        easy = None if all_links or large.isEmpty() else materialize(self._linked(self._easy(large)), "links")
+        groups = members.filter(F.col("classes") <= BLOCK * WIDE).select(F.col("family").alias("g1"), F.lit(-1).alias("g2"), "node", "bin")
+        wide = members.filter(F.col("classes") > BLOCK * WIDE)
+        part = F.lit(-1).cast("long")
+        if easy is not None:
+            found = materialize(components(easy), "parts")
+            size = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+            found = skew_join(found, size, ["root"], F.col("size") > max(1024, found.count() // HOT))
+            part = F.coalesce("root", "node")
+        else:
+            found = self.spark.createDataFrame([], "root long, node long, size long")
+        found = materialize(found.select("node", "root", "size"), "parts")
+        if not wide.isEmpty():
+            by_element = near.join(wide.select("node", "bin"), "node").join(found, "node", "left").withColumn("part", part)
+            held_by = by_element.groupBy("h", "run").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("c"))
+            open_ = held_by.filter("c > 1") if all_links else held_by.filter("low <> high")
+            by_element = skew_join(by_element.select("h", "run", "node", "bin"), open_, ["h", "run"], F.col("c") > max(1024, near.count() // HOT))
+            groups = groups.unionByName(by_element.select(F.col("h").alias("g1"), F.col("run").cast("int").alias("g2"), "node", "bin"))
+        # A large component's classes have blocks of their own, which needn't meet.
+        pure = F.when(F.col("size") >= PURE, F.col("root")).otherwise(F.lit(-1).cast("long"))
+        groups = materialize(groups.join(found, "node", "left").withColumn("part", F.coalesce(pure, F.lit(-1).cast("long"))).select("g1", "g2", "node", "bin", "part"), "groups")
+        links = self._linked(self._meetings(groups))
+        self.links = materialize(links if easy is None else links.unionByName(easy), "links")
+
+    def _runs(self, held: DataFrame) -> DataFrame:
+        """``node, n, h, run, tie`` for each element of a prefix. Linked sets' sizes are within the threshold's ratio, and
+        so are those of neighbours by size between them: among the sets with an element, all that can link by it are in
+        one run of such neighbours; tie is the run's least node. Only distinct sizes are put in order."""
+        near = materialize(held.select("node", "n", F.explode("prefix").alias("h")), "near")
+        sizes = near.groupBy("h", "n").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("c"))
+        by_size = Window.partitionBy("h").orderBy("n")
+        sizes = sizes.withColumn("_m", F.lag("n").over(by_size))
+        sizes = sizes.withColumn("run", F.sum(F.when(F.col("_m") * self.den >= F.col("n") * self.num, 0).otherwise(1)).over(by_size))
+        sizes = sizes.withColumn("tie", F.min("least").over(Window.partitionBy("h", "run"))).select("h", "n", "run", "tie", "c")
+        return materialize(skew_join(near, sizes, ["h", "n"], F.col("c") > max(1024, near.count() // HOT)).select("node", "n", "h", "run", "tie"), "near")
+
+    def _load(self, rows: DataFrame, members: DataFrame) -> DataFrame:
+        """``node, elements`` of every class with a family, from the text of one of its rows."""
+        wanted = members.select(F.col("at.doc").alias("_doc"), F.col("at.t").alias("_t"), "node", "s1", "s2")
+        texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
+        texts = texts.join(wanted.hint("shuffle_hash"), (F.col("doc") == F.col("_doc")) & (F.col("t") == F.col("_t"))).select("text", "node", "s1", "s2")
+        return materialize(texts.mapInArrow(_load_sets(self.k), "node long, elements binary"), "sets")
+
+    def _easy(self, large: DataFrame) -> DataFrame:
+        """``meeting, node, side`` of groups of classes with close prefixes, and the pivots of theirs and the next sizes."""
+        large = large.select("family", "bin", "node", F.array_min(F.transform("prefix", lambda h: F.xxhash64(h))).alias("least"))
+        binned = large.groupBy("family", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"))
+        large = large.join(binned, ["family", "bin"]).withColumn("bucket", F.pmod("least", "k"))
+        full = large.groupBy("family", "bin", "bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k2"))
+        large = large.join(full, ["family", "bin", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("node"), "k2"))
+        listed = full.select("family", "bin", "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k2") - 1)).alias("sub"))
+        listed = materialize(listed.withColumn("meeting", F.monotonically_increasing_id()), "easy")
+        pivots = large.groupBy("family", "bin", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot")).agg(F.min("node").alias("node"))
+        near_by = listed.withColumn("bin", F.explode(F.array("bin", F.col("bin") + 1)))
+        rows = large.join(listed, ["family", "bin", "bucket", "sub"]).select("meeting", "node")
+        return rows.unionByName(near_by.join(pivots, ["family", "bin"]).select("meeting", "node")).withColumn("side", F.lit(0))
+
+    def _meetings(self, groups: DataFrame) -> DataFrame:
+        """``meeting, node, side``: every block meets itself and the others of its bin and of the next, but blocks of one
+        large component don't meet."""
+        keys = ["g1", "g2", "bin", "part"]
+        counted = materialize(groups.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.count(F.lit(1)).alias("c")), "blocks")
+        hot = F.col("c") > max(1024, groups.count() // HOT)
+        placed = skew_join(groups, counted, keys, hot).withColumn("no", F.pmod(F.xxhash64("node"), "k"))
+        listed = counted.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("no"))
+        a = listed.select("g1", "g2", "bin", F.struct("part", "no").alias("a"), F.explode(F.array("bin", F.col("bin") + 1)).alias("other"))
+        b = listed.select("g1", "g2", F.col("bin").alias("other"), F.struct("part", "no").alias("b"))
+        pairs = a.join(b, ["g1", "g2", "other"]).filter((F.col("bin") < F.col("other")) | (F.col("a") <= F.col("b"))).filter("a.part <> b.part OR a.part = -1")
+        pairs = materialize(pairs.withColumn("meeting", F.monotonically_increasing_id()), "meetings")
+        first = pairs.select("g1", "g2", "bin", "a.part", "a.no", "meeting", F.lit(0).alias("side"))
+        second = pairs.filter("bin < other OR a <> b").select("g1", "g2", F.col("other").alias("bin"), "b.part", "b.no", "meeting", F.lit(1).alias("side"))
+        return placed.join(first.unionByName(second), [*keys, "no"]).select("meeting", "node", "side")
+
+    def _linked(self, dealt: DataFrame) -> DataFrame:
+        meet = _meet(self.num, self.den, self.all_links)
+        found = dealt.join(self.sets, "node").groupBy("meeting").applyInArrow(lambda group: meet(group), _LINKS)
+        return found.distinct() if self.all_links else found
 
     def documents(self) -> DataFrame:
         """``doc_id, n_shingles, component_id`` of every row."""
         roots = components(self.links)
-        classes = self.sketch.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
-        placed = classes.join(roots, classes["sig"] == roots["node"], "left").select("sig", F.coalesce("root", "sig").alias("root"), "least")
-        named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-        by_class = placed.join(named, "root").select(F.col("sig").alias("_sig"), "component_id")
-        rows = self.sketch.join(by_class, (F.col("sig") == F.col("_sig")) & (F.col("n") > 0), "left")
-        return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        placed = self.classes.join(roots, "node", "left").select("s1", "s2", "docs", F.coalesce("root", "node").alias("root"), "least")
+        named = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("c"))
+        by_class = skew_join(placed, named, ["root"], F.col("c") > max(1024, self.classes.count() // HOT)).select("s1", "s2", "docs", "component_id")
+        linked = skew_join(self.sketch.filter("n > 0"), by_class, ["s1", "s2"], F.col("docs") > max(1024, self.sketch.count() // HOT))
+        rows = linked.select("doc_id", "n", "component_id").unionByName(self.sketch.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
+        return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:

@@ -5,18 +5,19 @@ The suffixes that matter are those of repeated neighbourhoods. Every 200-byte wi
 make a segment.
 
 1. Anchors' hashes are counted; segments whose anchor occurs once hold nothing that repeats and go no further.
-2. If all segments of an anchor are equal they repeat whole.
-3. The other anchors' distinct segments are dealt into shards, by anchor. A shard's segments come in batches. A batch
-   gets the suffix array of its windows, which is scanned against each existing level (a sorted suffix array without
-   repeated windows) for matches of 200 bytes; what is new becomes a level, and levels of equal size merge. Anchors with
-   more than SHARD_SEGMENTS distinct segments take several shards; what these don't find twice themselves is then
-   counted over shards by 128-bit prints.
-4. The removed runs meet their documents.
-
-Edge cases: a null text is empty; texts under 200 bytes keep all; a text may repeat itself, also with overlap; rows that
-repeat remove each other's text whole where it has 200 bytes; an empty table gives an empty result; a null doc_id stays;
-of other columns only ``carry`` is kept. Rows are told apart by 64 bits of a hash of id and text, anchors and segments by
-64 bits each.
+2. The other anchors' distinct segments, each with the number of its copies, are dealt into shards, by anchor. A shard's
+   segments come in batches. A batch gets the suffix array of its windows, which is merge-scanned against each existing
+   level (the sorted positions of windows, without repeated ones) for matches of 200 bytes; what is new becomes a level,
+   and levels of equal size merge. The index decides what repeats: a window found twice, or in a segment with copies.
+   Anchors with more than SHARD_SEGMENTS distinct segments take several shards; what these don't find twice themselves is
+   then counted over shards by 128-bit prints.
+3. The removed runs meet their documents; segments with very many copies are broadcast to them (HOT at most).
+
+Edge cases: a null text is empty; texts under 200 bytes keep all; a text of any length is cut into overlapping parts of
+2**23 bytes for its segments, so no window is lost; a text may repeat itself, also with overlap; rows that repeat remove
+each other's text whole where it has 200 bytes; an empty table gives an empty result; a null doc_id stays; of other
+columns only ``carry`` is kept, under any names. Rows are told apart by doc_id and 64 bits of a hash of the text, a
+segment by 64 bits of its anchor's hash and 64 of its own.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, materialize, mix64, partitions, powers
+from .common import HOT, Ranges, carried_row, flat, materialize, mix64, partitions, skew_join
 
 LENGTH, ANCHOR = 200, 32
 CHUNK_BYTES = 1 << 20
@@ -45,10 +46,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tup
     n = len(data) - length + 1
     if n <= 0:
         return none, none, none, none, none
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-    hashes = mix64((total[ANCHOR:] - total[:-ANCHOR]) * down[: len(data) - ANCHOR + 1])
+    ranges = Ranges(data)
+    hashes = mix64((ranges.wide[ANCHOR:] - ranges.wide[:-ANCHOR]) * ranges.tables[1][: len(data) - ANCHOR + 1])
     key = ((hashes >> np.uint64(24 + 1)) << np.uint64(24)).view(np.int64) | np.arange(len(hashes))  # 39 bits of hash, then the place
     least, step = key, 1
     while step * 2 <= wide:
@@ -65,7 +64,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tup
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
     begin, end = start[first], start[last] + length
-    content = mix64((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + (anchor[first] - begin).astype(np.uint64))
+    content = mix64(ranges.hashes(begin, end) + (anchor[first] - begin).astype(np.uint64))
     return text[first], begin, end, hashes[anchor[first]].view(np.int64), content.view(np.int64)
 
 
@@ -104,71 +103,84 @@ def _emit(places: bool, length: int):
         for batch in batches:
             for part in _chunks(batch, 1):
                 data, offsets = flat(part.column(1))
-                row = part.column(0).to_numpy()
+                ids, row = part.column(0).to_numpy(), part.column(2).to_numpy()
                 for text, begin, end, h, g in _pieces(data, offsets, length):
                     columns = {"h": pa.array(h), "g": pa.array(g)}
                     if places:
-                        columns |= {"row": pa.array(row[text]), "start": pa.array(begin - offsets[text]), "size": pa.array((end - begin).astype(np.int32))}
+                        columns |= {"id": pa.array(ids[text]), "row": pa.array(row[text]), "start": pa.array(begin - offsets[text]), "size": pa.array((end - begin).astype(np.int32))}
                     yield pa.RecordBatch.from_pydict(columns)
 
     return emit
 
 
-class Level:
-    """A suffix array without repeated windows: each window's first ``length`` bytes, sorted, and its number."""
-
-    def __init__(self, keys: np.ndarray, owners: np.ndarray):
-        self.keys, self.owners = keys, owners
-
-    def __len__(self) -> int:
-        return len(self.keys)
-
-    def merged(self, other: Level) -> Level:
-        keys = np.concatenate([self.keys, other.keys])
-        order = np.argsort(keys, kind="stable")
-        return Level(keys[order], np.concatenate([self.owners, other.owners])[order])
+SCAN = 8192  # windows of a level that are laid out at a time
 
 
 class SuffixIndex:
-    """Windows by number; ``hit`` tells those that occurred more than once among all batches so far."""
+    """Texts back to back in ``pool``; ``hit`` tells the positions whose window occurred more than once so far.
+
+    A level is a suffix array without repeated windows: their positions in the pool, in the order of their bytes.
+    """
 
     def __init__(self, length: int = LENGTH):
-        self.length, self.levels, self.hit, self.count = length, [], np.zeros(0, bool), 0
-
-    def windows(self, texts: list[bytes]) -> np.ndarray:
-        """All windows of the texts, as fixed-width byte strings."""
-        views = [np.lib.stride_tricks.sliding_window_view(np.frombuffer(x, np.uint8), self.length) for x in texts if len(x) >= self.length]
-        return np.ascontiguousarray(np.concatenate(views)).view(f"S{self.length}").ravel() if views else np.zeros(0, f"S{self.length}")
-
-    def add(self, texts: list[bytes]) -> None:
-        keys = self.windows(texts)
-        n, base = len(keys), self.count
-        self.count += n
-        hit = np.zeros(self.count, bool)
-        hit[:base] = self.hit
-        self.hit = hit
-        if not n:
-            return
-        array = np.argsort(keys, kind="stable")  # the batch's suffix array
-        keys = keys[array]
+        self.length, self.levels, self.size = length, [], 0
+        self.pool, self.hit = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, bool)
+
+    def windows(self, at: np.ndarray) -> np.ndarray:
+        """The windows at these positions, as fixed-width byte strings."""
+        views = np.lib.stride_tricks.sliding_window_view(self.pool, self.length)
+        return views[at].view(f"S{self.length}").ravel()
+
+    def _grow(self, size: int) -> None:
+        while len(self.pool) < size:
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            self.hit = np.concatenate([self.hit, np.zeros_like(self.hit)])
+
+    def scan(self, level: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where sorted windows stand in a level, and whether it has them; both are read in order."""
+        at, found, done = np.full(len(keys), len(level)), np.zeros(len(keys), bool), 0
+        for i in range(0, len(level), SCAN):
+            if done == len(keys):
+                break
+            block = self.windows(level[i : i + SCAN])
+            to = done + int(np.searchsorted(keys[done:], block[-1], side="right"))
+            place = np.searchsorted(block, keys[done:to])
+            at[done:to], found[done:to], done = i + place, block[place] == keys[done:to], to
+        return at, found
+
+    def add(self, texts: list[bytes], twice: list[bool] | None = None) -> list[int]:
+        """The texts' places in the pool; windows of a text that occurs ``twice`` count as found again."""
+        begin = [int(x) for x in self.size + np.concatenate([[0], np.cumsum([len(x) for x in texts])])]
+        self._grow(begin[-1] + self.length)
+        self.pool[self.size : begin[-1]] = np.frombuffer(b"".join(texts), np.uint8)
+        self.size = begin.pop()
+        spans = [np.arange(b, b + len(x) - self.length + 1) for b, x in zip(begin, texts, strict=True)]
+        for span, more in zip(spans, twice or (), strict=False):
+            self.hit[span] |= more
+        at = np.concatenate(spans) if spans else np.zeros(0, np.int64)
+        if not len(at):
+            return begin
+        keys = self.windows(at)
+        order = np.argsort(keys, kind="stable")  # the batch's suffix array
+        keys, at = keys[order], at[order]
         same = keys[1:] == keys[:-1]
-        self.hit[base + array[1:][same]] = True
-        self.hit[base + array[:-1][same]] = True
-        head = np.flatnonzero(np.concatenate([[True], ~same]))
-        run = np.cumsum(np.concatenate([[True], ~same])) - 1
-        distinct, fresh = keys[head], np.ones(len(head), bool)
-        for level in self.levels:  # merge-scan
-            at = np.searchsorted(level.keys, distinct)
-            found = at < len(level)
-            found[found] = level.keys[at[found]] == distinct[found]
-            self.hit[level.owners[at[found]]] = True
-            self.hit[base + array[found[run]]] = True
+        self.hit[at[1:][same]] = True
+        self.hit[at[:-1][same]] = True
+        head = np.concatenate([[True], ~same])
+        run = np.cumsum(head) - 1
+        distinct, fresh = keys[head], np.ones(int(head.sum()), bool)
+        for level in self.levels:
+            place, found = self.scan(level, distinct)
+            self.hit[level[place[found]]] = True
+            self.hit[at[found[run]]] = True
             fresh &= ~found
         if fresh.any():
-            self.levels.append(Level(distinct[fresh], base + array[head[fresh]]))
+            self.levels.append(at[head][fresh])
             while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
                 last = self.levels.pop()
-                self.levels.append(self.levels.pop().merged(last))
+                place, _ = self.scan(self.levels[-1], self.windows(last))
+                self.levels.append(np.insert(self.levels.pop(), place, last))
+        return begin
 
 
 _FOUND = "h long, g long, low int, high int, w1 long, w2 long"
@@ -179,14 +191,14 @@ def _scan(length: int):
         """Runs of repeated windows of each segment; for anchors in several shards also what others have to know: a row
         with a print (w1, w2) for each window found once here, and one without a segment for each found more often."""
         group = group.sort_by([("h", "ascending"), ("g", "ascending")])
-        texts = [x.as_py() for x in group.column("content")]
-        index = SuffixIndex(length)
+        texts, twice = [x.as_py() for x in group.column("content")], group.column("twice").to_pylist()
+        index, begin = SuffixIndex(length), []
         for i in range(0, len(texts), BATCH_SEGMENTS):
-            index.add(texts[i : i + BATCH_SEGMENTS])
-        counts = np.array([max(0, len(x) - length + 1) for x in texts], np.int64)
+            begin += index.add(texts[i : i + BATCH_SEGMENTS], twice[i : i + BATCH_SEGMENTS])
+        counts, begin = np.array([max(0, len(x) - length + 1) for x in texts], np.int64), np.array(begin, np.int64)
         owner = np.repeat(np.arange(len(texts)), counts)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        hit = index.hit
+        hit = index.hit[begin[owner] + place] if len(owner) else np.zeros(0, bool)
         edge = np.ones(len(hit), bool)
         edge[1:] = (owner[1:] != owner[:-1]) | (hit[1:] != hit[:-1])
         first = np.flatnonzero(edge)
@@ -197,12 +209,13 @@ def _scan(length: int):
         out = {"h": [h[owner[a]]], "g": [g[owner[a]]], "low": [place[a]], "high": [place[b]], "w": []}
         if group.column("shards")[0].as_py() > 1:
             for level in index.levels:
-                digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(k.ljust(length, b"\0")) for k in level.keys.tolist()), np.int64).reshape(-1, 2)
-                own, often = level.owners, hit[level.owners]
-                out["h"].append(h[owner[own]])
-                out["g"].append(g[owner[own]])
-                out["low"].append(np.where(often, -1, place[own]))
-                out["high"].append(np.where(often, -1, place[own]))
+                keys = (k for i in range(0, len(level), SCAN) for k in index.windows(level[i : i + SCAN]).tolist())
+                digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(k.ljust(length, b"\0")) for k in keys), np.int64).reshape(-1, 2)
+                own, often = np.searchsorted(begin, level, side="right") - 1, index.hit[level]
+                out["h"].append(h[own])
+                out["g"].append(g[own])
+                out["low"].append(np.where(often, -1, level - begin[own]))
+                out["high"].append(np.where(often, -1, level - begin[own]))
                 out["w"].append(digest)
         flat_ = {k: np.concatenate(v) if v else np.zeros((0, 2), np.int64) for k, v in out.items()}
         gap = len(flat_["h"]) - len(flat_["w"])
@@ -214,22 +227,21 @@ def _scan(length: int):
 
 def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows: dict[str, list] = {"h": [], "g": [], "shards": [], "shard": [], "content": []}
+        rows: dict[str, list] = {"h": [], "g": [], "twice": [], "shards": [], "shard": [], "content": []}
         for text, wanted in zip(batch.column(0).cast(pa.binary()).fill_null(b""), batch.column(1).to_pylist(), strict=True):
             text = text.as_py()
             for x in wanted:
-                for k in ("h", "g", "shards", "shard"):
+                for k in ("h", "g", "twice", "shards", "shard"):
                     rows[k].append(x[k])
                 rows["content"].append(text[x["start"] : x["start"] + x["size"]])
-        yield pa.RecordBatch.from_arrays([pa.array(rows["h"], pa.int64()), pa.array(rows["g"], pa.int64()), pa.array(rows["shards"], pa.int32()), pa.array(rows["shard"], pa.int64()), pa.array(rows["content"], pa.binary())], list(rows))
+        yield pa.RecordBatch.from_arrays([pa.array(rows["h"], pa.int64()), pa.array(rows["g"], pa.int64()), pa.array(rows["twice"], pa.bool_()), pa.array(rows["shards"], pa.int32()), pa.array(rows["shard"], pa.int64()), pa.array(rows["content"], pa.binary())], list(rows))
 
 
-def _remove(carried: list[str]):
+def _remove(carried: list[str], extra: int):
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
             out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "spans": [], "kept": []}
-            for text, cuts in zip(batch.column(names.index("text")).cast(pa.binary()).fill_null(b""), batch.column(names.index("_cuts")).to_pylist(), strict=True):
+            for text, cuts in zip(batch.column(1).cast(pa.binary()).fill_null(b""), batch.column(2).to_pylist(), strict=True):
                 text, spans = text.as_py(), []
                 for c in sorted((c["start"], c["end"]) for c in cuts or ()):
                     if spans and c[0] <= spans[-1][1]:
@@ -246,14 +258,15 @@ def _remove(carried: list[str]):
                 out["n_spans"].append(len(spans))
                 out["spans"].append([{"start": a, "end": b} for a, b in spans])
                 out["kept"].append(b"".join(kept))
-            made = {k: pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")}
+            made = {"doc_id": batch.column(0)} | {k: pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")}
             if "spans" in carried:
                 made["spans"] = pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             if "kept" in carried:
                 made["kept"] = pa.array(out["kept"], pa.binary())
             if "kept_sha256" in carried:
                 made["kept_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in out["kept"]], pa.string())
-            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(names.index(c)) for c in carried], carried)
+            own = [made[c] for c in carried[: len(carried) - extra]]
+            yield pa.RecordBatch.from_arrays([*own, *(batch.column(3).flatten() if extra else [])], carried)
 
     return remove
 
@@ -262,36 +275,37 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bytes_out: bool = True
     """``doc_id, n_bytes, n_removed, n_spans`` of each row, with ``spans`` and the bytes ``kept`` (or, without
     ``bytes_out``, their ``kept_sha256``) and the columns ``carry``."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", *carry).withColumn("_row", F.xxhash64(F.col("doc_id").cast("string"), "text"))
-    plain = rows.select("_row", "text")
-    anchors = plain.mapInArrow(_emit(False, length), "h long, g long").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("g").alias("a"), F.max("g").alias("b"))
-    repeated = materialize(anchors.filter("n > 1").select("h", (F.col("a") != F.col("b")).alias("mixed")), "anchors")
-    found = plain.mapInArrow(_emit(True, length), "h long, g long, row long, start long, size int")
+    # Of rows with one id, 64 bits of the text tell which is which; without an id 128 bits do.
+    rows = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").try_cast("long"), F.xxhash64(F.lit("no id"), "text")).alias("id"), F.xxhash64("text").alias("row"), carried_row(carry))
+    plain = rows.select("id", "text", "row")
+    anchors = plain.mapInArrow(_emit(False, length), "h long, g long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(anchors.filter("n > 1").select("h"), "anchors")
+    found = plain.mapInArrow(_emit(True, length), "h long, g long, id long, row long, start long, size int")
     placed = materialize(found.join(repeated, "h"), "segments")
-    distinct = materialize(placed.filter("mixed").groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start", "size")).alias("at")), "distinct")
+    distinct = materialize(placed.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "start", "size")).alias("at")), "distinct")
     wide = distinct.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / SHARD_SEGMENTS).cast("int").alias("shards"))
-    total = distinct.count()
+    total, places = distinct.count(), placed.count()
     buckets = max(4 * partitions(spark), total // SHARD_SEGMENTS)
     # Anchors with one shard share the buckets; each shard of the others is a group of its own.
     shard = F.when(F.col("shards") == 1, F.pmod(F.xxhash64("h"), F.lit(buckets))).otherwise(buckets + F.abs(F.xxhash64("h", F.pmod("g", "shards")) % (2**40)))
-    wanted = distinct.join(wide, "h").withColumn("shard", shard)
-    by_row = wanted.groupBy(F.col("at.row").alias("_wanted")).agg(F.collect_list(F.struct("h", "g", "shards", "shard", F.col("at.start").alias("start"), F.col("at.size").alias("size"))).alias("parts"))
-    once = plain.join(by_row.hint("shuffle_hash"), F.col("_row") == F.col("_wanted"))
-    contents = once.select("text", "parts").mapInArrow(_cut_out, "h long, g long, shards int, shard long, content binary").dropDuplicates(["h", "g"])
+    wanted = skew_join(distinct, wide, ["h"], F.col("shards") > max(1, total // SHARD_SEGMENTS // HOT)).withColumn("shard", shard)
+    part = F.struct("h", "g", (F.col("n") > 1).alias("twice"), "shards", "shard", F.col("at.start").alias("start"), F.col("at.size").alias("size"))
+    by_row = wanted.groupBy(F.col("at.id").alias("_id"), F.col("at.row").alias("_row")).agg(F.collect_list(part).alias("parts"))
+    once = plain.join(by_row.hint("shuffle_hash"), (F.col("id") == F.col("_id")) & (F.col("row") == F.col("_row")))
+    contents = once.select("text", "parts").mapInArrow(_cut_out, "h long, g long, twice boolean, shards int, shard long, content binary").dropDuplicates(["h", "g"])
     scanned = materialize(contents.groupBy("shard").applyInArrow(lambda t: _scan(length)(t), _FOUND), "scanned")
     across = scanned.filter("w1 IS NOT NULL")
     often = across.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
     runs = scanned.filter("w1 IS NULL").select("h", "g", "low", "high").unionByName(across.filter("low >= 0").join(often, ["w1", "w2"]).select("h", "g", "low", "high"))
-    whole = F.struct(F.col("start"), (F.col("start") + F.col("size")).alias("end"))
-    single = placed.filter("mixed").join(distinct.filter("n = 1").select("h", "g"), ["h", "g"]).join(runs, ["h", "g"])
-    cuts = (
-        placed.filter("NOT mixed").select("row", whole.alias("cut"))
-        .unionByName(placed.filter("mixed").join(distinct.filter("n > 1").select("h", "g"), ["h", "g"]).select("row", whole.alias("cut")))
-        .unionByName(single.select("row", F.struct((F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high") + length).alias("end")).alias("cut")))
-    )
-    cuts = cuts.groupBy(F.col("row").alias("_to")).agg(F.collect_list("cut").alias("_cuts"))
+    held = runs.groupBy("h", "g").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
+    held = held.join(distinct.select("h", "g", "n"), ["h", "g"])
+    hits = skew_join(placed, held, ["h", "g"], F.col("n") > max(1024, places // HOT))
+    cut = F.explode(F.transform("runs", lambda r: F.struct((F.col("start") + r["low"]).alias("start"), (F.col("start") + r["high"] + length).alias("end"))))
+    cuts = hits.select(F.col("id").alias("_id"), F.col("row").alias("_row"), cut.alias("cut")).groupBy("_id", "_row").agg(F.collect_set("cut").alias("cuts"))
     kinds = dict(docs.dtypes)
     carried = ["doc_id", "n_bytes", "n_removed", "n_spans", *(("spans", "kept") if bytes_out else ("kept_sha256",)), *carry]
     made = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "spans": "array<struct<start: long, end: long>>", "kept": "binary", "kept_sha256": "string"}
-    schema = ", ".join(f"`{c}` {made.get(c) or kinds[c]}" for c in carried)
-    return rows.join(cuts.hint("shuffle_hash"), F.col("_row") == F.col("_to"), "left").drop("_row", "_to").mapInArrow(_remove(carried), schema)
+    own = carried[: len(carried) - len(carry)]
+    schema = ", ".join([f"`{c}` {made.get(c) or kinds[c]}" for c in own] + [f"`{c}` {kinds[c]}" for c in carry])
+    joined = rows.join(cuts.hint("shuffle_hash"), (F.col("id") == F.col("_id")) & (F.col("row") == F.col("_row")), "left")
+    return joined.select("doc_id", "text", "cuts", "carried").mapInArrow(_remove(carried, len(carry)), schema)

@@ -60,11 +60,11 @@ def test_shared_elements(seed, monkeypatch):
     """Streaming over batches of any size finds the elements that two classes have, and how many have them."""
     monkeypatch.setattr(near_dup, "MOST", 3 if seed % 2 else 100)
     rng = random.Random(seed)
-    rows = sorted((rng.randrange(12), rng.randrange(5 + seed)) for _ in range(120))
+    rows = sorted((rng.randrange(12), x // 3, x) for _ in range(120) for x in [rng.randrange(5 + seed)])
     have = defaultdict(set)
-    for h, s in rows:
-        have[h].add(s)
-    want = sorted((h, s, min(len(v), near_dup.MOST)) for h, v in have.items() if len(v) > 1 for s in v)
+    for h, s, t in rows:
+        have[h].add((s, t))
+    want = sorted((h, *s, min(len(v), near_dup.MOST)) for h, v in have.items() if len(v) > 1 for s in v)
 
     def batches():
         i = 0
@@ -72,7 +72,7 @@ def test_shared_elements(seed, monkeypatch):
             n = rng.randrange(0, 6 + 10 * (seed % 3))
             part = rows[i : i + n]
             i += n
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in part], pa.int64()), pa.array([p[1] for p in part], pa.int64())], ["h", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array([p[j] for p in part], pa.int64()) for j in range(3)], ["h", "s1", "s2"])
 
     got = [tuple(x.values()) for b in near_dup._shared(batches()) for x in b.to_pylist()]
     assert sorted(got) == want
@@ -86,10 +86,16 @@ def test_signature_tree(num, den):
         base = {rng.randrange(10_000) for _ in range(rng.randrange(1, 60))}
         for _ in range(rng.randrange(1, 6)):
             sets.append(np.array(sorted(base | {rng.randrange(10_000) for _ in range(rng.randrange(0, 6))}), np.int64))
-    tree = near_dup.SignatureTree(near_dup.bitmaps(sets), np.array([len(s) for s in sets]))
+    bits, sizes = near_dup.bitmaps(sets), np.array([len(s) for s in sets])
+    tree = near_dup.SignatureTree(bits, sizes)
     got = {tuple(sorted((int(a), int(b)))) for x, y in tree.join(num, den) for a, b in zip(x, y, strict=True)}
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if den * len(set(sets[i]) & set(sets[j])) >= num * len(set(sets[i]) | set(sets[j]))}
     assert got == want
+    few = len(sets) // 5  # two trees, one of them small
+    left = near_dup.SignatureTree(bits[:few], sizes[:few], len(tree.levels))
+    right = near_dup.SignatureTree(bits[few:], sizes[few:], len(tree.levels))
+    got = {(int(a), int(b) + few) for x, y in left.join(num, den, right) for a, b in zip(x, y, strict=True)}
+    assert got == {(i, j) for i, j in want if i < few <= j}
 
 
 def _components(sets, num, den):
@@ -109,9 +115,12 @@ def _components(sets, num, den):
     return {d: root(d) for d in ids}
 
 
-@pytest.mark.parametrize(("k", "num", "den", "block"), [(3, 90, 100, 256), (5, 8, 10, 8), (3, 90, 100, 4)])
-def test_near_duplicates(spark, monkeypatch, k, num, den, block):
+@pytest.mark.parametrize(("k", "num", "den", "block", "wide"), [(3, 90, 100, 256, 16), (5, 8, 10, 8, 16), (3, 90, 100, 4, 16), (5, 8, 10, 2, 1), (2, 1, 2, 3, 1)])
+def test_near_duplicates(spark, monkeypatch, k, num, den, block, wide):
+    """Also where families take many blocks, and where they are met by element."""
     monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "WIDE", wide)
+    monkeypatch.setattr(near_dup, "PURE", 2)
     rng = random.Random(k)
     texts = {}
     for _ in range(25):
@@ -136,6 +145,36 @@ def test_near_duplicates(spark, monkeypatch, k, num, den, block):
     assert len(every) == sum(1 for a in distinct for b in distinct if a != b and den * len(a & b) >= num * len(a | b)) // 2
 
 
+def _thue_morse(n, letters="ab"):
+    return "".join(letters[i.bit_count() % 2] for i in range(n))
+
+
+def test_words_of_two_letters(spark):
+    """Words that a polynomial modulo a power of two can't tell apart."""
+    x, y = _thue_morse(2048), _thue_morse(2048, "ba")
+    rows = [(1, x), (2, y), (3, f"{x} p q"), (4, f"{y} p q")]
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()
+    assert all(r.component_id == r.doc_id for r in out)
+    out = substrings.remove_repeats(spark.createDataFrame([(1, x), (2, y)], "doc_id long, text string"), length=1500).collect()
+    assert [r.n_removed for r in out] == [0, 0]
+
+
+@pytest.mark.parametrize("near", [True, False])
+def test_large_families_copy_little(spark, monkeypatch, near):
+    """Sets of one large family are copied a bounded number of times, whether they link or only share a passage."""
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([f"u{i}", *passage] if near else [*(f"w{rng.randrange(10**6)}" for _ in range(40)), *passage[:20]]) for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    dealt = []
+    linked = near_dup.NearDuplicates._linked
+    monkeypatch.setattr(near_dup.NearDuplicates, "_linked", lambda self, rows: (dealt.append(rows.count()), linked(self, rows))[1])
+    out = near_dup.near_duplicates(docs, 3, 90, 100)
+    assert out.select("component_id").distinct().count() == (1 if near else 3000)
+    assert sum(dealt) < 10 * 3000
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(30)] + [(500, i) for i in range(300, 340)] + [(7, 7)]
@@ -181,17 +220,24 @@ def test_substrings(spark, monkeypatch, shard, batch):
     assert got == dict(enumerate(_removed([t.encode() for t in texts], 200)))
 
 
-@given(st.lists(st.lists(st.text("ab", max_size=14), max_size=4), max_size=6))
+@given(st.lists(st.lists(st.text("ab", max_size=14), max_size=4), max_size=6), st.integers(1, 4))
 @settings(deadline=None, max_examples=60)
-def test_suffix_index(batches):
+def test_suffix_index(batches, scan):
+    substrings.SCAN = scan
     index = substrings.SuffixIndex(3)
     texts = [t.encode() for b in batches for t in b]
     for b in batches:
         index.add([t.encode() for t in b])
     every = [t[i : i + 3] for t in texts for i in range(len(t) - 2)]
+    at = np.cumsum([0, *map(len, texts)])
+    hit = [bool(index.hit[b + i]) for b, t in zip(at, texts, strict=False) for i in range(len(t) - 2)]
     count = Counter(every)
-    assert index.hit.tolist() == [count[w] > 1 for w in every]
+    substrings.SCAN = 8192
+    assert hit == [count[w] > 1 for w in every]
     assert all(len(a) >= 2 * len(b) for a, b in zip(index.levels, index.levels[1:], strict=False))
+    for level in index.levels:
+        windows = [texts[np.searchsorted(at, p, side="right") - 1][p - at[np.searchsorted(at, p, side="right") - 1] :][:3] for p in level]
+        assert windows == sorted(set(windows))
 
 
 def test_long_text_segments():
