@@ -22,7 +22,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.curriculum(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.curriculum(table(spark, sf_dir, "documents"))
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

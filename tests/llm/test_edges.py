@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
+import bisect
 import hashlib
 from collections import Counter
 
@@ -26,7 +27,7 @@ ROWS = [
     (10, "日本語 のテキスト " * 60, "ja", "c", 600),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHING = ["score", "predicted", "spans", "shard", "h", "n", "size", "position", "doc", "sig", "row", "start", "_drop", "n_lines"]
+CLASHING = ["score", "predicted", "spans", "shard", "h", "n", "size", "position", "doc", "sig", "row", "start", "_drop", "n_lines", "_size", "_row", "_of", "_at", "_copy", "_words", "_doc", "_to", "_cuts", "at", "low", "ord", "words", "slice", "copy", "part", "id", "cuts", "carried", "_id", "_key", "_bucket", "_ghost", "node", "s1", "t", "_0", "leaf", "rest", "crcs"]
 
 
 @pytest.fixture(scope="module")
@@ -121,6 +122,9 @@ def test_mixture_takes_whole_documents(spark):
     rows += [(500 + i // 40, "the same words in many rows", "b") for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     targets = {r.source: r.target for r in mixing.source_targets(docs.select("source", common.word_count(F.col("text")).alias("size"))).collect()}
+    taken_by_mix = Counter()
+    for r in mixing.mix(docs).collect():
+        taken_by_mix[r.doc_id] += r.taken
     sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in targets}
     assert any(targets[s] < sizes[s] for s in targets) and any(targets[s] > sizes[s] for s in targets)
     whole = {(d, s): t for d, t, s in rows}
@@ -132,6 +136,33 @@ def test_mixture_takes_whole_documents(spark):
         assert len(cut) <= 1 and all(whole[r.doc_id, s].startswith(r.text) for r in cut)
         held, taken = Counter((d, x) for d, _, x in rows if x == s), Counter((r.doc_id, s) for r in own)
         assert all(target // sizes[s] * n <= taken[k] <= (target // sizes[s] + 1) * n for k, n in held.items())
+    words = Counter()
+    for r in out:
+        words[r.doc_id] += len(r.text.split())
+    assert words == +taken_by_mix  # the same words that mix counts
+
+
+def test_positions_follow_the_schedules(spark):
+    """The position is where a schedule's numeric integral reaches a document's first word; schedules go by source, not by weight."""
+    schedules = (mixing.Schedule(0.0, 4.0), mixing.Schedule(3.0, 1.0), mixing.Schedule(1.0, 1.0))
+    rows = [(i, " ".join(["w"] * (1 + i % 9)), "abcd"[i % 4]) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs, schedules).collect()
+    text = {i: t for i, t, _ in rows}
+    for n, source in enumerate("abcd"):
+        own = sorted((r for r in out if "abcd"[r.doc_id % 4] == source), key=lambda r: hashlib.md5(f"{r.doc_id} {text[r.doc_id]}".encode()).hexdigest())
+        steps = 20_000
+        weight = [schedules[n % 3].start + (schedules[n % 3].end - schedules[n % 3].start) * (t + 0.5) / steps for t in range(steps)]
+        demand = [0.0]
+        for w in weight:
+            demand.append(demand[-1] + w)
+        words, low = int(own[0].target), 0
+        for r in own:
+            assert (r.position is None) == (r.taken == 0)
+            if r.position is not None:
+                assert abs(bisect.bisect_left(demand, low / words * demand[-1]) / steps - r.position) < 1e-3
+            low += r.size
+    assert len({r.target for r in out}) > 1
 
 
 def test_substrings(docs, wide, empty):
