@@ -4,12 +4,13 @@ Each distinct qualifying line hash gets a slot of its shard's minimal perfect ha
 fingerprint, the count of documents and the document that keeps the line. Documents send 16-byte hashes to the shards
 and probe these arrays; lines themselves are neither shuffled nor joined.
 
-A line's key is the line without the bytes ``[ \\t-\\r]`` at both ends and with A-Z lower-cased. Keys count once per row
-of documents. Hash: 128 bits of XXH3.
+A line's key is the line without the bytes ``[ \\t-\\r]`` at both ends and with A-Z lower-cased. Documents are distinct
+ids; rows without an id are distinct texts. Hash: 128 bits of XXH3.
 
-Edge cases: a null or empty text is one empty line and comes back as an empty text; of rows that share the largest doc_id
-with a line all keep it; a null doc_id counts as less than all others, so it keeps a line only if no other row has it; an empty table
-gives an empty result; columns that the operator doesn't need are carried only on request.
+Edge cases: a null or empty text is one empty line and comes back as an empty text; a text of any length is split whole;
+rows that repeat an id count once for a line, and of rows that share the largest doc_id with a line all keep it; a null
+doc_id counts as less than all others, so it keeps a line only if no other row has it; an empty table gives an empty
+result; other columns are carried only on request, under any names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialize, mix64, partitions
+from .common import SPACE, carried_row, materialize, mix64, partitions
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -163,9 +164,7 @@ def _clean(hot: dict[str, bytes], min_chars: int, carried: list[str]):
         arrays = LineIndex.from_row(hot)
         for batch in batches:
             out: dict[str, list] = {"n_lines": [], "n_dropped": [], "kept": []}
-            texts, drops = batch.column(batch.schema.get_field_index("text")), batch.column(batch.schema.get_field_index("_drop"))
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
-            for doc, text, drop in zip(ids, texts.cast(pa.binary()).fill_null(b""), drops, strict=True):
+            for doc, text, drop in zip(batch.column(0), batch.column(1).cast(pa.binary()).fill_null(b""), batch.column(2), strict=True):
                 text, drop, doc = text.as_py(), set(drop.as_py() or ()), NO_ID if (doc := doc.as_py()) is None else doc
                 lines, kept = text.count(b"\n") + 1, None
                 if drop or len(arrays.prints) and len(text) >= min_chars:
@@ -180,42 +179,43 @@ def _clean(hot: dict[str, bytes], min_chars: int, carried: list[str]):
                 out["n_lines"].append(lines)
                 out["n_dropped"].append(lines - len(kept) if kept is not None else 0)
                 out["kept"].append(text if kept is None else b"\n".join(kept))
-            made = {"n_lines": pa.array(out["n_lines"], pa.int64()), "n_dropped": pa.array(out["n_dropped"], pa.int64())}
-            if "kept_sha256" in carried:
-                made["kept_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in out["kept"]], pa.string())
-            if "kept_text" in carried:
-                made["kept_text"] = pa.array(out["kept"], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(batch.schema.get_field_index(c)) for c in carried], carried)
+            made = [batch.column(0), pa.array(out["n_lines"], pa.int64()), pa.array(out["n_dropped"], pa.int64())]
+            if carried[3] == "kept_sha256":
+                made.append(pa.array([hashlib.sha256(x).hexdigest() for x in out["kept"]], pa.string()))
+            else:
+                made.append(pa.array(out["kept"], pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([*made, *(batch.column(3).flatten() if len(carried) > 4 else [])], carried)
 
     return clean
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, text_out: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_lines, n_dropped`` of each row, with ``kept_text`` (or, without ``text_out``, its ``kept_sha256``)
-    and the columns ``carry``: lines whose key has ``min_chars`` code points and is in ``min_docs`` rows or more are
+    and the columns ``carry``: lines whose key has ``min_chars`` code points and is in ``min_docs`` documents or more are
     dropped except in the largest doc_id that holds them."""
     spark = docs.sparkSession
     row = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))  # so that rows without an id don't gather in one group
     lines = materialize(docs.select("doc_id", "text", row).mapInArrow(_occurrences(min_chars), "doc_id long, row long, h1 long, h2 long"), "lines")
-    counted = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("doc_id"), F.lit(NO_ID)).alias("keeper")).filter(F.col("n") >= min_docs)
+    counted = lines.groupBy("h1", "h2").agg(F.count_distinct(F.coalesce("doc_id", "row")).alias("n"), F.coalesce(F.max("doc_id"), F.lit(NO_ID)).alias("keeper")).filter(F.col("n") >= min_docs)
     counted = materialize(counted, "line-counts")
     total, entries = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot_from = max(min_docs, total // HOT_LINES) + 1
     hot = counted.filter(F.col("n") >= hot_from).toArrow()
     assert hot.num_rows <= HOT_LINES
     hot_row = LineIndex.build(*(hot.column(k).to_numpy().copy() for k in ("h1", "h2", "n", "keeper"))).to_row()
-    # A shard holds about 2**20 lines' arrays and 2**22 occurrences at most, in even shares: no line in it is hot.
-    shards = max(4 * partitions(spark), entries >> 20, total >> 22)
+    # A shard holds about 2**20 lines' arrays and probes about 2**21 occurrences of lines, whether these repeat or not, in
+    # even shares: no line in it is hot.
+    shards = max(4 * partitions(spark), entries >> 20, lines.count() >> 21)
     shard = F.pmod("h1", F.lit(shards)).cast("int")
     index = counted.filter(F.col("n") < hot_from).withColumn("shard", shard).groupBy("shard").applyInArrow(_build, _INDEX)
     cold = lines.join(F.broadcast(counted.filter(F.col("n") >= hot_from).select("h1", "h2")), ["h1", "h2"], "left_anti").withColumn("shard", shard)
     hits = index.groupBy("shard").cogroup(cold.groupBy("shard")).applyInArrow(_probe, "doc_id long, row long, hash binary")
-    drops = hits.groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).agg(F.collect_set("hash").alias("_drop"))
+    drops = hits.groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).agg(F.collect_set("hash").alias("drop"))
     kinds = dict(docs.dtypes)
     carried = ["doc_id", "n_lines", "n_dropped", "kept_text" if text_out else "kept_sha256", *carry]
-    schema = ", ".join(f"`{c}` " + {"n_lines": "long", "n_dropped": "long", "kept_text": "string", "kept_sha256": "string"}.get(c, kinds.get(c, "")) for c in carried)
-    rows = docs.select("doc_id", "text", *carry).join(drops.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_doc")) & row.eqNullSafe(F.col("_row")), "left")
-    return rows.drop("_doc", "_row").mapInArrow(_clean(hot_row, min_chars, carried), schema)
+    schema = ", ".join([f"`doc_id` {kinds['doc_id']}, n_lines long, n_dropped long, {carried[3]} string", *(f"`{c}` {kinds[c]}" for c in carry)])
+    rows = docs.select("doc_id", "text", row.alias("row"), carried_row(carry)).join(drops.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("row").eqNullSafe(F.col("_row")), "left")
+    return rows.select("doc_id", "text", "drop", "carried").mapInArrow(_clean(hot_row, min_chars, carried), schema)
 
 
 ORACLE = """

@@ -91,6 +91,25 @@ def test_line_dedup_null_ids(spark, monkeypatch, hot, others):
     assert kept == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_line_dedup_repeated_ids(spark, monkeypatch, hot):
+    """Documents are distinct ids: two ids over five rows are two documents, and rows with the largest id keep the line."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot)
+    line, other = "a line that two documents hold in five of their rows", "a line that five documents hold in six of their rows"
+    rows = [(i % 2, f"{line}\n{i}") for i in range(5)] + [(10 + i, f"{other}\n{i}") for i in range(5)] + [(14, f"{other}\nx")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = rows[:5] + [(10 + i, str(i)) for i in range(4)] + [(14, f"{other}\n4"), (14, f"{other}\nx")]
+    assert sorted((r.doc_id, r.kept_text) for r in out) == sorted(want)
+
+
+def test_carried_columns(spark, docs, wide, empty):
+    """Columns are carried under any names, an operator's own among them."""
+    names = tuple(c for c in CLASHING if c not in ("n_lines", "spans"))  # those that the results have
+    for out in (line_dedup.dedup_lines(wide, carry=names), substrings.remove_repeats(wide, carry=names)):
+        assert out.columns[-len(names) :] == list(names)
+        assert all(r[c] == "clash" for r in out.collect() for c in names)
+
+
 def test_mixing(docs, wide, empty):
     for rows in (docs, wide):
         out = mixing.curriculum(rows).collect()
