@@ -9,13 +9,17 @@ toxic if one of its features is far more frequent, beyond chance, in toxic docum
 gradient ascent on the conditional likelihood. Forward-backward gives each token's marginal; a document's score is a
 logistic function of the expected number of toxic tokens and of the largest marginal, fitted on the documents' labels.
 
-The model is fitted on a bounded sample: MAX_TRAINING documents of each label, those with the smallest md5(doc_id).
-Scoring covers every whole text.
-
-Edge cases: null and empty texts have no tokens and get the score of a text without toxic tokens; null labels are not
-used; of several labels of a document the largest counts; without labels of both kinds every score is the labels' mean
-(0 without labels); a null doc_id is never held out, nor used for fitting; rows that repeat are scored alike; an empty
-table gives an empty result; only the columns ``carry`` are kept.
+The model is fitted on a bounded sample of the labelled documents that aren't held out: MAX_TRAINING of each label and
+MAX_TRAINING_BYTES of their texts, smallest md5(doc_id) first, with all sequences of each. The logistic function is fitted
+on signals of documents that a field hadn't seen: the sample's halves are scored by fields fitted on the other half. Its
+ridge is the one of RIDGES with the least loss when either half's function is tried on the other half. Nothing is chosen
+by the held-out fold. Scoring covers every whole text.
+
+Edge cases: null and empty texts have no tokens and get the score of a text without toxic tokens; a text of any length is
+scored whole; null labels are not used; of several labels of a document the largest counts; of rows that repeat a labelled
+id the least text is learnt from; without labels of both kinds every score is the labels' mean (0 without labels); a null
+doc_id is never held out, nor used for fitting; rows that repeat are scored alike; an empty table gives an empty result;
+only the columns ``carry`` are kept.
 """
 
 from __future__ import annotations
@@ -25,13 +29,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, flat, range_hashes
+from .common import LOWER, Ranges, flat, runs
 
 MAX_TRAINING = 2000
+MAX_TRAINING_BYTES = 8 << 20
 FOLDS = 5
+RIDGES = (0.001, 0.01, 0.1, 1.0, 10.0)
 FEATURES = 1 << 20
 MAX_SEQUENCE = 256
 CHUNK = 256  # texts tokenized at a time, so that arrays stay small
@@ -53,6 +59,10 @@ class Tokens:
     features: np.ndarray  # a row for each token
     sequence: np.ndarray  # of each token, rising
     place: np.ndarray  # in its sequence
+    word: np.ndarray  # hash of its bytes
+
+    def of(self, keep: np.ndarray) -> Tokens:
+        return Tokens(*(getattr(self, k)[keep] for k in ("start", "end", "doc", "features", "sequence", "place", "word")))
 
 
 def tokenize(data: np.ndarray, offsets: np.ndarray) -> Tokens:
@@ -71,18 +81,21 @@ def tokenize(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     place = np.arange(len(start)) - np.repeat(begin, np.diff(np.append(begin, len(start))))
     new |= place % MAX_SEQUENCE == 0
     sequence = np.cumsum(new) - 1
-    kinds = [range_hashes(data, start, end)] + [range_hashes(data, start, np.minimum(start + n, end)) for n in AFFIXES] + [range_hashes(data, np.maximum(end - SUFFIX, start), end)]
-    features = np.stack([(h ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(44) for i, h in enumerate(kinds)], 1).astype(np.int32) if len(start) else np.zeros((0, len(AFFIXES) + 2), np.int32)
-    return Tokens(start, end, doc, features, sequence, place % MAX_SEQUENCE)
+    ranges = Ranges(data)
+    kinds = [ranges.hashes(start, end)] + [ranges.hashes(start, np.minimum(start + n, end)) for n in AFFIXES] + [ranges.hashes(np.maximum(end - SUFFIX, start), end)]
+    features = np.empty((len(start), len(kinds)), np.int32)
+    for i, h in enumerate(kinds):
+        features[:, i] = (h ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(44)
+    return Tokens(start, end, doc, features, sequence, place % MAX_SEQUENCE, kinds[0])
 
 
-def _join(parts: list[Tokens]) -> Tokens:
-    """Tokens of chunks of texts as of all texts; offsets stay those in the chunks."""
+def _join(parts: list[Tokens], docs: list[int]) -> Tokens:
+    """Tokens of chunks of texts as of all texts, given the texts before each; offsets stay those in the chunks."""
     sequences = 0
-    for i, x in enumerate(parts):
+    for x, before in zip(parts, docs, strict=True):
         last = int(x.sequence[-1]) + 1 if len(x.sequence) else 0
-        x.doc, x.sequence, sequences = x.doc + i * CHUNK, x.sequence + sequences, sequences + last
-    return Tokens(*(np.concatenate([getattr(x, k) for x in parts]) for k in ("start", "end", "doc", "features", "sequence", "place")))
+        x.doc, x.sequence, sequences = x.doc + before, x.sequence + sequences, sequences + last
+    return Tokens(*(np.concatenate([getattr(x, k) for x in parts]) for k in ("start", "end", "doc", "features", "sequence", "place", "word")))
 
 
 @dataclass
@@ -91,15 +104,17 @@ class Crf:
     bias: float = 0.0
     transition: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
 
-    def marginals(self, features: np.ndarray, sequence: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    def emissions(self, features: np.ndarray) -> np.ndarray:
+        return self.weights[features].sum(1).astype(np.float64) + self.bias
+
+    def marginals(self, emit: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """P(toxic) of each token, the expected transitions (2 x 2), and the log of all sequences' partition functions.
 
         All sequences advance together, one step a token.
         """
-        n = len(sequence)
+        n = len(emit)
         if not n:
             return np.zeros(0), np.zeros((2, 2)), 0.0
-        emit = self.weights[features].sum(1).astype(np.float64) + self.bias
         odds = np.exp(np.clip(emit, -30, 30))
         begin = np.flatnonzero(place == 0)
         length = np.diff(np.append(begin, n))
@@ -135,11 +150,14 @@ class Crf:
         inner = tokens.place > 0
         seen = np.zeros((2, 2))
         np.add.at(seen, (label[:-1][inner[1:]], label[1:][inner[1:]]), 1)
-        size, cells = max(1, len(y)), tokens.features.ravel()
+        # Tokens of one word have one emission, so weights are looked up and moved once a word.
+        _, one, word = np.unique(tokens.word, return_index=True, return_inverse=True)
+        features, size = tokens.features[one], max(1, len(y))
+        cells, times = features.ravel(), features.shape[1]
         square, square_t, square_b = np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8), 1e-8
         for _ in range(rounds):
-            p, pairs, _ = self.marginals(tokens.features, tokens.sequence, tokens.place)
-            slope = np.bincount(cells, np.repeat(y - p, tokens.features.shape[1]), FEATURES) / size - decay * self.weights
+            p, pairs, _ = self.marginals(self.emissions(features)[word], tokens.place)
+            slope = np.bincount(cells, np.repeat(np.bincount(word, y - p, len(one)), times), FEATURES) / size - decay * self.weights
             slope_t, slope_b = (seen - pairs) / size - decay * self.transition, float((y - p).sum()) / size
             square, square_t, square_b = square + slope**2, square_t + slope_t**2, square_b + slope_b**2
             self.weights = (self.weights + rate * slope / np.sqrt(square)).astype(np.float32)
@@ -166,7 +184,7 @@ def _signals(p: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     if len(p):
         first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         most[doc[first]] = np.maximum.reduceat(p, first)
-    expected = np.bincount(doc, np.where(p > 0.01, p, 0), docs) if len(p) else np.zeros(docs)
+    expected = np.bincount(doc, p, docs) if len(p) else np.zeros(docs)
     return np.stack([np.ones(docs), np.log1p(expected), most], 1)
 
 
@@ -182,28 +200,50 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(signals @ self.calibration, -30, 30)))
 
 
+def calibrate(x: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float) -> np.ndarray:
+    """Logistic regression of labels on signals, by Newton's method; the intercept isn't held back."""
+    w, held = np.zeros(3), ridge * np.array([0, 1, 1])
+    for _ in range(30):
+        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weights * (labels - q)) - held * w
+        curve = (x * (weights * q * (1 - q))[:, None]).T @ x + np.diag(held + 1e-6)
+        step = np.linalg.solve(curve, slope)
+        w = w + step / max(1, np.abs(step).max() / 2)
+    return w
+
+
+def _loss(x: np.ndarray, labels: np.ndarray, weights: np.ndarray, w: np.ndarray) -> float:
+    z = np.clip(x @ w, -30, 30)
+    return float(weights @ (np.log1p(np.exp(z)) - labels * z))
+
+
+def _field(tokens: Tokens, labels: np.ndarray, docs: np.ndarray) -> Crf:
+    """The field fitted on the tokens of some of the documents."""
+    part = tokens.of(docs[tokens.doc])
+    number = np.cumsum(docs) - 1
+    part.doc = number[part.doc]
+    crf = Crf()
+    crf.fit(part, token_labels(part, labels[docs]))
+    return crf
+
+
 def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray) -> Model:
     """``weights``: the documents that each sampled one stands for."""
     if not len(labels) or labels.min() == labels.max():
         return Model(None, np.zeros(3), float(np.average(labels, weights=weights)) if len(labels) else 0.0)
-    tokens = _join([tokenize(*flat(texts.slice(i, CHUNK))) for i in range(0, len(texts), CHUNK)])
-    label = token_labels(tokens, labels)
-    sequences = int(tokens.sequence[-1]) + 1 if len(tokens.sequence) else 0
-    marked = np.bincount(tokens.sequence, label, sequences) > 0
-    picked = marked | (np.arange(sequences) * 2654435761 % 1000 < 150)  # every sequence with a toxic token, 15 % of the others
-    keep = picked[tokens.sequence] if sequences else np.zeros(0, bool)
-    part = Tokens(tokens.start[keep], tokens.end[keep], tokens.doc[keep], tokens.features[keep], tokens.sequence[keep], tokens.place[keep])
-    crf = Crf()
-    crf.fit(part, label[keep])
-    p, _, _ = crf.marginals(tokens.features, tokens.sequence, tokens.place)
-    x, w = _signals(p, tokens.doc, len(labels)), np.zeros(3)
-    for _ in range(30):  # Newton's method, with a ridge for separable labels
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weights * (labels - q)) - 0.01 * w * [0, 1, 1]
-        curve = (x * (weights * q * (1 - q))[:, None]).T @ x + np.diag([1e-6, 0.01, 0.01])
-        step = np.linalg.solve(curve, slope)
-        w = w + step / max(1, np.abs(step).max() / 2)
-    return Model(crf, w)
+    chunks = list(runs(texts, 1 << 20, CHUNK))
+    tokens = _join([tokenize(*flat(texts.slice(i, n))) for i, n in chunks], [i for i, _ in chunks])
+    half = np.zeros(len(labels), bool)
+    for y in (0, 1):
+        half[np.flatnonzero(labels == y)[::2]] = True
+    x = np.zeros((len(labels), 3))
+    for side in (half, ~half):
+        crf, there = _field(tokens, labels, side), ~side
+        p, _, _ = crf.marginals(crf.emissions(tokens.features), tokens.place)
+        x[there] = _signals(p, tokens.doc, len(labels))[there]
+    tried = {r: sum(_loss(x[~s], labels[~s], weights[~s], calibrate(x[s], labels[s], weights[s], r)) for s in (half, ~half)) for r in RIDGES}
+    crf = _field(tokens, labels, np.ones(len(labels), bool))
+    return Model(crf, calibrate(x, labels, weights, min(tried, key=tried.get)))
 
 
 def _spans(data: np.ndarray, offsets: np.ndarray, tokens: Tokens, p: np.ndarray) -> list[list[dict]]:
@@ -237,14 +277,14 @@ def _score(model: Model, carried: list[str], text_column: str):
             plain.crf.weights[sparse[0]] = sparse[1]
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_column))
-            for i in range(0, len(texts), CHUNK):
-                part = batch.slice(i, CHUNK)
-                data, offsets = flat(texts.slice(i, CHUNK))
+            for i, n in runs(texts, 1 << 20, CHUNK):
+                part = batch.slice(i, n)
+                data, offsets = flat(texts.slice(i, n))
                 if plain.crf is None:
                     tokens, p = tokenize(data[:0], np.zeros(part.num_rows + 1, np.int64)), np.zeros(0)
                 else:
                     tokens = tokenize(data, offsets)
-                    p, _, _ = plain.crf.marginals(tokens.features, tokens.sequence, tokens.place)
+                    p, _, _ = plain.crf.marginals(plain.crf.emissions(tokens.features), tokens.place)
                 s = plain.score(_signals(p, tokens.doc, part.num_rows))
                 spans = _spans(data, offsets, tokens, p) if plain.crf else [[] for _ in range(part.num_rows)]
                 arrays = [part.column(part.schema.get_field_index(c)) for c in carried] + [pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.array(spans, _SPANS)]
@@ -253,15 +293,19 @@ def _score(model: Model, carried: list[str], text_column: str):
     return score
 
 
-def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING) -> Model:
-    """Fit on labelled documents outside the held-out fold, ``max_training`` of each label at most."""
+def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING, max_bytes: int = MAX_TRAINING_BYTES) -> Model:
+    """Fit on labelled documents outside the held-out fold, ``max_training`` and ``max_bytes`` of each label at most."""
     ids = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = ids.filter(~held_out("doc_id")).filter(F.col("toxic").isin(0, 1))
     have = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
-    chosen = [ids.filter(F.col("toxic") == y).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_training) for y in (0, 1)]
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending")])
+    order = [F.md5(F.col("doc_id").cast("string")), "doc_id"]
+    chosen = [ids.filter(F.col("toxic") == y).orderBy(*order).limit(max_training) for y in (0, 1)]
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # max_training of each label, so the window is bounded
+    texts = texts.withColumn("bytes", F.sum(F.octet_length("text")).over(Window.partitionBy("toxic").orderBy(*order)))
+    sample = texts.filter(F.col("bytes") <= max_bytes).select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending")])
     y = sample.column("toxic").to_numpy().astype(np.float64) if sample.num_rows else np.zeros(0)
-    share = np.array([max(1.0, have.get(v, 0) / max_training) for v in (0, 1)])
+    share = np.array([max(1.0, have.get(v, 0) / max(1, int((y == v).sum()))) for v in (0, 1)])
     return fit(sample.column("text").combine_chunks(), y, share[y.astype(int)])
 
 

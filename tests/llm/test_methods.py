@@ -1,7 +1,9 @@
 """The methods themselves against brute force, round trips and held-out accuracy."""
 
+import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -398,9 +400,8 @@ def test_marginals_are_exact():
     crf = toxicity.Crf(rng.normal(size=toxicity.FEATURES).astype(np.float32), 0.3, rng.normal(size=(2, 2)))
     lengths = [1, 4, 2, 5]
     features = rng.integers(0, toxicity.FEATURES, (sum(lengths), 6))
-    sequence = np.repeat(np.arange(4), lengths)
     place = np.concatenate([np.arange(n) for n in lengths])
-    p, pairs, total = crf.marginals(features, sequence, place)
+    p, pairs, total = crf.marginals(crf.emissions(features), place)
     at, want_pairs, want_total = 0, np.zeros((2, 2)), 0.0
     for n in lengths:
         emit = crf.weights[features[at : at + n]].sum(1).astype(float) + crf.bias
@@ -419,6 +420,41 @@ def test_marginals_are_exact():
     assert np.allclose(pairs, want_pairs) and abs(total - want_total) < 1e-8
 
 
+def test_score_by_hand(spark):
+    """Tokens, features, sums over all paths and the logistic function, done again in plain Python."""
+    docs = spark.createDataFrame([(i, "you are a filthy scumbag. truly" if i % 3 == 0 else "all is well. we are fine") for i in range(90)], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int"))
+    texts = ["You scumbag! You, é are fine", "", "well\nfilthy filthy 3 scum", None]
+
+    def feature(kind, word):
+        h = int(common.range_hashes(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]))[0])
+        return ((h ^ 0x9E3779B97F4A7C15 * (kind + 1) & (1 << 64) - 1) * 0xFF51AFD7ED558CCD & (1 << 64) - 1) >> 44
+
+    def score(text):
+        expected = most = 0.0
+        for sentence in re.split(r"[.!?\n]", text or ""):
+            words = [w.encode() for w in re.findall(r"[a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), sentence))]
+            emit = [sum(float(model.crf.weights[feature(k, x)]) for k, x in enumerate([w, w[:3], w[:4], w[:5], w[:6], w[-4:]])) + model.crf.bias for w in words]
+            paths = list(itertools.product((0, 1), repeat=len(words)))
+            weight = [math.exp(sum(e * y for e, y in zip(emit, p, strict=True)) + sum(model.crf.transition[a, b] for a, b in zip(p, p[1:], strict=False))) for p in paths]
+            marginal = [sum(w for w, p in zip(weight, paths, strict=True) if p[i]) / sum(weight) for i in range(len(words))]
+            expected, most = expected + sum(marginal), max([most, *marginal])
+        return 1 / (1 + math.exp(-(model.calibration @ [1, math.log1p(expected), most])))
+
+    out = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in out:
+        assert abs(r.score - score(texts[r.doc_id])) < 1e-5 and r.predicted == (r.score >= 0.5)
+    assert out[0].predicted and not out[1].predicted
+
+
+def test_held_out_labels_change_nothing(spark):
+    rows = [(i, f"you are a filthy scumbag {i}" if i % 3 == 0 else f"all is well {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    label = lambda i, other: int((i % 3 == 0) != (other and zlib.crc32(str(i).encode()) % 5 == 0))
+    a, b = (toxicity.train(docs, spark.createDataFrame([(i, 1, label(i, o)) for i in range(200)], "doc_id long, quality int, toxic int")) for o in (False, True))
+    assert (a.calibration == b.calibration).all() and (a.crf.weights == b.crf.weights).all()
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     rows = QUERIES["op1_toxicity"](spark, sf).join(common.table(spark, sf, "labels"), "doc_id").filter("held_out").select("toxic", "predicted", "score").collect()
