@@ -10,9 +10,9 @@ the threshold, a ratio of integers. No link is lost:
    elements in U for its prefix sends all its elements.
 3. Classes that are tied by shared prefix elements, and by sizes that allow a link, form families: components of that
    graph. A family of BLOCK classes at most is one group.
-4. Larger families first link what is easy: classes are dealt by a min-hash of their prefixes into groups of about BLOCK,
-   each with the PIVOTS of its sizes, so that a mass of near copies becomes one component. What remains are links between
-   components: sizes are divided into bins such that links are within bins or between adjacent ones, a bin's classes
+4. Larger families first link what is easy, in rounds: classes without a large component are dealt by a min-hash of their
+   prefixes into groups of about BLOCK, each with the PIVOTS of its sizes (the classes with the most links so far), so that a
+   mass of near copies becomes one component. What remains are links between components: sizes are divided into bins such that links are within bins or between adjacent ones, a bin's classes
    into blocks, those of a large component apart, and blocks meet but for those of one component. Families of over WIDE
    blocks aren't met as a whole: there the classes with one shared element, and sizes that allow a link, are what is
    divided so, and elements that only one component has are left out. So a set is copied at most once for each block that
@@ -43,7 +43,7 @@ from .common import HOT, LOWER, flat, materialize, mix64, partitions, range_hash
 from .components import components
 
 BLOCK = 256  # classes in a block
-WIDE = 16  # blocks of a family that is met as a whole
+WIDE = 64  # blocks of a family that is met as a whole
 PURE = 64  # classes of a component that has blocks of its own
 PIVOTS = 8
 MOST = 4096  # an element that so many classes have isn't counted further
@@ -274,7 +274,10 @@ def _meet(num: int, den: int, all_links: bool):
             return i
 
         links: list[tuple[int, int]] = []
+        degree = np.zeros(len(node), np.int64)
         for a, b in found:
+            np.add.at(degree, a, 1)
+            np.add.at(degree, b, 1)
             if all_links:
                 links.extend((u, v) for u, v in zip(node[a], node[b], strict=True) if u != v)
                 continue
@@ -283,7 +286,11 @@ def _meet(num: int, den: int, all_links: bool):
                     parent[max(p, q)] = min(p, q)
         if not all_links:
             links = [(node[i], node[r]) for i in range(len(node)) if (r := root(i)) != i]
-        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+        made = {"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64()), "degree": pa.array([0] * len(links), pa.int32())}
+        if degree.any():  # and the set with the most links, as a row of its own
+            hub = int(np.argmax(degree))
+            made = {k: pa.concat_arrays([x, pa.array([y], x.type)]) for (k, x), y in zip(made.items(), (node[hub], node[hub], degree[hub]), strict=True)}
+        return pa.table(made)
 
     return meet
 
@@ -305,7 +312,7 @@ def _load_sets(k: int):
     return load
 
 
-_LINKS = "u long, v long"
+_LINKS = "u long, v long, degree int"
 
 
 class NearDuplicates:
@@ -339,12 +346,12 @@ class NearDuplicates:
         members = materialize(members, "members")
         self.sets = self._load(rows, members)
         large = members.filter(F.col("classes") > BLOCK)
-        easy = None if all_links or large.isEmpty() else materialize(self._linked(self._easy(large)), "links")
+        easy = None if all_links or large.isEmpty() else self._rounds(large)
         groups = members.filter(F.col("classes") <= BLOCK * WIDE).select(F.col("family").alias("g1"), F.lit(-1).alias("g2"), "node", "bin")
         wide = members.filter(F.col("classes") > BLOCK * WIDE)
         part = F.lit(-1).cast("long")
         if easy is not None:
-            found = materialize(components(easy), "parts")
+            found = materialize(components(easy.select("u", "v")), "parts")
             size = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
             found = skew_join(found, size, ["root"], F.col("size") > max(1024, found.count() // HOT))
             part = F.coalesce("root", "node")
@@ -361,7 +368,8 @@ class NearDuplicates:
         pure = F.when(F.col("size") >= PURE, F.col("root")).otherwise(F.lit(-1).cast("long"))
         groups = materialize(groups.join(found, "node", "left").withColumn("part", F.coalesce(pure, F.lit(-1).cast("long"))).select("g1", "g2", "node", "bin", "part"), "groups")
         links = self._linked(self._meetings(groups))
-        self.links = materialize(links if easy is None else links.unionByName(easy), "links")
+        links = (links if easy is None else links.unionByName(easy)).filter("u <> v").select("u", "v")
+        self.links = materialize(links.distinct() if all_links else links, "links")
 
     def _runs(self, held: DataFrame) -> DataFrame:
         """``node, n, h, run, tie`` for each element of a prefix. Linked sets' sizes are within the threshold's ratio, and
@@ -382,18 +390,38 @@ class NearDuplicates:
         texts = texts.join(wanted.hint("shuffle_hash"), (F.col("doc") == F.col("_doc")) & (F.col("t") == F.col("_t"))).select("text", "node", "s1", "s2")
         return materialize(texts.mapInArrow(_load_sets(self.k), "node long, elements binary"), "sets")
 
-    def _easy(self, large: DataFrame) -> DataFrame:
+    def _rounds(self, large: DataFrame) -> DataFrame:
+        """Links that make few components of what is close; rounds end when they no longer find much."""
+        large = materialize(large.select("family", "bin", "node", "prefix"), "large")
+        links, loose, hubs, left, salt = None, large, None, large.count(), 0
+        while True:
+            salt += 1
+            found = materialize(self._linked(self._easy(loose, large, hubs, salt)), "links")
+            links = found if links is None else materialize(links.unionByName(found), "links")
+            roots = components(links.select("u", "v"))
+            size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= PURE).select("root")
+            loose = materialize(large.join(roots.join(size, "root").select("node"), "node", "left_anti"), "loose")
+            hubs, before, left = found.filter("degree > 0").select(F.col("u").alias("node"), "degree"), left, loose.count()
+            if left > 0.9 * before or left <= BLOCK:
+                return links
+
+    def _easy(self, loose: DataFrame, large: DataFrame, hubs: DataFrame | None, salt: int) -> DataFrame:
         """``meeting, node, side`` of groups of classes with close prefixes, and the pivots of theirs and the next sizes."""
-        large = large.select("family", "bin", "node", F.array_min(F.transform("prefix", lambda h: F.xxhash64(h))).alias("least"))
-        binned = large.groupBy("family", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"))
-        large = large.join(binned, ["family", "bin"]).withColumn("bucket", F.pmod("least", "k"))
-        full = large.groupBy("family", "bin", "bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k2"))
-        large = large.join(full, ["family", "bin", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("node"), "k2"))
+        slot = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(PIVOTS)).alias("slot")
+        if hubs is None:
+            pivots = large.groupBy("family", "bin", slot).agg(F.min("node").alias("node"))
+        else:
+            most = hubs.groupBy("node").agg(F.max("degree").alias("degree")).join(large.select("family", "bin", "node"), "node")
+            pivots = most.groupBy("family", "bin", slot).agg(F.max_by("node", F.struct("degree", "node")).alias("node"))
+        loose = loose.select("family", "bin", "node", F.array_min(F.transform("prefix", lambda h: F.xxhash64(h, F.lit(salt)))).alias("least"))
+        binned = loose.groupBy("family", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"))
+        loose = loose.join(binned, ["family", "bin"]).withColumn("bucket", F.pmod("least", "k"))
+        full = loose.groupBy("family", "bin", "bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k2"))
+        loose = loose.join(full, ["family", "bin", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("node"), "k2"))
         listed = full.select("family", "bin", "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k2") - 1)).alias("sub"))
         listed = materialize(listed.withColumn("meeting", F.monotonically_increasing_id()), "easy")
-        pivots = large.groupBy("family", "bin", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot")).agg(F.min("node").alias("node"))
-        near_by = listed.withColumn("bin", F.explode(F.array("bin", F.col("bin") + 1)))
-        rows = large.join(listed, ["family", "bin", "bucket", "sub"]).select("meeting", "node")
+        near_by = listed.withColumn("bin", F.explode(F.array(F.col("bin") - 1, "bin", F.col("bin") + 1)))
+        rows = loose.join(listed, ["family", "bin", "bucket", "sub"]).select("meeting", "node")
         return rows.unionByName(near_by.join(pivots, ["family", "bin"]).select("meeting", "node")).withColumn("side", F.lit(0))
 
     def _meetings(self, groups: DataFrame) -> DataFrame:
@@ -414,8 +442,7 @@ class NearDuplicates:
 
     def _linked(self, dealt: DataFrame) -> DataFrame:
         meet = _meet(self.num, self.den, self.all_links)
-        found = dealt.join(self.sets, "node").groupBy("meeting").applyInArrow(lambda group: meet(group), _LINKS)
-        return found.distinct() if self.all_links else found
+        return dealt.join(self.sets, "node").groupBy("meeting").applyInArrow(lambda group: meet(group), _LINKS)
 
     def documents(self) -> DataFrame:
         """``doc_id, n_shingles, component_id`` of every row."""
