@@ -24,6 +24,7 @@ only the columns ``carry`` are kept.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, Ranges, flat, runs
 
 MAX_TRAINING = 2000
-MAX_TRAINING_BYTES = 8 << 20
+MAX_TRAINING_BYTES = 2 << 20  # the fit takes about a second a MB on the driver
 FOLDS = 5
 RIDGES = (0.001, 0.01, 0.1, 1.0, 10.0)
 FEATURES = 1 << 20
@@ -98,9 +99,23 @@ def _join(parts: list[Tokens], docs: list[int]) -> Tokens:
     return Tokens(*(np.concatenate([getattr(x, k) for x in parts]) for k in ("start", "end", "doc", "features", "sequence", "place", "word")))
 
 
+def layout(place: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Where each token goes so that all sequences' first tokens come first, then their second ones and so on, longest
+    sequence first; and how many sequences have each."""
+    if not len(place):
+        return np.zeros(0, np.int64), []
+    begin = np.flatnonzero(place == 0)
+    length = np.diff(np.append(begin, len(place)))
+    rank = np.empty(len(length), np.int64)
+    rank[np.argsort(-length, kind="stable")] = np.arange(len(length))
+    alive = len(length) - np.searchsorted(np.sort(length), np.arange(int(length.max())), side="right")
+    first = np.concatenate([[0], np.cumsum(alive)])
+    return first[place] + np.repeat(rank, length), alive.tolist()
+
+
 @dataclass
 class Crf:
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES, np.float32))  # for the toxic state
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES, np.float32))  # for the toxic state, by feature
     bias: float = 0.0
     transition: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
 
@@ -108,41 +123,48 @@ class Crf:
         return self.weights[features].sum(1).astype(np.float64) + self.bias
 
     def marginals(self, emit: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """P(toxic) of each token, the expected transitions (2 x 2), and the log of all sequences' partition functions.
-
-        All sequences advance together, one step a token.
-        """
-        n = len(emit)
+        """P(toxic) of each token, the expected transitions (2 x 2), and the log of all sequences' partition functions."""
+        at, alive = layout(place)
+        ordered = np.empty(len(emit))
+        ordered[at] = emit
+        p, pairs, total = self.forward_backward(ordered, alive)
+        return p[at], pairs, total
+
+    def forward_backward(self, emit: np.ndarray, alive: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
+        """The same of tokens in the order of :func:`layout`: all sequences advance together, one step a token, and a
+        step's tokens lie side by side."""
+        n, pairs = len(emit), np.zeros((2, 2))
         if not n:
-            return np.zeros(0), np.zeros((2, 2)), 0.0
+            return np.zeros(0), pairs, 0.0
         odds = np.exp(np.clip(emit, -30, 30))
-        begin = np.flatnonzero(place == 0)
-        length = np.diff(np.append(begin, n))
-        begin = begin[np.argsort(-length, kind="stable")]
-        length = -np.sort(-length, kind="stable")
-        longest = int(length[0])
-        alive = np.searchsorted(-length, -np.arange(longest), side="left")  # sequences longer than t
+        first = [0, *itertools.accumulate(alive)]
         t = np.exp(self.transition)
-        clean, toxic, scale = np.empty(n), np.empty(n), np.empty(n)
-        for step in range(longest):
-            at = begin[: alive[step]] + step
+        toxic, scale = np.empty(n), np.empty(n)  # given what came before, a token is clean with 1 - toxic
+        for step, m in enumerate(alive):
+            at = slice(first[step], first[step] + m)
             if step:
-                before = at - 1
-                a = clean[before] * t[0, 0] + toxic[before] * t[1, 0]
-                b = (clean[before] * t[0, 1] + toxic[before] * t[1, 1]) * odds[at]
+                b = toxic[first[step - 1] : first[step - 1] + m]
+                clean_to = t[0, 0] + b * (t[1, 0] - t[0, 0])
+                toxic_to = (t[0, 1] + b * (t[1, 1] - t[0, 1])) * odds[at]
             else:
-                a, b = np.ones(len(at)), odds[at]
-            total = a + b
-            clean[at], toxic[at], scale[at] = a / total, b / total, total
-        after_clean, after_toxic, pairs = np.ones(n), np.ones(n), np.zeros((2, 2))
-        for step in range(longest - 1, 0, -1):
-            at = begin[: alive[step]] + step
-            before, w = at - 1, after_toxic[at] * odds[at] / scale[at]
-            v = after_clean[at] / scale[at]
-            after_clean[before] = t[0, 0] * v + t[0, 1] * w
-            after_toxic[before] = t[1, 0] * v + t[1, 1] * w
-            pairs += t * np.array([[clean[before] @ v, clean[before] @ w], [toxic[before] @ v, toxic[before] @ w]])
-        return toxic * after_toxic, pairs, float(np.log(scale).sum())
+                clean_to, toxic_to = np.ones(m), odds[at]
+            np.add(clean_to, toxic_to, out=scale[at])
+            np.divide(toxic_to, scale[at], out=toxic[at])
+        total = float(np.log(scale).sum())
+        p = toxic.copy()
+        after_clean = after_toxic = None
+        for step in range(len(alive) - 1, 0, -1):
+            m, at = alive[step], slice(first[step], first[step + 1])
+            v, w = 1 / scale[at], odds[at] / scale[at]
+            if after_clean is not None:
+                v[: len(after_clean)] *= after_clean
+                w[: len(after_toxic)] *= after_toxic
+            b = toxic[first[step - 1] : first[step - 1] + m]
+            bv, bw, sv, sw = np.einsum("i,i", b, v), np.einsum("i,i", b, w), v.sum(), w.sum()  # one thread
+            pairs += t * np.array([[sv - bv, sw - bw], [bv, bw]])
+            after_clean, after_toxic = t[0, 0] * v + t[0, 1] * w, t[1, 0] * v + t[1, 1] * w
+            p[first[step - 1] : first[step - 1] + m] *= after_toxic
+        return p, pairs, total
 
     def fit(self, tokens: Tokens, label: np.ndarray, rounds: int = 40, rate: float = 0.5, decay: float = 1e-4) -> None:
         """Full-batch AdaGrad on the conditional log-likelihood."""
@@ -150,18 +172,24 @@ class Crf:
         inner = tokens.place > 0
         seen = np.zeros((2, 2))
         np.add.at(seen, (label[:-1][inner[1:]], label[1:][inner[1:]]), 1)
-        # Tokens of one word have one emission, so weights are looked up and moved once a word.
+        # Tokens of one word have one emission, so weights are looked up and moved once a word; only weights in use move.
         _, one, word = np.unique(tokens.word, return_index=True, return_inverse=True)
-        features, size = tokens.features[one], max(1, len(y))
-        cells, times = features.ravel(), features.shape[1]
-        square, square_t, square_b = np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8), 1e-8
+        used, cells = np.unique(tokens.features[one], return_inverse=True)
+        cells, size = cells.reshape(len(one), -1), max(1, len(y))
+        flat_cells, times = cells.ravel(), cells.shape[1]
+        at, alive = layout(tokens.place)
+        order = np.empty(len(at), np.int64)
+        order[at] = np.arange(len(at))
+        word, y = word[order], y[order]
+        weights, square, square_t, square_b = np.zeros(len(used)), np.full(len(used), 1e-8), np.full((2, 2), 1e-8), 1e-8
         for _ in range(rounds):
-            p, pairs, _ = self.marginals(self.emissions(features)[word], tokens.place)
-            slope = np.bincount(cells, np.repeat(np.bincount(word, y - p, len(one)), times), FEATURES) / size - decay * self.weights
+            p, pairs, _ = self.forward_backward((weights[cells].sum(1) + self.bias)[word], alive)
+            slope = np.bincount(flat_cells, np.repeat(np.bincount(word, y - p, len(one)), times), len(used)) / size - decay * weights
             slope_t, slope_b = (seen - pairs) / size - decay * self.transition, float((y - p).sum()) / size
             square, square_t, square_b = square + slope**2, square_t + slope_t**2, square_b + slope_b**2
-            self.weights = (self.weights + rate * slope / np.sqrt(square)).astype(np.float32)
+            weights = weights + rate * slope / np.sqrt(square)
             self.transition, self.bias = self.transition + rate * slope_t / np.sqrt(square_t), self.bias + rate * slope_b / square_b**0.5
+        self.weights[used] = weights
 
 
 def token_labels(tokens: Tokens, doc_label: np.ndarray) -> np.ndarray:
