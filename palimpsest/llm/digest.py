@@ -10,7 +10,7 @@ the overlap expected by chance and 1 the largest possible one.
 
 Edge cases: a text without any selectable window (shorter than 32 bytes, or monotonous) has one feature, its whole text;
 an empty text has an empty chain, which is like another empty one (1) and unlike all else (0); equal texts have equal
-digests; null is empty.
+digests; null is empty; a text of any length is one text, its windows held at once.
 
 In :func:`successors` documents pair with the next by rising doc_id, the last with the first; rows with equal ids follow
 each other by text; null ids come first; a sole document is its own next; an empty table gives an empty result.

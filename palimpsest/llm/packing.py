@@ -48,6 +48,9 @@ class ByteTokenizer:
     #: Fixed value: the byte-level vocabulary's rule for cutting a text before merging.
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+    #: Words that are empty or have white space (or a control character) at an end.
+    EDGE = r"^$|^[\x00-\x20\x7f-\xa0\p{Z}]|[\x00-\x20\x7f-\xa0\p{Z}]$"
+
     def __init__(self, path: str, ranks: str):
         import tiktoken
         from tokenizers import Tokenizer
@@ -75,31 +78,36 @@ class ByteTokenizer:
         at = np.asarray(parts.offsets)
         values = parts.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
         at = at - at[0]
-        word, names = np.asarray(values.indices), values.dictionary.to_pylist()
-        bad = np.array([not x or x[0].isspace() or x[-1].isspace() for x in names], bool)
-        odd = odd | np.logical_or.reduceat(np.append(bad[word], False), at[:-1]) if len(word) else odd
+        word, names = np.asarray(values.indices), values.dictionary
+        bad = np.asarray(pc.match_substring_regex(names, self.EDGE))
+        odd = odd | np.logical_or.reduceat(bad[word], at[:-1])
         inner = np.ones(len(word), bool)
         inner[at[:-1]] = False  # a text's first word has no blank before it
         inner &= ~np.repeat(odd, np.diff(at))
         used = np.unique(word[inner])
-        sizes = np.array([len(names[i].encode()) + 1 for i in used], np.int64)
-        ids = np.asarray(self.words.encode_to_numpy("".join(" " + names[i] for i in used), disallowed_special=())).astype(np.int32)
-        reach = np.cumsum(self.bytes[ids])
-        end = np.searchsorted(reach, np.cumsum(sizes), side="right")
-        begin = np.concatenate([[0], end[:-1]]) if len(end) else end
+        held = names.take(pa.array(used)).cast(pa.string())
+        sizes = np.asarray(pc.binary_length(held)).astype(np.int64) + 1
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held), " ")[0].as_py() if len(used) else ""
+        ids = np.asarray(self.words.encode_to_numpy(" " + joined, disallowed_special=())).astype(np.int32) if len(used) else np.zeros(0, np.int32)
+        end = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes), side="right")
         where = np.zeros(len(names), np.int64)
         where[used] = np.arange(len(used))
-        out: list[np.ndarray] = []
-        for i, text_odd in enumerate(odd):
-            if text_odd:
-                text = texts[i].as_py()
-                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int32) if text else np.zeros(0, np.int32))
-                continue
-            own = where[word[at[i] + 1 : at[i + 1]]]
-            count = end[own] - begin[own]
-            shift = np.cumsum(count) - count
-            rest = ids[np.arange(int(count.sum())) + np.repeat(begin[own] - shift, count)]
-            out.append(np.concatenate([self._first(names[word[at[i]]]), rest]))
+        first = at[:-1][~odd]
+        distinct, own = np.unique(word[first], return_inverse=True)
+        heads = [self._first(x) for x in names.take(pa.array(distinct)).to_pylist()]
+        # All tokens in one pool; each word has a place and a count there.
+        pool = np.concatenate([ids, *heads])
+        ends = np.concatenate([end, len(ids) + np.cumsum([len(x) for x in heads], dtype=np.int64)])
+        begins = np.concatenate([[0], ends[:-1]])
+        slot = np.full(len(word), -1)
+        slot[inner], slot[first] = where[word[inner]], len(used) + own
+        count = np.where(slot >= 0, ends[slot] - begins[slot], 0) if len(ends) else np.zeros(len(word), np.int64)
+        upto = np.concatenate([[0], np.cumsum(count)])
+        tokens = pool[np.arange(upto[-1]) + np.repeat(begins[slot] - upto[:-1], count)] if len(ends) else pool
+        out = np.split(tokens, upto[at[1:-1]])
+        for i in np.flatnonzero(odd):
+            text = texts[int(i)].as_py()
+            out[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int32) if text else np.zeros(0, np.int32)
         return out
 
 
@@ -155,9 +163,9 @@ class Bm25:
         return np.bincount(np.concatenate([self.items[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
 
 
-def vectors(items: list[np.ndarray], vocabulary: int, stats: Statistics) -> np.ndarray:
+def vectors(items: list[np.ndarray], vocabulary: int, stats: Statistics, cells: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
     """The items' BM25 weights by hashed term, each of length 1."""
-    item, token, tf = _cells(items, vocabulary)
+    item, token, tf = cells or _cells(items, vocabulary)
     slot = (mix64(np.arange(vocabulary)) % np.uint64(TREE_DIM)).astype(np.int64)
     out = np.bincount(item * TREE_DIM + slot[token], _weights(items, item, token, tf, stats), len(items) * TREE_DIM)
     out = out.reshape(len(items), TREE_DIM).astype(np.float32)
@@ -264,10 +272,11 @@ def _tokens(path: str, ranks: str, end_id: int, window: int, ids_out: bool, stat
                     columns["head"] = pa.array([ids[:n].tobytes() for ids, n in zip(docs, full, strict=True)], pa.binary())
                 if tree:
                     parts = [items[j : j + 1024] for j in range(0, len(items), 1024)]
-                    columns["leaf"] = pa.array(np.concatenate([tree.place(vectors(x, tokenizer.size, stats)) for x in parts]))
+                    cells = [_cells(x, tokenizer.size) for x in parts]
+                    columns["leaf"] = pa.array(np.concatenate([tree.place(vectors(x, tokenizer.size, stats, c)) for x, c in zip(parts, cells, strict=True)]))
                     columns["near"] = pa.array([int(hashed[x].min()) if len(x) else 0 for x in items], pa.int64())
-                    for x in parts:
-                        counts[:-2] += np.bincount(_cells(x, tokenizer.size)[1], minlength=tokenizer.size)
+                    for _, token, _ in cells:
+                        counts[:-2] += np.bincount(token, minlength=tokenizer.size)
                     counts[-2:] += sum(len(x) > 0 for x in items), sum(map(len, items))
                 number += len(docs)
                 yield pa.RecordBatch.from_pydict(columns)

@@ -277,6 +277,56 @@ def test_entropy_windows():
         assert abs(rank[s] - want) < 2e3
 
 
+def _popular(rank, neighbours, popularity):
+    """How often each window is the leftmost one of least rank among ``neighbours`` in a row, counted one by one."""
+    count = [0] * len(rank)
+    for i in range(1 - neighbours, len(rank)):
+        around = [j for j in range(max(0, i), min(len(rank), i + neighbours)) if rank[j] < digest._NEVER]
+        if around:
+            count[min(around, key=lambda j: (rank[j], j))] += 1
+    return [j for j, c in enumerate(count) if c >= popularity]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_features_by_hand(seed):
+    """Selection, the chain of filters and the likeness against plain loops."""
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet"]) + str(rng.randrange(9)) for _ in range(rng.choice([3, 60, 300, 900]))).encode() for _ in range(4)]
+    texts[1] = texts[0][: len(texts[0]) // 2] + texts[1]
+    chains = digest.fingerprints(texts)
+    for text, chain in zip(texts, chains, strict=True):
+        data = np.frombuffer(text, np.uint8)
+        rank, hashes = digest.windows(data)
+        at = _popular(rank.tolist(), digest.NEIGHBOURS, digest.POPULARITY)
+        assert digest.select(rank, np.array([0, len(rank)])).tolist() == at
+        features = list(dict.fromkeys(int(x) for x in common.mix64(hashes[np.array(at, int)])))
+        filters = []
+        for i in range(0, len(features), digest.FEATURES):
+            bits = 0
+            for f in features[i : i + digest.FEATURES]:
+                for k in range(digest.HASHES):
+                    bits |= 1 << (f >> 11 * k & digest.BITS - 1)
+            filters.append((len(features[i : i + digest.FEATURES]), bits))
+        if features:
+            assert [(int(r[0]), int.from_bytes(r[1:].tobytes(), "little")) for r in chain] == filters
+    unpack = lambda chain: [(int(r[0]), int.from_bytes(r[1:].tobytes(), "little")) for r in chain]
+    for a in chains:
+        for b in chains:
+            x, y = sorted((unpack(a), unpack(b)), key=len)
+            if x == y:
+                assert digest.likeness(a, b) == 1.0
+                continue
+            best = []
+            for _, p in x:
+                near = []
+                for _, q in y:
+                    chance, most = p.bit_count() * q.bit_count() / digest.BITS, min(p.bit_count(), q.bit_count())
+                    near.append(((p & q).bit_count() - chance) / (most - chance) if most > chance else 0)
+                best.append(max(near))
+            mean = sum(n * v for (n, _), v in zip(x, best, strict=True)) / sum(n for n, _ in x)
+            assert abs(digest.likeness(a, b) - min(1, max(0, mean))) < 1e-9
+
+
 def test_digest_of_parts_is_digest_of_whole():
     rng = random.Random(2)
     texts = [" ".join(rng.choice(["alpha", "béta", "gamma", "delta", "日本", "x"]) + str(rng.randrange(50)) for _ in range(n)).encode() for n in (0, 1, 3, 10, 40, 200, 900, 300)]
@@ -368,6 +418,45 @@ def test_packing_prefers_neighbours():
     assert pure >= len(sequences) - 2
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_bm25_and_greedy_filling_by_hand(seed):
+    """Scores by the formula, and windows filled by a plain walk over all unused neighbours."""
+    rng = np.random.default_rng(seed)
+    docs = [np.append(rng.zipf(1.5, rng.integers(1, 60)) % 200 + 1, 0).astype(np.int32) for _ in range(28)]
+    window, left, start = 64, {}, {}
+    want = []
+    for d, ids in enumerate(docs):
+        full = len(ids) // window * window
+        want += [[(d, s, window)] for s in range(0, full, window)]
+        if full < len(ids):
+            left[d], start[d] = len(ids) - full, full
+    held = {d: docs[d][start[d] :].tolist() for d in left}
+    mean = sum(map(len, held.values())) / len(held)
+
+    def score(seed, d):
+        total = 0.0
+        for term in set(held[seed]):
+            df, tf = sum(term in x for x in held.values()), held[d].count(term)
+            total += math.log(1 + (len(held) - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(held[d]) / mean))
+        return total
+
+    index = packing.Bm25([docs[d][start[d] :] for d in held], 201)
+    for i, d in enumerate(held):
+        assert np.allclose(index.scores(i), [score(d, other) for other in held])
+    for seed_doc in held:
+        if not left[seed_doc]:
+            continue
+        pieces, space = [], window
+        order = sorted((d for d in held if d != seed_doc), key=lambda d: (-round(score(seed_doc, d), 9), d))
+        for d in [seed_doc, *order]:
+            if space and left[d]:
+                size = min(space, left[d])
+                pieces.append((d, start[d], size))
+                start[d], left[d], space = start[d] + size, left[d] - size, space - size
+        want.append(pieces)
+    assert packing.pack_shard(docs, 201, window) == want
+
+
 def test_packing_ranks_by_all_terms():
     """Neighbours that share only frequent terms with a seed are found, however many rare terms it has."""
     rare, shared = np.arange(100, 200), np.arange(60)
