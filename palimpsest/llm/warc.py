@@ -1,12 +1,12 @@
 """WARC archives compressed with Zstandard and a dictionary of their own.
 
 An archive starts with a skippable frame that holds the dictionary; then each record is one frame. Archives travel as
-rows ``(archive, content)`` so that any store Spark can write to holds them; :func:`read_archives` also takes what
-Spark's ``binaryFile`` source reads of ``.warc.zst`` files.
+rows ``(archive, content)`` so that any store Spark can write to holds them; :func:`save_archives` writes them as
+``.warc.zst`` files, and :func:`read_archives` also takes what Spark's ``binaryFile`` source reads of such.
 
 Edge cases: a null payload is an empty one; a null id is written as ``null`` and comes back as null; a null address is
 written as the record's own id; control characters in an address are percent-encoded; an archive without any payload
-bytes has a dictionary frame of length 0; an empty table makes no archives; rows that repeat make records that repeat.
+bytes has a dictionary frame of length 0; a payload of any length is one record, in an archive that ends with it; an empty table makes no archives; rows that repeat make records that repeat.
 A frame, header, length or digest that doesn't hold raises ``ValueError``.
 """
 
@@ -14,14 +14,16 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import HOT, materialize
 
 #: Fixed values of the format: skippable dictionary frame, Zstandard frame.
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -39,10 +41,17 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     smallest id is a response (every row that has that id) and the others revisit it; smaller ones are responses."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
-    first = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy(F.col("payload_digest").alias("_digest")).agg(F.min("page_id").alias("_first"))
-    joined = rows.join(first, F.col("payload_digest") == F.col("_digest"), "left")
-    revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return joined.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_first")).alias("refers_to"))
+    first = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy(F.col("payload_digest").alias("digest")).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = materialize(first, "warc-repeats")
+    # Payloads that very many pages have are broadcast (HOT at most); their pages are spread by id instead of by digest.
+    hot = F.col("n") > max(1024, pages.count() // HOT)
+    heavy = F.broadcast(first.filter(hot).select(F.col("digest").alias("hot_digest"), F.col("first").alias("hot_first")))
+    joined = rows.join(heavy, F.col("payload_digest") == F.col("hot_digest"), "left")
+    key = F.when(F.col("hot_digest").isNull(), F.col("payload_digest")).otherwise(F.concat_ws(" ", "payload_digest", "page_id"))
+    joined = joined.withColumn("key", key).join(first.filter(~hot).select("digest", "first"), F.col("key") == F.col("digest"), "left")
+    joined = joined.withColumn("first", F.coalesce("first", "hot_first"))
+    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    return joined.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"))
 
 
 def _name(page_id) -> str:
@@ -191,6 +200,33 @@ def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
     return with_revisits(pages, min_bytes).mapInArrow(_write, ARCHIVES)
 
 
+def _save(folder: str):
+    def save(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = f"{base}/.{name}.{uuid.uuid4().hex}"  # no file is seen before it is whole; a task that runs again writes the same
+                with store.open_output_stream(part) as out:
+                    out.write(content.as_buffer())
+                store.move(part, f"{base}/{name}")
+            yield pa.RecordBatch.from_pydict({"archive": batch.column(0), "bytes": pc.binary_length(batch.column(1)).cast(pa.int64())})
+
+    return save
+
+
+def save_archives(archives: DataFrame, folder: str) -> DataFrame:
+    """Write each archive as a file below ``folder``, an address that all executors reach; ``archive, bytes`` of each."""
+    return archives.select("archive", "content").mapInArrow(_save(folder), "archive string, bytes long")
+
+
+def open_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The archives among the files of ``folder``, as rows for :func:`read_archives`."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select(F.col("path").alias("archive"), "content")
+
+
 def read_archives(archives: DataFrame, fields: tuple[str, ...] = tuple(_TYPES)) -> DataFrame:
     """The records of archives: of a ``content`` column with one whole archive a row."""
     kinds = dict(x.split(" ") for x in RECORDS.split(", "))

@@ -580,6 +580,22 @@ def test_archive_round_trip(items):
     assert back == rows
 
 
+def test_archive_files(spark, sf, tmp_path):
+    """Archives as files, read back by Spark's file source; and pages of one very common payload spread by id."""
+    pages = common.table(spark, sf, "pages").withColumn("html", F.when(F.col("page_id") % 3 == 0, F.lit("the same page " * 20)).otherwise(F.col("html")))
+    plain = sorted(map(str, warc.read_archives(warc.write_archives(pages)).collect()))
+    saved = warc.save_archives(warc.write_archives(pages), f"file://{tmp_path}/archives").collect()
+    assert sorted(r.archive for r in saved) == sorted(p.name for p in (tmp_path / "archives").iterdir())
+    back = warc.read_archives(warc.open_archives(spark, f"file://{tmp_path}/archives"))
+    assert sorted(map(str, back.collect())) == plain and len(plain) == pages.count()
+
+
+def test_common_pages(spark):
+    rows = [(i, "u", "the same page " * 20 if i % 3 else f"own page {i} " * 20) for i in range(3000)]
+    out = warc.with_revisits(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert out.filter("record_type = 'revisit'").agg(F.count("*"), F.min("refers_to"), F.max("refers_to")).first() == (1999, 1, 1)
+
+
 def test_broken_archives():
     import hashlib
 
