@@ -70,8 +70,11 @@ HOT = 4096
 
 def skew_join(rows: DataFrame, table: DataFrame, keys: list[str], hot: Column, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table``, which has a key once. The keys for which ``hot`` holds (HOT at most) are broadcast, so that
-    rows of a hot key stay where they are; the others are shuffled."""
+    rows of a hot key stay where they are; the others are shuffled. ``table`` is stored first."""
+    table = materialize(table, "keys")
     heavy = table.filter(hot)
+    if not heavy.count():
+        return rows.join(table, keys, how)
     hit = rows.join(F.broadcast(heavy), keys)
     rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(table.filter(~hot), keys, how)
     return hit.unionByName(rest)

@@ -336,8 +336,7 @@ class NearDuplicates:
         picked = own.join(self.classes, ["s1", "s2"]).withColumn("prefix", F.concat(F.slice("common", 1, spare.cast("int")), F.filter("all", lambda h: (h < 0) | (h >= cut))))
         held = materialize(picked.filter("size(prefix) > 0").select("node", "n", "at", "s1", "s2", "prefix"), "prefixes")
         near = self._runs(held)
-        family = materialize(components(near.select(F.col("node").alias("u"), F.col("tie").alias("v"))), "families")
-        family = family.select("node", F.col("root").alias("family"))
+        family = materialize(components(near.select(F.col("node").alias("u"), F.col("tie").alias("v"))).withColumnRenamed("root", "family"), "families")
         sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("classes"))
         family = materialize(skew_join(family, sizes, ["family"], F.col("classes") > max(1024, family.count() // HOT)), "families")
         # Linked sets' sizes are in one bin or in adjacent ones; a family that is one group needs no bins.
@@ -346,18 +345,14 @@ class NearDuplicates:
         members = materialize(members, "members")
         self.sets = self._load(rows, members)
         large = members.filter(F.col("classes") > BLOCK)
-        easy = None if all_links or large.isEmpty() else self._rounds(large)
+        easy, found = (None, None) if all_links or large.isEmpty() else self._rounds(large)
         groups = members.filter(F.col("classes") <= BLOCK * WIDE).select(F.col("family").alias("g1"), F.lit(-1).alias("g2"), "node", "bin")
         wide = members.filter(F.col("classes") > BLOCK * WIDE)
         part = F.lit(-1).cast("long")
-        if easy is not None:
-            found = materialize(components(easy.select("u", "v")), "parts")
-            size = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-            found = skew_join(found, size, ["root"], F.col("size") > max(1024, found.count() // HOT))
+        if found is not None:
             part = F.coalesce("root", "node")
         else:
-            found = self.spark.createDataFrame([], "root long, node long, size long")
-        found = materialize(found.select("node", "root", "size"), "parts")
+            found = self.spark.createDataFrame([], "node long, root long, size long")
         if not wide.isEmpty():
             by_element = near.join(wide.select("node", "bin"), "node").join(found, "node", "left").withColumn("part", part)
             held_by = by_element.groupBy("h", "run").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("c"))
@@ -390,8 +385,9 @@ class NearDuplicates:
         texts = texts.join(wanted.hint("shuffle_hash"), (F.col("doc") == F.col("_doc")) & (F.col("t") == F.col("_t"))).select("text", "node", "s1", "s2")
         return materialize(texts.mapInArrow(_load_sets(self.k), "node long, elements binary"), "sets")
 
-    def _rounds(self, large: DataFrame) -> DataFrame:
-        """Links that make few components of what is close; rounds end when they no longer find much."""
+    def _rounds(self, large: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links that make few components of what is close, and ``node, root, size`` of these; rounds end when they no
+        longer find much."""
         large = materialize(large.select("family", "bin", "node", "prefix"), "large")
         links, loose, hubs, left, salt = None, large, None, large.count(), 0
         while True:
@@ -399,11 +395,12 @@ class NearDuplicates:
             found = materialize(self._linked(self._easy(loose, large, hubs, salt)), "links")
             links = found if links is None else materialize(links.unionByName(found), "links")
             roots = components(links.select("u", "v"))
-            size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= PURE).select("root")
-            loose = materialize(large.join(roots.join(size, "root").select("node"), "node", "left_anti"), "loose")
+            size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+            roots = materialize(skew_join(roots, size, ["root"], F.col("size") > max(1024, left // HOT)).select("node", "root", "size"), "parts")
+            loose = materialize(large.join(roots.filter(F.col("size") >= PURE).select("node"), "node", "left_anti"), "loose")
             hubs, before, left = found.filter("degree > 0").select(F.col("u").alias("node"), "degree"), left, loose.count()
-            if left > 0.9 * before or left <= BLOCK:
-                return links
+            if left > 0.7 * before or left <= BLOCK:
+                return links, roots
 
     def _easy(self, loose: DataFrame, large: DataFrame, hubs: DataFrame | None, salt: int) -> DataFrame:
         """``meeting, node, side`` of groups of classes with close prefixes, and the pivots of theirs and the next sizes."""
