@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm import line_dedup, mixing, near_dup, packing, toxicity
-from palimpsest.llm.common import materialize, table
+from palimpsest.llm.common import discard, materialize, table
 from palimpsest.llm.queries import tokenizer_files
 
 #: SQL can express neither the first stage's model nor the last one's tokenizer.
@@ -51,12 +51,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, once."""
-    groups = near_dup.near_duplicates(docs.select("doc_id", "text"), k=5, num=8, den=10)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
+    """Of each group of near duplicates the document with the smallest id stays, once for each of its texts in the group."""
     rows, _ = _split(docs)
-    kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").dropDuplicates(["doc_id", "text"])
-    return _restore(kept, docs)
+    rows = rows.withColumn("_text", F.xxhash64("text"))  # rows that share an id may be in different groups
+    groups = near_dup.NearDuplicates(docs.select("doc_id", "text"), k=5, num=8, den=10).documents(texts=True)
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first"), F.col("t").alias("_its")).distinct()
+    kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("_first")) & F.col("_text").eqNullSafe(F.col("_its")), "left_semi")
+    return _restore(kept.dropDuplicates(["doc_id", "text"]), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,7 +81,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(before)  # the next stage reads this one's table alone
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

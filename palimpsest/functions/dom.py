@@ -11,12 +11,13 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values of the language and of the pages read.
+# Fixed values of the language and of the pages read: tags, classes, addresses and phrases.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {
     "p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 blockquote pre form hr section article nav footer header".split()),
@@ -30,6 +31,10 @@ VERBATIM = ("pre", "code", "script", "style")
 CHROME = ("script", "style", "noscript", "iframe", "form", "input", "button", "select", "textarea")
 EDIT_LINK = re.compile(r"[?&]cmd=(edit|guiedit|freeze|diff|backup)")
 EDIT_IMAGE = re.compile(r"(guiedit|paraedit|edit)\.png")
+ATTACHMENT, NEW_PAGE = "plugin=attach", "plugin=newpage"
+COMMENTS, COMMENT, COMMENT_FORM, NEW_MARK, LATEST = "pcomment", "pcmt", "pcomment-form", "__plugin_new", "最新の20件"
+FOLDED, RULES_NOTICES = "rgn-container", ("板を利用する前にルールを必ずお読みください", "ルールについて")
+PROFILE, NAME_HEADING = "プロフィール", "名前"
 SOURCE_SCRIPT = re.compile("[ぁ-んァ-ヶ一-龯々〆ヵヶ]")
 
 
@@ -169,41 +174,61 @@ def body_of(root: Node) -> Node:
     return next((n for n in root.walk() if n.attrs.get("id") == "body"), None) or next(iter(root.find("body")), root)
 
 
-def keep_comments(root: Node) -> None:
-    """Take visitors' comments out of the forms that go."""
-    for box in root.find("div", class_="pcomment"):
-        for form in box.find("form"):
-            lists = form.find("ul")
-            if lists and lists[0].find("li", class_="pcmt"):
-                lists[0].put_before(form)
-            form.remove()
-        for n in [*box.find("style"), *[d for d in box.find("div") if d.attrs.get("id") == "pcomment-form"], *[p for p in box.find("p") if "最新の20件" in p.content()]]:
-            n.remove()
-        for item in box.find("li", class_="pcmt"):
-            for n in [*item.find("input", class_="pcmt")[:1], *item.find("span", class_="__plugin_new")]:
-                n.remove()
-
-
-def remove_chrome(body: Node) -> None:
-    """Scripts, forms, editing links and images, empty anchors and comments go; links around attached images open."""
-    for n in body.find(*CHROME):
-        n.remove()
-    for a in body.find("a"):
-        href = a.attrs.get("href")
-        if href is None:
-            continue
-        if "plugin=attach" in href:
-            a.unwrap() if a.find("img") else a.remove()
-        elif EDIT_LINK.search(href) or "plugin=newpage" in href or href.startswith("#") and not a.content().strip() and not a.find("img"):
-            a.remove()
-    for n in [n for n in body.walk() if n.tag == "!" or n.tag == "img" and EDIT_IMAGE.search(n.attrs.get("src", ""))]:
-        n.remove()
+def is_a(node: Node, tag: str, class_: str | None = None) -> bool:
+    return node.tag == tag and (class_ is None or class_ in node.attrs.get("class", "").split())
+
+
+def within(tag: str, class_: str, test: Callable[[Node], bool]) -> Callable[[Node], bool]:
+    return lambda n: test(n) and any(is_a(a, tag, class_) for a in n.ancestors())
+
+
+def _link(test: Callable[[str, Node], bool]) -> Callable[[Node], bool]:
+    return lambda n: n.tag == "a" and "href" in n.attrs and test(n.attrs["href"], n)
+
 
+def _gone(node: Node) -> list[Node]:
+    return []
 
-def remove_boilerplate(body: Node, marks: tuple[str, ...] = ("板を利用する前にルールを必ずお読みください", "ルールについて")) -> None:
-    for box in body.find("div", class_="rgn-container"):
-        if any(m in box.content(" ") for m in marks):
-            box.remove()
+
+def _opened(node: Node) -> list[Node]:
+    return node.children
+
+
+def _list_of_comments(form: Node) -> list[Node]:
+    return [x for x in form.find("ul")[:1] if x.find("li", class_=COMMENT)]
+
+
+#: What stands in the place of a node: the first rule whose test holds decides.
+Rule = tuple[Callable[[Node], bool], Callable[[Node], list[Node]]]
+CLEANING: list[Rule] = [
+    (within("div", COMMENTS, lambda n: n.tag == "form"), _list_of_comments),
+    (lambda n: n.tag in CHROME or n.tag == "!", _gone),
+    (within("div", COMMENTS, lambda n: n.tag == "div" and n.attrs.get("id") == COMMENT_FORM), _gone),
+    (within("div", COMMENTS, lambda n: n.tag == "p" and LATEST in n.content()), _gone),
+    (within("li", COMMENT, lambda n: is_a(n, "span", NEW_MARK)), _gone),
+    (_link(lambda href, n: ATTACHMENT in href and bool(n.find("img"))), _opened),
+    (_link(lambda href, n: any(x in href for x in (ATTACHMENT, NEW_PAGE)) or bool(EDIT_LINK.search(href))), _gone),
+    (_link(lambda href, n: href.startswith("#") and not n.content().strip() and not n.find("img")), _gone),
+    (lambda n: n.tag == "img" and bool(EDIT_IMAGE.search(n.attrs.get("src", ""))), _gone),
+]
+BOILERPLATE: list[Rule] = [(lambda n: is_a(n, "div", FOLDED) and any(m in n.content(" ") for m in RULES_NOTICES), _gone)]
+
+
+def rewrite(root: Node, rules: list[Rule]) -> None:
+    """Put what the rules say in the place of each node below, and below that again."""
+    open_ = [root]
+    while open_:
+        node = open_.pop()
+        waiting, node.children = node.children[::-1], []
+        while waiting:
+            child = waiting.pop()
+            child.parent = node
+            make = next((make for test, make in rules if test(child)), None)
+            if make is None:
+                node.children.append(child)
+                open_.append(child)
+            else:
+                waiting.extend(reversed(make(child)))
 
 
 def rewrite_links(body: Node, name_of: Callable[[str], str | None], slugs: dict[str, str], url_of: Callable[[str], str]) -> None:
@@ -215,7 +240,7 @@ def rewrite_links(body: Node, name_of: Callable[[str], str | None], slugs: dict[
         name = name_of(href)
         anchor = "#" + href.split("#", 1)[1] if name is not None and "#" in href else ""
         if name is not None and (slug := slugs.get(name)):
-            a.attrs |= {"href": f"__ROUTE__/{slug}.html{anchor}", "class": f"{a.attrs.get('class', '')} internal-link".strip()}
+            a.attrs |= {"href": f"__ROUTE__/{quote(slug)}.html{anchor}", "class": f"{a.attrs.get('class', '')} internal-link".strip()}
         elif name is not None:
             a.attrs |= {"href": url_of(name) + anchor, "target": "_blank", "rel": "noopener", "class": f"{a.attrs.get('class', '')} source-link".strip()}
         elif href.startswith("http"):
@@ -223,17 +248,29 @@ def rewrite_links(body: Node, name_of: Callable[[str], str | None], slugs: dict[
 
 
 def innermost_blocks(root: Node) -> list[Node]:
-    return [n for n in root.find(*BLOCKS) if not n.find(*BLOCKS) and not any(a.tag in VERBATIM for a in n.ancestors()) and n.inner().strip()]
+    """Blocks that hold no other block, aren't empty and aren't verbatim, in one walk that knows the block around."""
+    around, found = set(), []
+    below: list[tuple[Node, Node | None, bool]] = [(c, None, False) for c in reversed(root.children)]
+    while below:
+        node, block, verbatim = below.pop()
+        if node.tag in BLOCKS:
+            around.add(id(block))
+            if not verbatim:
+                found.append(node)
+            block = node
+        verbatim = verbatim or node.tag in VERBATIM
+        below.extend((c, block, verbatim) for c in reversed(node.children))
+    return [n for n in found if id(n) not in around and n.inner().strip()]
 
 
 def clean(html: str) -> Node:
+    """A page's body without chrome and boilerplate; visitors' comments are kept, those outside the body behind it."""
     root = parse(html)
-    keep_comments(root)
     body = body_of(root)
-    for box in [b for b in root.find("div", class_="pcomment") if body is not b and body not in b.ancestors()]:
+    for box in [b for b in root.find("div", class_=COMMENTS) if body is not b and body not in b.ancestors()]:
         body.append(box)
-    remove_chrome(body)
-    remove_boilerplate(body)
+    rewrite(body, CLEANING)
+    rewrite(body, BOILERPLATE)
     return body
 
 
@@ -265,13 +302,15 @@ def sections(html: str, keys: list[str]) -> list[tuple[str, int, int, bool, str,
     """Cells of a page's information tables: section, row, cell, whether a heading, text, column span, row span.
 
     A section begins below the heading cell whose text starts with one of ``keys`` and ends before the next such row; the
-    first of a name counts; cells with an image alone are left out.
+    first of a name counts; cells with an image alone are left out. A table may begin with the profile's first heading
+    instead of the profile's own: then the profile begins in that row.
     """
     key_of = lambda t: next((k for k in keys if t.startswith(k)), None)
     out, done = [], set()
     body = body_of(parse(html))
     for th in body.find("th"):
-        key = key_of(th.content().strip())
+        label = th.content().strip()
+        key = key_of(label) or (PROFILE if label == NAME_HEADING and PROFILE in keys else None)
         row = next((a for a in th.ancestors() if a.tag == "tr"), None)
         table = next((a for a in th.ancestors() if a.tag == "table"), None)
         if key is None or key in done or row is None or table is None:
@@ -279,7 +318,7 @@ def sections(html: str, keys: list[str]) -> list[tuple[str, int, int, bool, str,
         done.add(key)
         rows = table.find("tr")
         r = 0
-        for tr in rows[rows.index(row) + 1 :]:
+        for tr in rows[rows.index(row) + (key_of(label) is not None) :]:
             cells = [c for c in tr.children if c.tag in ("th", "td")]
             if any(c.tag == "th" and key_of(c.content().strip()) for c in cells):
                 break

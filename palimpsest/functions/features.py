@@ -17,6 +17,15 @@ REVIVE = ["蘇生", "復活", "生き返", "复活"]
 HARD_CONTROL = ["スタン", "魅了", "呪縛", "束縛", "眩晕", "魅惑", "束缚"]
 CLEANSE = ["異常を回復", "異常状態を回復", "異常を治", "異常を取り除", "解除", "净化"]
 SLOW = ["速度低下", "速度ダウン", "速度降低", "速度を下", "速度を減"]
+# Phrases before or around a number, by what the number is. Those of the first group need a verb nearby.
+DEFENCE_WORDS = ("防御", "攻防", "防速")
+DEFENCE_LESS = r"防御.{0,10}?(\d+)%.{0,8}?(?:降低|下降|减少)"
+ATTACK_MORE = r"攻撃力?.{0,12}?(\d+)%"
+DAMAGE_DEALT, DAMAGE = r"与.{0,10}?ダメ.{0,14}?(\d+)%", r"ダメージ.{0,8}?(\d+)%"
+DEFENCE_MORE = r"防御.{0,10}?(\d+)%"
+SPEED_MORE = r"速度.{0,10}?(\d+)%"
+CHARGES = (r"必殺.{0,6}?(?:ゲージ|値).{0,6}?(\d+)%", r"チャージ.{0,6}?(\d+)%", r"充能.{0,6}?(\d+)%")
+ULTIMATE, ULTIMATE_POWER, EVERYONE = r"敵(単体|横一列|全体).{0,30}?(\d+)倍", r"必殺威力×(\d+)", "全体"
 FEVER, CRIT, BREAK, REFERENCE_REDUCTION = 3.0, 1.25, 1.5, 0.50
 ROCKET_SPEED, BELT_ATTACK, AWAKEN_ATTACK = 0.50, 0.50, 0.20
 AWAKEN_SECONDS, AWAKEN_FLOOR, AWAKEN_CHARGE, CHARGE_CAP = 2.0, 3.0, 6.0, 15.0
@@ -52,36 +61,36 @@ def largest(text: Column, pattern: str) -> Column:
 
 
 def defence_down(text: Column) -> Column:
-    parts = [largest_near(text, rf"{word}.{{0,16}}?(\d+)%", DOWN) for word in ("防御", "攻防", "防速")]
-    return F.least(F.lit(1.0), F.greatest(*parts, largest(text, r"防御.{0,10}?(\d+)%.{0,8}?(?:降低|下降|减少)")) / 100)
+    parts = [largest_near(text, rf"{word}.{{0,16}}?(\d+)%", DOWN) for word in DEFENCE_WORDS]
+    return F.least(F.lit(1.0), F.greatest(*parts, largest(text, DEFENCE_LESS)) / 100)
 
 
 def attack_up(text: Column) -> Column:
-    return largest_near(text, r"攻撃力?.{0,12}?(\d+)%", UP) / 100
+    return largest_near(text, ATTACK_MORE, UP) / 100
 
 
 def damage_up(text: Column) -> Column:
-    return F.greatest(largest_near(text, r"与.{0,10}?ダメ.{0,14}?(\d+)%", UP), largest_near(text, r"ダメージ.{0,8}?(\d+)%", UP)) / 100
+    return F.greatest(*(largest_near(text, p, UP) for p in (DAMAGE_DEALT, DAMAGE))) / 100
 
 
 def guard(text: Column) -> Column:
-    return F.least(F.lit(1.0), F.greatest(largest_near(text, r"防御.{0,10}?(\d+)%", UP), largest_near(text, r"与.{0,10}?ダメ.{0,14}?(\d+)%", DOWN)) / 100)
+    return F.least(F.lit(1.0), F.greatest(largest_near(text, DEFENCE_MORE, UP), largest_near(text, DAMAGE_DEALT, DOWN)) / 100)
 
 
 def speed_up(text: Column) -> Column:
-    return largest_near(text, r"速度.{0,10}?(\d+)%", UP) / 100
+    return largest_near(text, SPEED_MORE, UP) / 100
 
 
 def charge_up(text: Column) -> Column:
-    return F.greatest(largest(text, r"必殺.{0,6}?(?:ゲージ|値).{0,6}?(\d+)%"), largest(text, r"チャージ.{0,6}?(\d+)%"), largest(text, r"充能.{0,6}?(\d+)%")) / 100
+    return F.greatest(*(largest(text, p) for p in CHARGES)) / 100
 
 
 def ultimate(text: Column) -> Column:
     """(mult, aoe, target): the largest multiplier; whether any hits all; the last target."""
-    form = r"(?d)敵(単体|横一列|全体).{0,30}?(\d+)倍"
-    targets, numbers = F.regexp_extract_all(plain(text), F.lit(form), 1), F.regexp_extract_all(plain(text), F.lit(form), 2)
-    mult = F.greatest(F.coalesce(F.array_max(F.transform(numbers, lambda n: n.cast("double"))), F.lit(0.0)), largest(text, r"必殺威力×(\d+)"))
-    return F.struct(mult.alias("mult"), F.array_contains(targets, "全体").alias("aoe"), F.coalesce(F.try_element_at(targets, F.lit(-1)), F.lit("")).alias("target"))
+    form = F.lit(f"(?d){ULTIMATE}")
+    targets, numbers = F.regexp_extract_all(plain(text), form, 1), F.regexp_extract_all(plain(text), form, 2)
+    mult = F.greatest(F.coalesce(F.array_max(F.transform(numbers, lambda n: n.cast("double"))), F.lit(0.0)), largest(text, ULTIMATE_POWER))
+    return F.struct(mult.alias("mult"), F.array_contains(targets, EVERYONE).alias("aoe"), F.coalesce(F.try_element_at(targets, F.lit(-1)), F.lit("")).alias("target"))
 
 
 def awakened_interval(seconds: Column) -> Column:

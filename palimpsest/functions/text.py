@@ -220,10 +220,13 @@ def number_before(text: Column, unit: str) -> Column:
 
 
 def letters_label(number: Column) -> Column:
-    """0 to A, 25 to Z, 26 to AA and on."""
-    letter = lambda x: F.char(F.lit(65) + x.cast("int"))
-    one, two = F.floor(number / 26) - 1, F.floor(number / 702) - 1
-    return F.concat(F.when(number >= 702, letter(two % 26)).otherwise(""), F.when(number >= 26, letter(one % 26)).otherwise(""), letter(number % 26))
+    """0 to A, 25 to Z, 26 to AA, 702 to AAA and on, for numbers of up to seven letters."""
+    letters, before = [], 0  # the labels that are shorter
+    for k in range(7):
+        letter = F.char(F.lit(65) + (F.floor((number - before) / 26**k) % 26).cast("int"))
+        letters.insert(0, F.when(number >= before, letter).otherwise(""))
+        before += 26 ** (k + 1)
+    return F.concat(*letters)
 
 
 def category_of(value: Column, table: dict[str, str], default: str) -> Column:

@@ -48,12 +48,12 @@ def positional_join(left: DataFrame, right: DataFrame, group: str, order: str) -
     return a.join(b.withColumnsRenamed({"_n": "_m", "_count": "_total"}), (F.col(group) == F.col("_group")) & (F.col("_n") == F.col("_m")) & (F.col("_count") == F.col("_total"))).drop("_group", "_m", "_total", "_count", "_n")
 
 
-def prefix_join(rows: DataFrame, text: str, names: DataFrame, delimiters: str = " 　()（）,，.。;；:：", longest: int = 64) -> DataFrame:
+def prefix_join(rows: DataFrame, text: str, names: DataFrame, delimiters: str = " 　()（）,，.。;；:：") -> DataFrame:
     """The longest name that the text starts with, followed by a delimiter or the end; null if none.
 
-    Each place where a name may end is a candidate, so this is an equi-join on prefixes of at most ``longest``
-    characters, which is a property of the names (raise it for longer ones).
+    Each place where a name may end is a candidate, so this is an equi-join on prefixes as long as the longest name.
     """
+    longest = names.agg(F.max(F.length("name"))).first()[0] or 1
     texts = rows.select(F.col(text).alias("_text")).distinct()
     ends = F.filter(F.sequence(F.lit(1), F.least(F.length("_text"), F.lit(longest))), lambda i: (i == F.length("_text")) | F.instr(F.lit(delimiters), F.substr(F.col("_text"), i + 1, F.lit(1))).cast("boolean"))
     tries = texts.filter("_text <> ''").select("_text", F.explode(F.transform(ends, lambda i: F.substr(F.col("_text"), F.lit(1), i))).alias("name"))
@@ -84,8 +84,8 @@ def nearest_ancestor(nodes: DataFrame, wanted: Column, page: str = "page") -> Da
     marked = nodes.withColumn("_wanted", wanted).select(page, "node", "parent", "_wanted")
     up = marked.select(F.col(page).alias("_p"), F.col("node").alias("_n"), F.col("parent").alias("_up"), "_wanted")
     at, found = marked.select(page, "node", F.col("parent").alias("_at")), None
-    while at.limit(1).count():
-        step = at.join(up, (F.col(page) == F.col("_p")) & (F.col("_at") == F.col("_n")))
+    while not at.isEmpty():
+        step = at.join(up, (F.col(page) == F.col("_p")) & (F.col("_at") == F.col("_n"))).persist()  # a level is made once
         hit = step.filter("_wanted").select(page, "node", F.col("_at").alias("ancestor"))
         found = hit if found is None else found.unionByName(hit)
         at = step.filter("NOT _wanted AND _up >= 0").select(page, "node", F.col("_up").alias("_at"))

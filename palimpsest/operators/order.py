@@ -32,6 +32,14 @@ def islands(rows: DataFrame, group: str, order: list[str], same: str, name: str
     return rows.withColumn("_new", new).withColumn(name, F.sum("_new").over(window.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
+def changes(rows: DataFrame, group: str, order: list[str], state: str) -> DataFrame:
+    """Rows whose state differs from the group's last one; the first of a group differs. Two null states are equal. The
+    batch twin of ``streaming.changes.changed_pages``."""
+    window = Window.partitionBy(group).orderBy(*order)
+    marked = rows.withColumn("_same", F.col(state).eqNullSafe(F.lag(state).over(window)) & (F.row_number().over(window) > 1))
+    return marked.filter("NOT _same").drop("_same")
+
+
 def spans(marks: DataFrame, group: str, begin: str, end: Column) -> DataFrame:
     """From each mark to the next, or to ``end``."""
     window = Window.partitionBy(group).orderBy(begin)
@@ -46,12 +54,13 @@ def top_per_group(rows: DataFrame, group: list[str], order: list[Column], k: int
 def ranked_in_parts(rows: DataFrame, order: str, ties: str, name: str = "rank") -> DataFrame:
     """Global ranks by falling ``order`` then ``ties`` without gathering all rows in one task.
 
-    Rows are ranked within equal-width ranges of the sort value, and each range starts after those above it.
+    Rows are ranked within ranges between quantiles of the sort value, so that skewed values still spread, and each range
+    starts after those above it; nulls are last. Rows that share one value are one range's, in the order of ``ties``.
     """
-    low, high = rows.agg(F.min(order), F.max(order)).first()
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
-    width = ((high or 0) - (low or 0)) / parts or 1.0
-    part = F.coalesce(F.least(F.lit(parts - 1), F.floor((F.lit(high) - F.col(order)) / width)), F.lit(parts)).cast("int")
+    marks = rows.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or []
+    bounds = F.array(*[F.lit(float(m)) for m in sorted(set(marks))]) if marks else F.array().cast("array<double>")
+    part = F.when(F.col(order).isNull(), F.lit(parts)).otherwise(F.size(F.filter(bounds, lambda b: b > F.col(order)))).cast("int")
     placed = rows.withColumn("_part", part)
     counts = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
     starts, total = [], 0

@@ -46,12 +46,16 @@ def worklist(keys: DataFrame, blocks: DataFrame, known: DataFrame, norm: Norm, a
 
 
 def deduplicated(items: DataFrame, norm: Norm, order: list[str], at_least: int = 2) -> DataFrame:
-    """(norm, ja, occurrences, places): one row for a text that stands in ``at_least`` places; ja is the first one's."""
-    return (
-        items.withColumn("norm", norm(F.col("ja"))).groupBy("norm")
-        .agg(F.min_by("ja", F.struct(*order)).alias("ja"), F.count(F.lit(1)).alias("occurrences"), F.array_sort(F.collect_list(F.struct("slug", "kind", "id"))).alias("places"))
-        .filter(F.col("occurrences") >= at_least)
-    )
+    """(norm, ja, occurrences): one row for a text that stands in ``at_least`` places; ja is the first one's."""
+    counted = items.withColumn("norm", norm(F.col("ja"))).groupBy("norm").agg(F.min_by("ja", F.struct(*order)).alias("ja"), F.count(F.lit(1)).alias("occurrences"))
+    return counted.filter(F.col("occurrences") >= at_least)
+
+
+def places(items: DataFrame, repeated: DataFrame, norm: Norm) -> DataFrame:
+    """(norm, ja, occurrences, slug, kind, id): a row for each place where a text of :func:`deduplicated` stands, so that a
+    text with very many places is no long row."""
+    where = items.select(norm(F.col("ja")).alias("_norm"), "slug", "kind", "id")
+    return where.join(repeated, F.col("_norm") == F.col("norm")).drop("_norm")
 
 
 def apply_translations(items: DataFrame, done: DataFrame, norm: Norm) -> DataFrame:

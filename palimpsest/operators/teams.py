@@ -59,7 +59,7 @@ def greedy_team(entities: DataFrame, must: list[str] | None = None, gain: dict[s
 
 def team_score(members: DataFrame) -> DataFrame:
     """(team, mandatory, survives, covered, weight) of teams' members (team, roles)."""
-    union = members.groupBy("team").agg(F.array_distinct(F.flatten(F.collect_list("roles"))).alias("roles"))
+    union = members.select("team", F.explode_outer("roles").alias("role")).groupBy("team").agg(F.collect_set("role").alias("roles"))  # as many as there are roles
     listed = lambda names: F.array(*[F.lit(n) for n in names])
     weights = F.create_map(*[F.lit(x) for pair in RARE.items() for x in pair])
     return union.select(
@@ -71,6 +71,7 @@ def team_score(members: DataFrame) -> DataFrame:
     )
 
 
+MAX_BOSSES = 1000
 FLAGS = ["heal", "immune", "no_retreat", "revive", "aoe", "hardcc", "dec_cc", "slow"]
 
 
@@ -79,6 +80,8 @@ def against_bosses(members: DataFrame, bosses: DataFrame) -> DataFrame:
 
     ``members``: team and the columns of an entity's kit; ``bosses``: boss, reduction (a handful of rows).
     """
+    if bosses.limit(MAX_BOSSES + 1).count() > MAX_BOSSES:
+        raise ValueError(f"over {MAX_BOSSES} bosses: every team meets every boss")
     whole = members.groupBy("team").agg(F.max("def_down").alias("t_def"), F.max("atk_buff").alias("t_atk"), F.max("dmg_up").alias("t_dmg"), *[F.bool_or(f).alias(f"t_{f}") for f in FLAGS])
     each = members.join(whole, "team").join(F.broadcast(bosses), how="cross")
     reduction = F.lit(1.0) - F.col("reduction") * (1 - F.least(F.lit(1.0), F.col("t_def")))

@@ -62,11 +62,12 @@ n AS (SELECT DISTINCT page_id, host, substr(href, 2) AS name FROM l WHERE href L
 r AS (SELECT name FROM n GROUP BY name HAVING count(DISTINCT page_id) >= 5)"""
 
 
-@query(f"WITH {_LINKS} SELECT page_id, name, r.name IS NOT NULL AS internal FROM n LEFT JOIN r USING (name)")
+@query(f"""WITH {_LINKS} SELECT page_id, name, r.name IS NOT NULL AS internal, CASE WHEN r.name IS NOT NULL THEN '__ROUTE__/' || replace(url_encode(name), '%2F', '/') || '.html' ELSE 'https://wiki.example/index.php?' || replace(url_encode(name), '%2F', '/') END AS target FROM n LEFT JOIN r USING (name)""")
 def link_resolve(spark, sf):
     links = _links(spark, sf)
-    known = links.groupBy(F.col("name").alias("_name")).agg(F.count_distinct("page_id").alias("_pages")).filter("_pages >= 5")
-    return links.join(known, F.col("name") == F.col("_name"), "left").select("page_id", "name", F.col("_name").isNotNull().alias("internal"))
+    known = links.groupBy("name").agg(F.count_distinct("page_id").alias("_pages")).filter("_pages >= 5").select("name", F.col("name").alias("slug"))
+    found = registry.resolve(links, known, "https://wiki.example/index.php")
+    return found.select("page_id", "name", F.col("slug").isNotNull().alias("internal"), "target")
 
 
 @query(f"WITH {_LINKS} SELECT host, count(*) AS links, count(r.name) AS internal, count(*) - count(r.name) AS external FROM n LEFT JOIN r USING (name) GROUP BY host")
@@ -156,10 +157,10 @@ def heading_slugs(spark, sf):
     return table(spark, sf, "documents").select("doc_id", slugify(F.substring_index("text", "\n", 1)).alias("slug"))
 
 
-@query("""SELECT doc_id, translate(substr(text, 1, 80), '/\\:*?"<>|', '／＼：＊？″＜＞｜') AS safe, lower(replace(replace(trim(substr(text, 1, 80), ' ' || chr(10)), ' ', ''), '・', '')) AS key FROM documents""")
+@query("""SELECT doc_id, md5(translate(text, '/\\:*?"<>|', '／＼：＊？″＜＞｜')) AS safe, md5(lower(replace(replace(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), ' ', ''), '・', ''))) AS key FROM documents""")
 def safe_names(spark, sf):
-    head = F.substring("text", 1, 80)
-    return table(spark, sf, "documents").select("doc_id", text.safe_id(head).alias("safe"), text.name_key(head).alias("key"))
+    digest = lambda c: F.md5(F.encode(c, "UTF-8"))
+    return table(spark, sf, "documents").select("doc_id", digest(text.safe_id(F.col("text"))).alias("safe"), digest(text.name_key(F.col("text"))).alias("key"))
 
 
 @query("""SELECT lang, count(*) AS docs, CAST(sum(length(text) - length(regexp_replace(text, '[à-ÿ]', '', 'g'))) AS BIGINT) AS residual, count_if(regexp_matches(text, '[à-ÿ]')) AS with_any FROM documents GROUP BY lang""")
@@ -170,8 +171,7 @@ def residual_characters(spark, sf):
 
 @query("""SELECT source, CAST(sum(length(text)) AS BIGINT) AS chars, avg(length(text)) AS mean_chars, CAST(max(length(text)) AS BIGINT) AS max_chars, count_if(text = '') AS empty, count(DISTINCT doc_id) AS keys FROM documents GROUP BY source""")
 def size_stats(spark, sf):
-    size = F.length("text")
-    return table(spark, sf, "documents").groupBy("source").agg(F.sum(size).cast("long").alias("chars"), F.avg(size).alias("mean_chars"), F.max(size).cast("long").alias("max_chars"), F.count_if(size == 0).alias("empty"), F.count_distinct("doc_id").alias("keys"))
+    return fidelity.size_stats(table(spark, sf, "documents"), "text", "doc_id", ("source",))
 
 
 _LINE = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
@@ -210,10 +210,11 @@ def replace_chain(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(F.encode(lexicon.replace_all(F.col("text"), {"the": "and", "and": "or", "or": "the"}), "UTF-8")).alias("digest"))
 
 
-@query()
+@query(f"""WITH t AS (SELECT doc_id, text, translate(text, 'aeiou', 'AEIOU') AS other FROM documents), p AS (SELECT *, regexp_extract_all(text, '{lexicon.SEGMENT}') AS a, regexp_extract_all(other, '{lexicon.SEGMENT}') AS b FROM t)
+SELECT doc_id, md5(CASE WHEN len(a) = len(b) THEN array_to_string(list_transform(range(1, len(a) + 1), lambda i: coalesce({_MAP}[a[i]], b[i])), '') ELSE other END) AS aligned FROM p""")
 def segment_align(spark, sf):
-    head = F.substring_index("text", "\n", 1)
-    return table(spark, sf, "documents").select("doc_id", lexicon.align_segments(head, F.upper(head), DICTIONARY).alias("aligned"))
+    t = F.col("text")
+    return table(spark, sf, "documents").select("doc_id", F.md5(F.encode(lexicon.align_segments(t, F.translate(t, "aeiou", "AEIOU"), DICTIONARY), "UTF-8")).alias("aligned"))
 
 
 TOPICS = {"size": ["small", "large"], "insult": ["idiot", "moron", "scum"], "licence": ["licensed", "license"], "number": ["0", "1", "2"]}
@@ -232,12 +233,12 @@ def role_flags(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(X.pattern_labels(F.col("text"), patterns), ",").alias("roles"))
 
 
-@query("""SELECT md5(norm) AS digest, count(*) AS occurrences, min(doc_id) AS first_doc, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS places
-FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS norm FROM documents) GROUP BY norm HAVING count(*) >= 2""")
+@query("""WITH n AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS norm FROM documents), c AS (SELECT norm, count(*) AS occurrences FROM n GROUP BY norm HAVING count(*) >= 2)
+SELECT md5(norm) AS digest, occurrences, doc_id FROM n JOIN c USING (norm)""")
 def dedup_worklist(spark, sf):
     items = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.lit("").alias("slug"), F.lit("doc").alias("kind"), F.col("text").alias("ja"))
-    found = store.deduplicated(items, text.squeeze, ["id"])
-    return found.select(F.md5(F.encode("norm", "UTF-8")).alias("digest"), "occurrences", F.element_at("places", 1)["id"].alias("first_doc"), F.array_join(F.transform("places", lambda p: p["id"].cast("string")), ",").alias("places"))
+    rows = store.places(items, store.deduplicated(items, text.squeeze, ["id"]), text.squeeze)
+    return rows.select(F.md5(F.encode("norm", "UTF-8")).alias("digest"), "occurrences", F.col("id").alias("doc_id"))
 
 
 def _store(spark, sf):
@@ -268,11 +269,11 @@ def untranslated_worklist(spark, sf):
     return items.filter("kind = 'key'").groupBy("slug").agg(count().alias("open_keys"))
 
 
-@query("""WITH d AS (SELECT trim(regexp_replace(text, '\\s+', ' ', 'g')) AS norm, max_by(lang, doc_id) AS zh FROM documents WHERE doc_id % 3 = 0 GROUP BY 1)
+@query("""WITH d AS (SELECT trim(regexp_replace(text, '\\s+', ' ', 'g')) AS norm, max_by(lang, doc_id) AS zh FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1)
 SELECT doc_id, coalesce(zh, '') AS zh FROM documents LEFT JOIN d ON trim(regexp_replace(text, '\\s+', ' ', 'g')) = norm""")
 def apply_dedup(spark, sf):
     docs = table(spark, sf, "documents")
-    done = docs.filter("doc_id % 3 = 0").select(F.col("text").alias("ja"), F.col("lang").alias("zh"), F.col("doc_id").alias("ord"))
+    done = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select(F.col("text").alias("ja"), F.col("lang").alias("zh"), F.col("doc_id").alias("ord"))
     return store.apply_translations(docs.select("doc_id", F.col("text").alias("ja"), F.lit("").alias("zh")), done, text.squeeze).select("doc_id", "zh")
 
 
@@ -299,14 +300,12 @@ def page_concat(spark, sf):
     return store.page_text(items).select(F.col("slug").alias("conv_id"), "text")
 
 
-@query()
-def tag_pairs(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(F.encode(strip_tag_pairs("html"), "UTF-8")).alias("digest"))
+_PAIRS = "regexp_replace(s, '(?s)<[A-Za-z][^>]*>.*?</[A-Za-z][^>]*>', '', 'g')"
 
 
-@query()
-def whole_words(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", long(text.whole_word_count(F.col("text"), "the")).alias("n"))
+@query(f"""WITH RECURSIVE r AS (SELECT page_id, html AS s, 0 AS i FROM pages UNION ALL SELECT page_id, {_PAIRS}, i + 1 FROM r WHERE s <> {_PAIRS}) SELECT page_id, md5(max_by(s, i)) AS digest FROM r GROUP BY page_id""")
+def tag_pairs(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.md5(F.encode(strip_tag_pairs("html"), "UTF-8")).alias("digest"))
 
 
 # ------------------------------------------------------------------ events
@@ -314,9 +313,7 @@ def whole_words(spark, sf):
 
 @query("""SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER w AS n, lag(event_type) OVER w AS before FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE n = 1 OR before IS DISTINCT FROM event_type""")
 def state_changes(spark, sf):
-    window = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    rows = table(spark, sf, "events").withColumn("_n", F.row_number().over(window)).withColumn("_before", F.lag("event_type").over(window))
-    return rows.filter((F.col("_n") == 1) | ~F.col("event_type").eqNullSafe(F.col("_before"))).select("event_id", "user_id", "event_type")
+    return order.changes(table(spark, sf, "events"), "user_id", ["ts", "event_id"], "event_type").select("event_id", "user_id", "event_type")
 
 
 @query("""WITH o AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS old FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1), n AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS new FROM events GROUP BY 1)
@@ -471,11 +468,11 @@ def pivot_margin(spark, sf):
     return order.pivot_with_total(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
-@query("""SELECT r_name AS group_name, coalesce(string_agg(n_name, ',' ORDER BY n_nationkey), '') AS members FROM region LEFT JOIN nation ON n_regionkey = r_regionkey AND n_nationkey < 23 GROUP BY r_name
+@query("""SELECT r_name AS group_name, coalesce(string_agg(n_name, ',' ORDER BY n_nationkey), '') AS members FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name
 UNION ALL SELECT 'ATLANTIS', ''""")
 def group_ordered_list(spark, sf):
     groups = [r["r_name"] for r in table(spark, sf, "region").orderBy("r_regionkey").collect()] + ["ATLANTIS"]  # regions: a fixed handful
-    rows = table(spark, sf, "nation").filter("n_nationkey < 23").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     return order.ordered_groups(rows, "r_name", groups, "n_nationkey", "n_name").select("group_name", F.array_join("members", ",").alias("members"))
 
 
@@ -517,9 +514,9 @@ def share_of_total(spark, sf):
 
 @query("""SELECT c_custkey, CAST(row_number() OVER (ORDER BY CASE c_mktsegment WHEN 'MACHINERY' THEN 0 WHEN 'HOUSEHOLD' THEN 1 ELSE 1000000000 END, c_name) AS BIGINT) AS place FROM customer""")
 def canonical_order(spark, sf):
-    place = F.coalesce(F.try_element_at(F.create_map(F.lit("MACHINERY"), F.lit(0), F.lit("HOUSEHOLD"), F.lit(1)), F.col("c_mktsegment")), F.lit(10**9))
-    ordered = table(spark, sf, "customer").orderBy(place, "c_name").select("c_custkey")
-    return spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1] + 1)), "c_custkey long, place long")
+    pages = table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.lit("").alias("slug"), F.col("c_mktsegment").alias("category"), F.lit(None).cast("string").alias("url"), "c_custkey")
+    known = pages.select("name", F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"), F.lit("t").alias("wiki_last_modified"), F.lit("f").alias("fetched_at"), F.lit("ok").alias("status"))
+    return registry.page_times(pages, known, ["MACHINERY", "HOUSEHOLD"], []).select(F.substring("url", 2, 20).cast("long").alias("c_custkey"), "place")
 
 
 @query("""WITH RECURSIVE e(parent, node, ord) AS (SELECT 'root', r_name, r_regionkey FROM region UNION ALL SELECT r_name, n_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT n_name, s_name, CAST(s_suppkey AS INTEGER) FROM supplier JOIN nation ON s_nationkey = n_nationkey),
@@ -581,7 +578,21 @@ def _members(spark, sf):
     return table(spark, sf, "part").select(F.format_string("%09d", "p_partkey").alias("name"), rarity.alias("rarity"), roles.alias("roles"), F.col("p_brand").alias("team"))
 
 
-@query()
+def _greedy_sql() -> str:
+    """A common table a step: who adds a mandatory role goes first, by most new roles, most roles, rarity and name; then who
+    adds most by weight. Roles are bits."""
+    mask = " + ".join(f"(p_partkey % {i + 3} = 0)::INT * {1 << i}" for i in range(len(_ROLES)))
+    must = sum(1 << i for i, r in enumerate(_ROLES) if r in teams.MANDATORY)
+    gain = " + ".join(f"{teams.GAIN.get(r, 0)} * ((fresh >> {i}) & 1)" for i, r in enumerate(_ROLES))
+    steps = [f"m AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS name, p_size % 3 AS o, {mask} AS mask FROM part)", "s0 AS (SELECT 0 AS covered, ['']::VARCHAR[] AS taken, '' AS name)"]
+    for i in range(1, teams.SIZE + 1):
+        key = f"CASE WHEN fresh & {must} <> 0 THEN (0, -bit_count(fresh)::DOUBLE, -bit_count(mask)::DOUBLE, o::DOUBLE, name) ELSE (1, -({gain} + 0.5 * bit_count(fresh))::DOUBLE, 0::DOUBLE, 0::DOUBLE, name) END"
+        steps.append(f"c{i} AS (SELECT m.name, o, mask, mask & ~covered AS fresh, covered, taken FROM m, s{i - 1} WHERE NOT list_contains(taken, m.name))")
+        steps.append(f"s{i} AS (SELECT covered | mask AS covered, list_append(taken, name) AS taken, name FROM (SELECT unnest(arg_min({{'name': name, 'mask': mask, 'covered': covered, 'taken': taken}}, {key})) FROM c{i}))")
+    return f"WITH {', '.join(steps)} " + " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS slot, name FROM s{i}" for i in range(1, teams.SIZE + 1))
+
+
+@query(_greedy_sql())
 def greedy_cover(spark, sf):
     return teams.greedy_team(_members(spark, sf))
 

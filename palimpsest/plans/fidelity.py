@@ -34,6 +34,7 @@ def residual(rows: DataFrame, text: str, pattern: str = KANA) -> DataFrame:
     return rows.withColumn("residual", F.regexp_count(F.col(text), F.lit(pattern)).cast("long"))
 
 
-def size_stats(rows: DataFrame, text: str, key: str) -> DataFrame:
+def size_stats(rows: DataFrame, text: str, key: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Characters in all, on average and at most, empty texts and distinct keys, of all rows or by the columns ``by``."""
     size = F.length(F.coalesce(text, F.lit("")))
-    return rows.agg(F.sum(size).cast("long").alias("chars"), F.avg(size).alias("mean_chars"), F.max(size).cast("long").alias("max_chars"), F.count_if(size == 0).alias("empty"), F.count_distinct(key).alias("keys"))
+    return rows.groupBy(*by).agg(F.sum(size).cast("long").alias("chars"), F.avg(size).alias("mean_chars"), F.max(size).cast("long").alias("max_chars"), F.count_if(size == 0).alias("empty"), F.count_distinct(key).alias("keys"))

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import align_segments
-from ..functions.render import render
+from ..functions.render import Terms, put_comments, put_originals, render
 from ..functions.text import asset_name, file_name, has_kana, is_metadata, is_numeric_template
-from ..operators.joins import first_by, layered_lookup, prefix_join
+from ..operators.joins import first_by, layered_lookup, positional_join, prefix_join
 from ..operators.store import missing, promoted_links, rendered
 
 Norm = Callable[[Column], Column]
+#: Names that a site's pages show; every task holds them.
+MAX_NAMES = 100_000
 
 
 def pages(templates: DataFrame, keys: DataFrame, blocks: DataFrame, layers: list[DataFrame], names: DataFrame, norm: Norm, base: str) -> DataFrame:
@@ -21,7 +23,10 @@ def pages(templates: DataFrame, keys: DataFrame, blocks: DataFrame, layers: list
     shown = rendered(keys, layers, norm, is_metadata, is_numeric_template)
     by_page = shown.groupBy("slug").agg(F.map_from_entries(F.collect_list(F.struct("key_no", "rendered"))).alias("k"), F.collect_list(F.when(~missing("zh"), F.col("key_no"))).alias("d"))
     held = blocks.groupBy("slug").agg(F.collect_list(F.struct("blk_no", "ja", "zh", "keys")).alias("b"))
-    table = names.agg(F.map_from_entries(F.collect_list(F.struct("name", "shown"))).alias("n"))  # one site's names: a control table
+    named = names.groupBy("name").agg(F.min("shown").alias("shown"))  # one site's names: a control table, broadcast as one map
+    if (found := named.limit(MAX_NAMES + 1).count()) > MAX_NAMES:
+        raise ValueError(f"over {found - 1} names: render sites apart")
+    table = named.agg(F.map_from_entries(F.collect_list(F.struct("name", "shown"))).alias("n"))
     joined = templates.join(by_page, "slug", "left").join(held, "slug", "left").join(F.broadcast(table))
     empty = F.create_map().cast("map<int, string>")
     return joined.select("slug", render(F.col("html"), F.coalesce("k", empty), F.col("d"), F.col("b"), F.col("n"), base).alias("html"))
@@ -131,3 +136,19 @@ def archive_plan(paths: DataFrame, roles: dict[str, str], folder: str) -> DataFr
     for pattern, label in roles.items():
         role = role.when(name.rlike(pattern), F.lit(label))
     return paths.select("path", role.otherwise(F.lit(None)).alias("role"), name.alias("_n")).filter("role IS NOT NULL").select("path", F.concat_ws("/", F.lit(folder), "role", "_n").alias("target"))
+
+
+def with_originals(zh: DataFrame, ja: DataFrame) -> DataFrame:
+    """(slug, html): the terms of ``zh`` pages with the originals of the ``ja`` page's, by position; pages whose lists differ in
+    length stay."""
+    terms = lambda pages, name: pages.lateralJoin(Terms(F.col("html").outer())).select("slug", "i", F.col("term").alias(name))
+    pairs = positional_join(terms(zh, "term"), terms(ja, "original"), "slug", "i")
+    maps = pairs.groupBy("slug").agg(F.map_from_entries(F.collect_list(F.struct("i", "original"))).alias("_originals"))
+    return zh.join(maps, "slug", "left").select("slug", put_originals("html", "_originals").alias("html"))
+
+
+def with_comments(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """(slug, html): pages with the comments translated that ``known`` (slug, comment_id, zh) has, by page and id."""
+    latest = known.filter("zh <> ''").groupBy("slug", "comment_id").agg(F.max("zh").alias("zh"))
+    maps = latest.groupBy("slug").agg(F.map_from_entries(F.collect_list(F.struct("comment_id", "zh"))).alias("_comments"))
+    return pages.join(maps, "slug", "left").select("slug", put_comments("html", "_comments").alias("html"))

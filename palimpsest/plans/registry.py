@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dom import Links
-from ..functions.text import fallback_slug, href_to_name, is_excluded, name_key, page_url
+from ..functions.text import fallback_slug, href_to_name, is_excluded, name_key, page_url, percent_encode
 from ..operators.joins import changed, first_by
 from ..operators.order import ordered_groups, unique_names
 from ..operators.store import latest
@@ -23,7 +23,7 @@ def resolve(links: DataFrame, registry: DataFrame, base: str) -> DataFrame:
     """Links with their route where the name is registered, else with the source's address."""
     known = registry.select(F.col("name").alias("_name"), "slug")
     joined = links.join(known, F.col("name") == F.col("_name"), "left").drop("_name")
-    return joined.withColumn("target", F.when(F.col("slug").isNotNull(), F.concat(F.lit("__ROUTE__/"), "slug", F.lit(".html"))).otherwise(page_url(F.col("name"), base)))
+    return joined.withColumn("target", F.when(F.col("slug").isNotNull(), F.concat(F.lit("__ROUTE__/"), percent_encode(F.col("slug"), "/"), F.lit(".html"))).otherwise(page_url(F.col("name"), base)))
 
 
 def navigation(wanted: DataFrame, links: DataFrame, aliases: dict[str, str], slugs: dict[str, str]) -> DataFrame:
@@ -57,13 +57,25 @@ def mirror_plan(registry: DataFrame, group_of: Column, groups: list[str], base:
     return ordered_groups(rows, "_group", groups, "ord", "page")
 
 
-def incremental_update(recent: DataFrame, registry: DataFrame, manifest: DataFrame, current: DataFrame) -> DataFrame:
-    """Names to do again: watched pages among the recent changes that aren't known to be gone and whose last change
-    differs from the manifest's. ``current``: name, wiki_last_modified as fetched now."""
+def incremental_update(recent: DataFrame, registry: DataFrame, manifest: DataFrame, current: DataFrame, max_attempts: int = 3) -> DataFrame:
+    """Names to do again: watched pages among the recent changes whose last change differs from the manifest's, and those
+    that failed before, until they have failed ``max_attempts`` times in a row (the manifest's ``attempts``).
+    ``current``: name, wiki_last_modified as fetched now."""
     watched = registry.filter("mode = 'watch'").select("name").join(recent.select("name").distinct(), "name", "left_semi")
-    gone = manifest.filter(F.col("status").isin("missing", "challenged", "error")).select("name")
-    candidates = current.join(watched.join(gone, "name", "left_anti"), "name", "left_semi")
-    return changed(candidates, manifest, "name", "wiki_last_modified").select("name").orderBy("name")
+    failed = F.col("status").isin("missing", "challenged", "error")
+    given_up = manifest.filter(failed & (F.coalesce("attempts", F.lit(1)) >= max_attempts)).select("name")
+    again = manifest.filter(failed).select("name")
+    candidates = current.join(watched.join(given_up, "name", "left_anti"), "name", "left_semi")
+    news = changed(candidates, manifest, "name", "wiki_last_modified").select("name")
+    return news.unionByName(candidates.select("name").join(again, "name", "left_semi")).distinct().orderBy("name")
+
+
+def counted_attempts(manifest: DataFrame, news: DataFrame) -> DataFrame:
+    """``news`` (name, status and more) with ``attempts``, the failures in a row that it ends: 0 where it went well."""
+    held = manifest.select(F.col("name").alias("_name"), F.coalesce("attempts", F.lit(0)).alias("_attempts"))
+    joined = news.join(held, F.col("name") == F.col("_name"), "left")
+    failed = F.col("status").isin("missing", "challenged", "error")
+    return joined.withColumn("attempts", F.when(failed, F.coalesce("_attempts", F.lit(0)) + 1).otherwise(0)).drop("_name", "_attempts")
 
 
 def manifest_upsert(manifest: DataFrame, news: DataFrame) -> DataFrame:
@@ -81,11 +93,18 @@ def drain_queue(planned: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def page_times(registry: DataFrame, manifest: DataFrame, categories: list[str], order: list[str]) -> DataFrame:
-    """Registered pages with their address and times, by category, then canonical order, then name."""
-    place = lambda column, names: F.coalesce(F.try_element_at(F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))]), F.col(column)), F.lit(10**9))
+    """Registered pages with their address, times and ``place`` (1, 2, ...): by category, then canonical order, then name.
+
+    Places count within a category, behind all categories before it.
+    """
+    rank = lambda column, names: F.coalesce(F.try_element_at(F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))]), F.col(column)), F.lit(10**9)) if names else F.lit(10**9)
     held = manifest.select(F.col("name").alias("_name"), F.col("url").alias("_url"), "wiki_last_modified", "fetched_at", "status")
-    joined = registry.join(held, F.col("name") == F.col("_name"), "left")
-    return joined.select("name", "slug", "category", F.coalesce("url", "_url").alias("url"), "wiki_last_modified", "fetched_at").orderBy(place("category", categories), place("slug", order), "name")
+    joined = registry.join(held, F.col("name") == F.col("_name"), "left").withColumn("_c", rank("category", categories)).withColumn("_s", rank("slug", order))
+    counts = registry.withColumn("_c", rank("category", categories)).groupBy("_c").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(F.col("_c").alias("_group"), (F.sum("_n").over(Window.orderBy("_c")) - F.col("_n")).alias("_before"))  # a row a category
+    within = F.row_number().over(Window.partitionBy("_c").orderBy("_s", "name"))
+    placed = joined.withColumn("_within", within).join(F.broadcast(before), F.col("_c") == F.col("_group"))
+    return placed.select("name", "slug", "category", F.coalesce("url", "_url").alias("url"), "wiki_last_modified", "fetched_at", (F.col("_before") + F.col("_within")).alias("place")).orderBy("place")
 
 
 def update_log(rows: DataFrame, at: Column, name: str, days: int = 14) -> DataFrame:

@@ -9,6 +9,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -81,6 +82,19 @@ class PoliteHttp(DataSource):
         return PoliteReader([u for u in self.options.get("urls", "").split("\n") if u])
 
 
+def _fetch_in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for url in batch.column(0).to_pylist():
+            row = fetch(url)
+            yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, (pa.string(), pa.int32(), pa.binary(), pa.string(), pa.string()), strict=True)], [c.split(" ")[0] for c in SCHEMA.split(", ")])
+
+
+def fetch_all(pages: DataFrame, url: str = "url") -> DataFrame:
+    """Rows of SCHEMA for a column of addresses: a host's are in one partition, in turn, so that each host waits for itself."""
+    rows = pages.select(F.col(url).alias("url")).distinct().withColumn("host", F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit("")))
+    return rows.repartition("host").sortWithinPartitions("host", "url").select("url").mapInArrow(_fetch_in_turn, SCHEMA)
+
+
 def to_fetch(pages: DataFrame, snapshots: DataFrame, mode: str | None = None, force: bool = False) -> DataFrame:
     """Registered pages of a mode that have no snapshot yet, or all on request."""
     wanted = pages if mode is None else pages.filter(F.col("mode") == mode)

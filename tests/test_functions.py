@@ -226,9 +226,22 @@ def test_tree():
     ]
 
 
+def test_profile_without_a_heading():
+    """A table that begins with the name heading is the profile, that row included; one of its own goes first."""
+    table = "<body><table><tr><th>名前<td>N<tr><th>本名<td>M<tr><th>必殺技<tr><td>A</table></body>"
+    want = [("プロフィール", 0, 0, True, "名前", 1, 1), ("プロフィール", 0, 1, False, "N", 1, 1), ("プロフィール", 1, 0, True, "本名", 1, 1), ("プロフィール", 1, 1, False, "M", 1, 1), ("必殺技", 0, 0, False, "A", 1, 1)]
+    assert dom.sections(table, ["プロフィール", "必殺技"]) == want
+    assert dom.sections(table, ["必殺技"]) == want[4:]
+    own = "<body><table><tr><th>プロフィール<tr><td>P</table><table><tr><th>名前<td>N</table></body>"
+    assert dom.sections(own, ["プロフィール"]) == [("プロフィール", 0, 0, False, "P", 1, 1)]
+
+
 def test_links_are_rewritten():
     root = dom.parse('<a href="?A">a</a><a href="?B#x">b</a><a href="https://o/">o</a><a href="#k">k</a>')
     dom.rewrite_links(root, lambda h: h[1:].split("#")[0] if h.startswith("?") else None, {"A": "page-a"}, lambda n: f"https://src/?{n}")
+    odd = dom.parse('<a href="?A">a</a>')
+    dom.rewrite_links(odd, lambda h: "A", {"A": "x/50% off?#1 ü"}, str)
+    assert odd.find("a")[0].attrs["href"] == "__ROUTE__/x/50%25%20off%3F%231%20%C3%BC.html"
     assert [(a.attrs["href"], a.attrs.get("class"), a.attrs.get("target")) for a in root.find("a")] == [("__ROUTE__/page-a.html", "internal-link", None), ("https://src/?B#x", "source-link", "_blank"), ("https://o/", None, "_blank"), ("#k", None, None)]
 
 

@@ -23,7 +23,7 @@ def test_render_page():
     assert '<p>four<span data-char="N">five</span></p>' in out and out.endswith("<p>長い文です。\n二行目もあります。</p>")
     partly = render.render_page(template, keys, {4}, blocks, lambda t: t, str)
     assert '<p>块<span class="char-ref" data-char="N">【N】</span></p>' in partly
-    assert render.before_last_tag("<b>x</b></i> ", "!") == "<b>x!</b></i> "
+    assert render.before_last_tag("<b>x</b></i> ", "!") == "<b>x</b>!</i> "
 
 
 def test_pages(spark):
@@ -44,12 +44,37 @@ def test_tree_passes():
     assert '<div class="oh-toc"><p>目录</p><ul><li class="toc-l1"><a href="#a-b">A b</a><ul><li class="toc-l2"><a href="#x">x</a></li></ul></li><li class="toc-l1"><a href="#a-b-1">A b</a></li></ul></div><h2 id="a-b">' in html
     assert pending == {"https://s/i.png": "h.png"} and 'src="/img/h.png"' in html and 'src="/img/n.png"' in html and "File not found" not in html
     lists = '<dl class="list1 list-indent1"><dt>{}</dt><dt>{}</dt></dl>'
-    once = render.append_originals(lists.format("剑", "の"), lists.format("つるぎ", "の"))
-    assert once == lists.format('剑<span class="term-ja">（つるぎ）</span>', "の") and render.append_originals(once, lists.format("つるぎ", "の")) == once
-    assert render.append_originals("<dt>a</dt>", "<dt>あ</dt>") == "<dt>a</dt>"
+    once = render.with_originals(lists.format("剑", "の"), {0: "つるぎ", 1: "の"})
+    assert once == lists.format('剑<span class="term-ja">（つるぎ）</span>', "の") and render.with_originals(once, {0: "つるぎ", 1: "の"}) == once
+    assert render.with_originals("<dt>a</dt>", {0: "あ"}) == "<dt>a</dt>"
     comment = '<li class="pcmt" data-comment-id="c1">本文 -- [id]<ul class="list2"><li>reply</li></ul><span class="comment_date">d</span></li><li class="pcmt">x</li>'
     out = render.translate_comments(comment, {"c1": "译文"})
-    assert out == '<li class="pcmt" data-comment-id="c1">译文<ul class="list2"><li>reply</li></ul><span class="comment_date">d</span></li><li class="pcmt">x</li>' or "译文 -- [id]" in out
+    assert out == '<li class="pcmt" data-comment-id="c1">译文 -- [id]<ul class="list2"><li>reply</li></ul><span class="comment_date">d</span></li><li class="pcmt">x</li>'
+    assert render.translate_comments(comment.replace('<span class="comment_date">d</span>', ""), {"c1": "译文"}).startswith('<li class="pcmt" data-comment-id="c1">译文<ul')
+
+
+def test_before_last_tag():
+    assert render.before_last_tag("text<br>", "[T]") == "text[T]<br>" and render.before_last_tag("text", "[T]") == "text[T]"
+    assert render.before_last_tag("<ul><li>x</li></ul>", "[T]") == "<ul><li>x</li>[T]</ul>" and render.before_last_tag("a<b>c</b>d", "") == "a<b>c</b>d"
+    out = render.render_page('<p data-i18n-blk="blk1">{{key1}}<a href="x.html">{{key1}}</a></p>', {1: "k"}, set(), {1: ("ja", "一\x01二", [1])}, str, str)
+    assert out == '<p>一<br>二<a href="x.html" class="inline-link">【k】</a></p>'
+
+
+def test_originals_by_position(spark):
+    lists = '<dl class="list1 list-indent1"><dt>{}</dt><dd>x</dd><dt>{}</dt></dl>'
+    pages = lambda rows: spark.createDataFrame(rows, "slug string, html string")
+    zh = pages([("p", lists.format("剑", "盾")), ("q", lists.format("剑", "盾")), ("r", "plain")])
+    ja = pages([("p", lists.format("つるぎ", "<b>たて</b>")), ("q", "<dt>つるぎ</dt>"), ("r", lists.format("あ", "い"))])
+    out = dict(rows(localize.with_originals(zh, ja), "slug", "html"))
+    mark = '{}<span class="term-ja">（{}）</span>'
+    assert out == {"p": lists.format(mark.format("剑", "つるぎ"), mark.format("盾", "たて")), "q": lists.format("剑", "盾"), "r": "plain"}
+
+
+def test_comments_by_id(spark):
+    pages = spark.createDataFrame([("p", '<li class="pcmt" data-comment-id="c1">本文</li>'), ("q", '<li class="pcmt" data-comment-id="c1">別</li>')], "slug string, html string")
+    known = spark.createDataFrame([("p", "c1", "译文"), ("p", "c2", None), ("q", "c9", "x")], "slug string, comment_id string, zh string")
+    out = dict(rows(localize.with_comments(pages, known), "slug", "html"))
+    assert out == {"p": '<li class="pcmt" data-comment-id="c1">译文</li>', "q": '<li class="pcmt" data-comment-id="c1">別</li>'}
 
 
 def test_sanitize():

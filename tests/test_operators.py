@@ -100,6 +100,8 @@ def test_store(spark):
     assert rows(work, "slug", "kind", "id", "n") == [("p", "blk", 1, 1), ("p", "key", 1, 2), ("q", "key", 1, 1)]
     dup = store.deduplicated(keys.select("slug", F.lit("key").alias("kind"), F.col("key_no").alias("id"), "ja"), norm, ["slug", "id"])
     assert rows(dup, "ja", "occurrences") == [("一つ目の文です。", 2)]
+    items = keys.select("slug", F.lit("key").alias("kind"), F.col("key_no").alias("id"), "ja")
+    assert rows(store.places(items, dup, norm), "slug", "kind", "id") == [("p", "key", 1), ("q", "key", 1)]
     done = spark.createDataFrame([("一つ目の文です。", "第一句。", 1), ("一つ目の文です。", "第一句！", 2), ("二つ目の文です。", "二つ目の文です。", 3), ("第3期", "第3期", 4)], "ja string, zh string, ord int")
     once = store.apply_translations(keys, done, norm)
     assert rows(once, "slug", "key_no", "zh") == sorted([("p", 1, "第一句！"), ("p", 2, None), ("p", 3, "three"), ("p", 4, ""), ("p", 5, "第3期"), ("q", 1, "第一句！")], key=str)
@@ -207,11 +209,14 @@ def text_slug(name):
 
 
 def test_updates(spark):
-    reg = spark.createDataFrame([("a", "watch"), ("b", "watch"), ("c", "static"), ("d", "watch"), ("e", "watch")], "name string, mode string")
-    manifest = spark.createDataFrame([("a", "ok", "1", "x", "x"), ("b", "missing", "1", "y", "x"), ("e", "ok", None, "z", None)], "name string, status string, wiki_last_modified string, sha256 string, parsed_sha256 string")
-    recent = spark.createDataFrame([(n,) for n in "abcde"], "name string")
-    now = spark.createDataFrame([("a", "2"), ("b", "2"), ("c", "2"), ("d", "1"), ("e", None)], "name string, wiki_last_modified string")
-    assert rows(registry.incremental_update(recent, reg, manifest, now), "name") == [("a",), ("d",)]
+    reg = spark.createDataFrame([("a", "watch"), ("b", "watch"), ("c", "static"), ("d", "watch"), ("e", "watch"), ("f", "watch")], "name string, mode string")
+    manifest = spark.createDataFrame([("a", "ok", "1", "x", "x", 0), ("b", "missing", "1", "y", "x", 3), ("e", "ok", None, "z", None, 0), ("f", "error", None, None, None, 2)], "name string, status string, wiki_last_modified string, sha256 string, parsed_sha256 string, attempts int")
+    recent = spark.createDataFrame([(n,) for n in "abcdef"], "name string")
+    now = spark.createDataFrame([("a", "2"), ("b", "2"), ("c", "2"), ("d", "1"), ("e", None), ("f", None)], "name string, wiki_last_modified string")
+    assert rows(registry.incremental_update(recent, reg, manifest, now), "name") == [("a",), ("d",), ("f",)]  # b was given up, f is tried again
+    assert rows(registry.incremental_update(recent, reg, manifest, now, 4), "name") == [("a",), ("b",), ("d",), ("f",)]
+    news = spark.createDataFrame([("a", "error"), ("b", "ok"), ("f", "missing"), ("g", "error")], "name string, status string")
+    assert rows(registry.counted_attempts(manifest, news), "name", "attempts") == [("a", 1), ("b", 0), ("f", 3), ("g", 1)]
     assert rows(registry.to_parse(manifest), "name") == [("e",)]
     planned = spark.createDataFrame([("x",), ("y",)], "name string")
     done = spark.createDataFrame([("x", True), ("y", False)], "name string, ok boolean")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from palimpsest.operators.store import latest
-from palimpsest.streaming.changes import archive_source, changed_pages, debounced, upsert_into
+from palimpsest.streaming.changes import archive_source, changed_pages, debounced, upsert_into, upserted, vacuum
 
 ROWS = [("a", "1", 0), ("b", None, 1), ("a", "1", 2), ("a", "2", 3), ("b", None, 4), ("b", "x", 5), ("a", None, 6), ("a", None, 7), ("c", "1", 8)]
 
@@ -37,7 +37,12 @@ def test_upsert(spark, tmp_path):
     rows = _stream(spark, tmp_path)
     out = str(tmp_path / "out")
     rows.writeStream.foreachBatch(upsert_into(out, ["name"], "ts", ["state"])).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
-    got = {tuple(r) for r in spark.read.parquet(f"{out}/v2").select("name", "state").collect()}
+    schema = _events(spark).schema
+    got = {tuple(r) for r in upserted(spark, out, schema).select("name", "state").collect()}
+    upsert_into(out, ["name"], "ts", ["state"])(_events(spark).limit(1), 2)  # again, and something else: an epoch overwrites itself
+    for epoch in range(3, 7):
+        upsert_into(out, ["name"], "ts", ["state"])(_events(spark), epoch)
+    assert vacuum(spark, out, schema) > 0 and {tuple(r) for r in upserted(spark, out, schema).select("name", "state").collect()} == got
     assert got == {tuple(r) for r in latest(_events(spark), ["name"], "ts", ["state"]).select("name", "state").collect()}
 
 
