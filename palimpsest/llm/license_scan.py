@@ -46,7 +46,24 @@ SENTENCES: dict[str, str] = {
     "cc-by-sa-line": "licensed under cc by sa 4 0",
     "cc-by-nc-line": "licensed under cc by nc 4 0",
     "cc0-line": "licensed under cc0 1 0",
+    "mit-liability": "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "isc-liability": "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "apache-basis": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "apache-see": "see the license for the specific language governing permissions and limitations under the license",
+    "gpl-see": "see the gnu general public license for more details",
+    "gpl-copy": "you should have received a copy of the gnu general public license along with this program",
+    "lgpl-21-grant": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-3-grant": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-3-grant": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "mpl-copy": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "unlicense-line": "this is free and unencumbered software released into the public domain",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "bsl-line": "distributed under the boost software license version 1 0",
 }
+#: Identifiers that a line ``SPDX-License-Identifier:`` may name.
+SPDX = ["0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-2.0", "Unlicense", "WTFPL", "Zlib"]
+SENTENCES |= {f"spdx-{x.lower()}": "spdx license identifier " + re.sub("[^a-z0-9]+", " ", x.lower()) for x in SPDX}
 #: A rule's name, the licence it finds, and its sentences in order.
 RULES: list[tuple[str, str, list[str]]] = [
     ("mit-short", "MIT", ["mit-line"]),
@@ -65,7 +82,14 @@ RULES: list[tuple[str, str, list[str]]] = [
     ("cc-by-sa-short", "CC-BY-SA-4.0", ["cc-by-sa-line"]),
     ("cc-by-nc-short", "CC-BY-NC-4.0", ["cc-by-nc-line"]),
     ("cc0-short", "CC0-1.0", ["cc0-line"]),
+    ("lgpl-21-short", "LGPL-2.1-or-later", ["lgpl-21-grant"]),
+    ("lgpl-3-short", "LGPL-3.0-or-later", ["lgpl-3-grant"]),
+    ("agpl-3-short", "AGPL-3.0-or-later", ["agpl-3-grant"]),
+    ("unlicense-short", "Unlicense", ["unlicense-line"]),
+    ("zlib-short", "Zlib", ["zlib-grant"]),
+    ("bsl-short", "BSL-1.0", ["bsl-line"]),
 ]
+RULES += [(f"spdx-{x.lower()}-short", x, [f"spdx-{x.lower()}"]) for x in SPDX]
 
 
 #: White space that ends no line.

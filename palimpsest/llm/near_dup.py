@@ -441,15 +441,15 @@ class NearDuplicates:
         meet = _meet(self.num, self.den, self.all_links)
         return dealt.join(self.sets, "node").groupBy("meeting").applyInArrow(lambda group: meet(group), _LINKS)
 
-    def documents(self) -> DataFrame:
-        """``doc_id, n_shingles, component_id`` of every row."""
+    def documents(self, texts: bool = False) -> DataFrame:
+        """``doc_id, n_shingles, component_id`` of every row; with ``texts`` also ``t``, the 64-bit hash of its text."""
         roots = components(self.links)
         placed = self.classes.join(roots, "node", "left").select("s1", "s2", "docs", F.coalesce("root", "node").alias("root"), "least")
         named = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("c"))
         by_class = skew_join(placed, named, ["root"], F.col("c") > max(1024, self.classes.count() // HOT)).select("s1", "s2", "docs", "component_id")
         linked = skew_join(self.sketch.filter("n > 0"), by_class, ["s1", "s2"], F.col("docs") > max(1024, self.sketch.count() // HOT))
-        rows = linked.select("doc_id", "n", "component_id").unionByName(self.sketch.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-        return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        rows = linked.select("doc_id", "n", "component_id", "t").unionByName(self.sketch.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "t"))
+        return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", *(["t"] if texts else []))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
