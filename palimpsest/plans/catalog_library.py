@@ -202,9 +202,9 @@ def labelled_values(spark, sf):
     return rows.select(F.to_json(order.label_pairs(F.col("cells"))).alias("pairs"))
 
 
-@query(values("ja zh", [("剣", "剑"), ("盾 大", "盾牌大"), ("弓 剣", "弓 剑"), ("x", "y"), ("空", "")]))
+@query(values("ja zh", [("剣", "剑"), ("盾 大", "盾牌20秒"), ("弓 剣", "弓 剑"), ("x", "y"), ("空", "")]))
 def baked_in(spark, sf):
-    entries = spark.createDataFrame([("剣", "刀"), ("盾 大", "护盾大"), ("弓 剣", "弓 刀"), ("x", "y"), ("空", "")], "ja string, zh string")
+    entries = spark.createDataFrame([("剣", "刀"), ("盾 大", "护盾20秒"), ("弓 剣", "弓 刀"), ("x", "y"), ("空", "")], "ja string, zh string")
     dictionary = spark.createDataFrame([("剣", "剑")], "key string, value string")
     names = spark.createDataFrame([("盾", "盾牌")], "name string, value string")
     return localize.bake_in(entries, dictionary, names, {"剣": "剑"}, norm_no_space).select("ja", "zh")
