@@ -7,7 +7,8 @@ the threshold, a ratio of integers. No link is lost:
 1. Documents with equal sets are one class (128 bits of a digest of the set); classes go on, as numbered nodes.
 2. Two sets that reach the threshold share an element of their prefixes, the first n - ceil(t n) + 1 elements in any
    global order. The order here: elements of a fixed part U of the hash space, those of fewer classes first, then the rest. So a class whose elements in U are mostly its own has no candidate. A class with too few
-   elements in U for its prefix sends all its elements.
+   elements in U for its prefix sends all its elements. Elements are counted by hash; those that stand out in one of SAMPLE
+   texts (HOT at most) are spread over SALTS tasks each and count as equally frequent, which is an order, too.
 3. Classes that are tied by shared prefix elements, and by sizes that allow a link, form families: components of that
    graph. A family of BLOCK classes at most is one group.
 4. Larger families first link what is easy, in rounds: classes without a large component are dealt by a min-hash of their
@@ -47,6 +48,7 @@ WIDE = 64  # blocks of a family that is met as a whole
 PURE = 64  # classes of a component that has blocks of its own
 PIVOTS = 8
 MOST = 4096  # an element that so many classes have isn't counted further
+SAMPLE, OFTEN, SALTS = 64, 64, 64  # an element is spread if OFTEN of the sampled classes have it
 LEAF, FAN = 16, 8
 NO_ID = -(2**63)  # stands for a null id
 
@@ -105,82 +107,103 @@ def _sketch(k: int, cut: int):
     return sketch
 
 
-def _elements(k: int, cut: int, num: int, den: int):
-    """(h, s1, s2): of each class its elements in U, or all where these are fewer than its prefix; once a partition."""
+def _elements(k: int, cut: int, num: int, den: int, hot: np.ndarray):
+    """(h, salt, s1, s2): of each class its elements in U, or all where these are fewer than its prefix; once a partition.
+    ``hot``: the elements, sorted, that get a salt."""
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             for i, n in runs(batch.column(0)):
-                hashes, sigs, sizes = [np.zeros(0, np.int64)], [], []
+                parts, sigs, sizes = [np.zeros(0, np.int64)], [], []
                 for s in shingle_sets(batch.column(0).slice(i, n), k):
                     if not len(s) or (sig := _signature(s)) in seen:
                         continue
                     seen.add(sig)
                     part = s[np.searchsorted(s, 0) : np.searchsorted(s, cut)]
                     part = s if len(part) < prefix_length(len(s), num, den) else part
-                    hashes.append(part)
+                    parts.append(part)
                     sigs.append(sig)
                     sizes.append(len(part))
                 both = np.repeat(np.frombuffer(b"".join(sigs), np.int64).reshape(-1, 2), sizes, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["h", "s1", "s2"])
+                h = np.concatenate(parts)
+                salt = np.where(_among(h, hot), both[:, 0] & (SALTS - 1), 0).astype(np.int16)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(salt), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["h", "salt", "s1", "s2"])
 
     return emit
 
 
-def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (h, s1, s2), the distinct ones whose h has more than one class, with the number of its classes.
+def _among(values: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(few):
+        return np.zeros(len(values), bool)
+    return few[np.minimum(np.searchsorted(few, values), len(few) - 1)] == values
 
-    Numbers end at MOST, so that no more than MOST rows wait for the end of their h, however many it has.
+
+def _shared(hot: np.ndarray):
+    """Of rows (h, s1, s2) sorted by h and then so that equal ones are neighbours, the distinct ones whose h has more than
+    one class, with the number of its classes.
+
+    Numbers end at MOST, so that no more than MOST rows wait for the end of their h, however many it has. A hot h has that
+    number at once, as a task sees only some of its classes.
     """
-    h = last = None  # the unfinished h and its last class
-    held: list[np.ndarray] = []  # its classes, until they are sent
-    size, sent = 0, False
-
-    def rows(hs: np.ndarray, sigs: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(hs), pa.array(sigs[:, 0].copy()), pa.array(sigs[:, 1].copy()), pa.array(df.astype(np.int32))], ["h", "s1", "s2", "df"])
-
-    def grown(sigs: np.ndarray) -> Iterator[pa.RecordBatch]:
-        nonlocal held, size, sent
-        if not sent:
-            held.append(sigs)
-            size += len(sigs)
-            if size < MOST:
-                return
-            sigs, held, sent = np.concatenate(held), [], True
-        yield rows(np.full(len(sigs), h), sigs, np.full(len(sigs), MOST))
-
-    def ended() -> Iterator[pa.RecordBatch]:
-        nonlocal held, size, sent
-        if not sent and size > 1:
-            yield rows(np.full(size, h), np.concatenate(held), np.full(size, size))
-        held, size, sent = [], 0, False
-
-    for batch in batches:
-        hs, sigs = batch.column(0).to_numpy(), np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], 1)
-        new = np.ones(len(hs), bool)
-        new[1:] = (hs[1:] != hs[:-1]) | (sigs[1:] != sigs[:-1]).any(1)
-        if len(hs) and h is not None and hs[0] == h and (sigs[0] == last).all():
-            new[0] = False
-        hs, sigs = hs[new], sigs[new]
-        if not len(hs):
-            continue
-        first = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
-        if h is not None and hs[0] == h:
-            yield from grown(sigs[: first[1] if len(first) > 1 else len(hs)])
-            first = first[1:]
-        if len(first):
-            yield from ended()
-            count = np.diff(first)
-            inner = slice(first[0], first[-1])
-            each = np.repeat(count, count)
-            keep = each > 1
-            if keep.any():
-                yield rows(hs[inner][keep], sigs[inner][keep], np.minimum(each[keep], MOST))
-            h = hs[first[-1]]
-            yield from grown(sigs[first[-1] :])
-        last = sigs[-1]
-    yield from ended()
+
+    def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = h = None  # the last row seen; the unfinished h
+        held: list[np.ndarray] = []  # its classes, until they are sent
+        size, sent = 0, False
+
+        def rows(hs: np.ndarray, sigs: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(hs), pa.array(sigs[:, 0].copy()), pa.array(sigs[:, 1].copy()), pa.array(df.astype(np.int32))], ["h", "s1", "s2", "df"])
+
+        def grown(sigs: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal held, size, sent
+            if not sent:
+                held.append(sigs)
+                size += len(sigs)
+                if size < MOST:
+                    return
+                sigs, held, sent = np.concatenate(held), [], True
+            yield rows(np.full(len(sigs), h), sigs, np.full(len(sigs), MOST))
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            nonlocal held, size, sent
+            if not sent and size > 1:
+                yield rows(np.full(size, h), np.concatenate(held), np.full(size, size))
+            held, size, sent = [], 0, False
+
+        for batch in batches:
+            hs, sigs = batch.column(0).to_numpy(), np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], 1)
+            if not len(hs):
+                continue
+            new = np.ones(len(hs), bool)
+            new[1:] = (hs[1:] != hs[:-1]) | (sigs[1:] != sigs[:-1]).any(1)
+            new[0] = (hs[0], *sigs[0].tolist()) != before
+            before = (hs[-1], *sigs[-1].tolist())
+            hs, sigs = hs[new], sigs[new]
+            spread = _among(hs, hot)
+            if spread.any():
+                yield rows(hs[spread], sigs[spread], np.full(int(spread.sum()), MOST))
+                hs, sigs = hs[~spread], sigs[~spread]
+            if not len(hs):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
+            if h is not None and hs[0] == h:
+                yield from grown(sigs[: first[1] if len(first) > 1 else len(hs)])
+                first = first[1:]
+            if len(first):
+                yield from ended()
+                count = np.diff(first)
+                inner = slice(first[0], first[-1])
+                each = np.repeat(count, count)
+                keep = each > 1
+                if keep.any():
+                    yield rows(hs[inner][keep], sigs[inner][keep], np.minimum(each[keep], MOST))
+                h = hs[first[-1]]
+                yield from grown(sigs[first[-1] :])
+        yield from ended()
+
+    return shared
 
 
 class SignatureTree:
@@ -327,8 +350,13 @@ class NearDuplicates:
         one = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "t"))
         classes = self.sketch.filter("n > 0").groupBy("s1", "s2").agg(one.alias("at"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"), F.first("n").alias("n"), F.first("inside").alias("inside"))
         self.classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-        elements = rows.select("text").mapInArrow(_elements(k, cut, num, den), "h long, s1 long, s2 long")
-        shared = elements.repartition(4 * partitions(self.spark), "h").sortWithinPartitions("h", "s1", "s2").mapInArrow(_shared, "h long, s1 long, s2 long, df int")
+        def elements(texts: DataFrame, hot: np.ndarray) -> DataFrame:
+            return texts.select("text").mapInArrow(_elements(k, cut, num, den, hot), "h long, salt short, s1 long, s2 long")
+
+        often = elements(rows.filter(F.pmod("t", F.lit(SAMPLE)) == 0), np.zeros(0, np.int64)).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+        hot = np.sort(np.array([r["h"] for r in often.orderBy(F.col("n").desc(), "h").limit(HOT).collect()], np.int64))
+        dealt = elements(rows, hot).repartition(4 * partitions(self.spark), "h", "salt").sortWithinPartitions("h", "salt", "s1", "s2")
+        shared = dealt.select("h", "s1", "s2").mapInArrow(_shared(hot), "h long, s1 long, s2 long, df int")
         own = shared.groupBy("s1", "s2").agg(F.transform(F.array_sort(F.collect_set(F.struct("df", "h"))), lambda x: x["h"]).alias("all"))  # rarest first
         own = own.withColumn("common", F.filter("all", lambda h: (h >= 0) & (h < cut)))
         prefix = F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1

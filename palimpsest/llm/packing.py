@@ -203,6 +203,12 @@ class Tree:
         return out
 
 
+def _best(score: np.ndarray, most: int) -> np.ndarray:
+    """The places of the ``most`` highest scores or of all, highest first, ties in order."""
+    top = np.argpartition(-score, most - 1)[:most] if len(score) > 2 * most else np.arange(len(score))
+    return top[np.lexsort((top, -score[top]))]
+
+
 def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW, stats: Statistics | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (document, start, length); every id of every document is in exactly one."""
     sequences, items, left, start = [], [], [], []
@@ -235,9 +241,8 @@ def pack_shard(docs: list[np.ndarray], vocabulary: int, window: int = WINDOW, st
                 indexed = np.count_nonzero(free)
             score = index.scores(seed)
             score[~free] = -1
-            few = np.argpartition(-score, 16)[:16] if len(score) > 32 else np.arange(len(score))
-            for pool in (few[np.argsort(-score[few], kind="stable")], None):
-                for i in pool if pool is not None else np.argsort(-score, kind="stable"):
+            for most in (16, window):  # every item has an id at least, so the ``window`` best fill what there is to fill
+                for i in _best(score, most):
                     if not space or score[i] < 0:
                         break
                     if free[i]:

@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 1024
+#: A shard meets a block in one task, so rows are copied once a block and queries once a shard.
 SHARD_ROWS = 32768
-BLOCK_QUERIES = 4096
+BLOCK_QUERIES = 16384
 #: Rows scored in full before the first threshold is known, and terms probed between two prunings.
 SEED_ROWS, STEP = 256, 8
 

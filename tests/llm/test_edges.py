@@ -51,6 +51,25 @@ def labels(spark, rows=()):
     return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
 
 
+def test_shared_folder():
+    """A cluster that names no shared folder gets an error, not one of the driver's."""
+
+    class Cluster:
+        conf, sparkContext = {}, type("Context", (), {"master": "spark://x"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(Cluster())
+
+
+def test_stored_tables(spark, docs):
+    stored = common.materialize(docs.select("doc_id"), "stored")
+    numbers = sorted(tuple(r) for r in common.numbered(docs.select("doc_id", "source"), "numbered", "n", F.col("doc_id").asc_nulls_last(), "source").select("n", "doc_id").collect())
+    assert [n for n, _ in numbers] == list(range(len(ROWS))) and [d for _, d in numbers] == sorted((r[0] for r in ROWS), key=lambda d: (d is None, d))
+    common.discard(stored)
+    with pytest.raises(Exception, match="(?i)not.found|does not exist|doesn't exist"):
+        stored.collect()
+
+
 def test_toxicity(spark, docs, wide, empty):
     constant = toxicity.train(docs, labels(spark, [(4, 1, 1), (5, None, None), (None, 1, 1)]))
     assert constant.crf is None

@@ -58,7 +58,8 @@ def test_hot_lines(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_shared_elements(seed, monkeypatch):
+@pytest.mark.parametrize("hot", [[], [2, 5, 11]])
+def test_shared_elements(seed, hot, monkeypatch):
     """Streaming over batches of any size finds the elements that two classes have, and how many have them."""
     monkeypatch.setattr(near_dup, "MOST", 3 if seed % 2 else 100)
     rng = random.Random(seed)
@@ -66,7 +67,7 @@ def test_shared_elements(seed, monkeypatch):
     have = defaultdict(set)
     for h, s, t in rows:
         have[h].add((s, t))
-    want = sorted((h, *s, min(len(v), near_dup.MOST)) for h, v in have.items() if len(v) > 1 for s in v)
+    want = sorted((h, *s, near_dup.MOST if h in hot else min(len(v), near_dup.MOST)) for h, v in have.items() if len(v) > 1 or h in hot for s in v)
 
     def batches():
         i = 0
@@ -76,7 +77,7 @@ def test_shared_elements(seed, monkeypatch):
             i += n
             yield pa.RecordBatch.from_arrays([pa.array([p[j] for p in part], pa.int64()) for j in range(3)], ["h", "s1", "s2"])
 
-    got = [tuple(x.values()) for b in near_dup._shared(batches()) for x in b.to_pylist()]
+    got = [tuple(x.values()) for b in near_dup._shared(np.array(hot, np.int64))(batches()) for x in b.to_pylist()]
     assert sorted(got) == want
 
 
@@ -123,6 +124,8 @@ def test_near_duplicates(spark, monkeypatch, k, num, den, block, wide):
     monkeypatch.setattr(near_dup, "BLOCK", block)
     monkeypatch.setattr(near_dup, "WIDE", wide)
     monkeypatch.setattr(near_dup, "PURE", 2)
+    monkeypatch.setattr(near_dup, "SAMPLE", 1 if block < 8 else 64)
+    monkeypatch.setattr(near_dup, "OFTEN", 3)
     rng = random.Random(k)
     texts = {}
     for _ in range(25):
