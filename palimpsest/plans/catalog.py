@@ -130,7 +130,14 @@ def chunk_blocks(spark, sf):
     return found.groupBy("page_id").agg(count().alias("chunks"), F.count_if("translate").alias("translate"), F.sum(F.length("text")).cast("long").alias("chars"))
 
 
-@query()
+_BARE = "regexp_extract(html, '(?s)<body[^>]*>(.*)', 1)"
+for _gone in ("(?s)<!--.*?-->", "(?s)<script.*?</script>", "(?s)<style.*?</style>", "<[^>]+>"):
+    _BARE = f"regexp_replace({_BARE}, '{_gone}', ' ', 'g')"
+for _entity, _character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    _BARE = f"replace({_BARE}, '{_entity}', '{_character}')"
+
+
+@query(f"""SELECT page_id, md5(trim(regexp_replace({_BARE}, '[\\s\\x{{a0}}]+', ' ', 'g'))) AS digest FROM pages""")
 def visible_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(F.encode(dom.page_text("html"), "UTF-8")).alias("digest"))
 
@@ -527,8 +534,7 @@ def navigation_tree(spark, sf):
     edges = region.select(F.lit("root").alias("parent"), F.col("r_name").alias("node"), F.col("r_regionkey").alias("ord"))
     edges = edges.unionByName(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("parent"), F.col("n_name").alias("node"), F.col("n_nationkey").alias("ord")))
     edges = edges.unionByName(supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("parent"), F.col("s_name").alias("node"), F.col("s_suppkey").cast("int").alias("ord")))
-    edges.createOrReplaceTempView("navigation_edges")
-    return registry.tree(spark, "navigation_edges", "root").select("node", "path", "depth")
+    return registry.tree(edges, "root").select("node", "path", "depth")
 
 
 def _kit(spark, sf):

@@ -118,11 +118,20 @@ def slugs(registry: DataFrame, slug: Column) -> DataFrame:
     return unique_names(registry.withColumn("_base", slug), "_base", ["ord"]).drop("_base")
 
 
-def tree(spark, edges: str, root: str) -> DataFrame:
-    """(node, path, depth) below ``root`` of the view ``edges`` (parent, node, ord), in pre-order."""
-    return spark.sql(f"""
-        WITH RECURSIVE t(node, path, sort, depth) AS (
-          SELECT node, node, lpad(CAST(ord AS STRING), 9, '0'), 0 FROM {edges} WHERE parent = '{root}'
-          UNION ALL
-          SELECT e.node, concat(t.path, '/', e.node), concat(t.sort, '.', lpad(CAST(e.ord AS STRING), 9, '0')), t.depth + 1 FROM t JOIN {edges} e ON e.parent = t.node
-        ) SELECT node, path, depth, sort FROM t ORDER BY sort""")
+def tree(edges: DataFrame, root: str) -> DataFrame:
+    """(node, path, depth, sort) below ``root`` of (parent, node, ord); sorted by ``sort`` they are in pre-order.
+
+    A join a level, each level made once; there is no limit on levels or rows. A node below itself raises.
+    """
+    place = F.lpad(F.col("ord").cast("string"), 9, "0")
+    level = edges.filter(F.col("parent") == root).select("node", F.col("node").alias("path"), place.alias("sort"), F.lit(0).alias("depth"), F.array("node").alias("_up")).persist()
+    found = level
+    while not level.isEmpty():
+        below = edges.select(F.col("parent").alias("_parent"), F.col("node").alias("_node"), place.alias("_place"))
+        step = level.join(below, F.col("node") == F.col("_parent"))
+        level = step.select(F.col("_node").alias("node"), F.concat_ws("/", "path", "_node").alias("path"), F.concat_ws(".", "sort", "_place").alias("sort"), (F.col("depth") + 1).alias("depth"), F.concat("_up", F.array("_node")).alias("_up"), F.array_contains("_up", F.col("_node")).alias("_again")).persist()
+        if again := level.filter("_again").select("path").first():
+            raise ValueError(f"a node below itself: {again[0]}")
+        level = level.drop("_again")
+        found = found.unionByName(level)
+    return found.drop("_up")

@@ -1,8 +1,9 @@
 """The site's plans from end to end, and reports."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.plans import reports, site
+from palimpsest.plans import registry, reports, site
 from palimpsest.sources import web
 
 BASE = "https://wiki.example/index.php"
@@ -60,6 +61,15 @@ def test_fetch_all(spark, monkeypatch):
     assert "hashpartitioning(host" in plan and plan.count("MapInArrow") >= 1
 
 
+def test_tree(spark):
+    edges = [("r", "b", 2), ("r", "a", 1), ("a", "a2", 2), ("a", "a1", 1)] + [(f"c{i}", f"c{i + 1}", 0) for i in range(8)] + [("b", "c0", 0), ("elsewhere", "x", 0)]
+    df = spark.createDataFrame(edges, "parent string, node string, ord int")
+    out = [(r.node, r.depth) for r in registry.tree(df, "r").orderBy("sort").collect()]
+    assert out == [("a", 0), ("a1", 1), ("a2", 1), ("b", 0)] + [(f"c{i}", i + 1) for i in range(9)]
+    with pytest.raises(ValueError, match="below itself"):
+        registry.tree(spark.createDataFrame([*edges, ("c3", "c1", 1)], "parent string, node string, ord int"), "r")
+
+
 def test_signals(spark):
     records = spark.createDataFrame([("A", "SSR", "同盟同盟同盟x", None, "ガチャ", ["t1", "t2"], 5, None), ("B", "R", "", "近战", "", [], 7, 3)], "name string, rarity string, faction string, atk_type string, obtain string, tags array<string>, hp int, atk int")
     out = rows(reports.signals(records, ["hp", "atk"], 1), "section", "key", "rank", "name", "value")
