@@ -330,7 +330,7 @@ def sections(html: str, keys: list[str]) -> list[tuple[str, int, int, bool, str,
     return out
 
 
-@F.udtf(returnType="node: int, parent: int, depth: int, tag: string, attrs: map<string, string>, text: string")
+@F.udtf(returnType="node: int, parent: int, depth: int, tag: string, attrs: map<string, string>, text: string", useArrow=True)
 class Nodes:
     """A page's nodes in document order."""
 
@@ -342,7 +342,7 @@ class Nodes:
             yield i, up[0], up[1] + 1, n.tag, n.attrs, n.text or None
 
 
-@F.udtf(returnType="i: int, tag: string, html: string, text: string, translate: boolean")
+@F.udtf(returnType="i: int, tag: string, html: string, text: string, translate: boolean", useArrow=True)
 class Chunks:
     """The innermost blocks of a page's cleaned body."""
 
@@ -352,14 +352,14 @@ class Chunks:
             yield i, n.tag, n.inner().strip(), text, bool(SOURCE_SCRIPT.search(text))
 
 
-@F.udtf(returnType="ord: int, href: string, label: string")
+@F.udtf(returnType="ord: int, href: string, label: string", useArrow=True)
 class Links:
     def eval(self, html: str):
         for i, a in enumerate(n for n in parse(html).find("a") if "href" in n.attrs):
             yield i, a.attrs["href"], a.content().strip()
 
 
-@F.udtf(returnType="section: string, row: int, cell: int, heading: boolean, text: string, colspan: int, rowspan: int")
+@F.udtf(returnType="section: string, row: int, cell: int, heading: boolean, text: string, colspan: int, rowspan: int", useArrow=True)
 class Sections:
     def eval(self, html: str, keys: list):
         yield from sections(html, list(keys))
@@ -413,7 +413,7 @@ def keyed(html: str) -> tuple[str, list[tuple[int, str]], list[tuple[int, str, l
     return root.inner(), keys, blocks
 
 
-@F.udtf(returnType="kind: string, id: int, ja: string, keys: array<int>, template: string")
+@F.udtf(returnType="kind: string, id: int, ja: string, keys: array<int>, template: string", useArrow=True)
 class Keyed:
     """One ``template`` row, then a ``key`` row for each text and a ``blk`` row for each sentence block."""
 
