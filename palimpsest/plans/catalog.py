@@ -158,10 +158,14 @@ def norm_text(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(F.encode(norm(F.col("text")), "UTF-8")).alias("digest"))
 
 
-@query("""SELECT doc_id, CASE WHEN s = '' THEN 'sec' ELSE s END AS slug FROM (SELECT doc_id,
-  lower(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(trim(string_split(text, chr(10))[1])), '[^\\pL\\pM\\pN_\\s\\-]', '', 'g'), '\\s+', '-', 'g'), '^-+|-+$', '', 'g')) AS s FROM documents)""")
+@query("""WITH l AS (SELECT doc_id, u.i, string_split(text, chr(10))[u.i] AS line FROM documents d, LATERAL (SELECT unnest(range(1, len(string_split(d.text, chr(10))) + 1)) AS i) u),
+s AS (SELECT doc_id, i, lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(trim(line)), '<[^>]+>', '', 'g'), '[^\\pL\\pM\\pN_\\s\\-]', '', 'g'), '\\s+', '-', 'g'), '^-+|-+$', '', 'g')) AS s FROM l)
+SELECT doc_id, md5(string_agg(CASE WHEN s = '' THEN 'sec' ELSE s END, ',' ORDER BY i)) AS slugs FROM s GROUP BY doc_id""")
 def heading_slugs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", slugify(F.substring_index("text", "\n", 1)).alias("slug"))
+    """Every line as a heading."""
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line")).select("doc_id", "i", slugify(F.col("line")).alias("slug"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "slug"))), lambda x: x["slug"]), ",")
+    return lines.groupBy("doc_id").agg(F.md5(F.encode(joined, "UTF-8")).alias("slugs"))
 
 
 @query("""SELECT doc_id, md5(translate(text, '/\\:*?"<>|', '／＼：＊？″＜＞｜')) AS safe, md5(lower(replace(replace(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), ' ', ''), '・', ''))) AS key FROM documents""")
@@ -267,13 +271,12 @@ def coverage_ratio(spark, sf):
     return store.coverage(*_store(spark, sf))
 
 
-@query(f"""WITH {_STORE}, o AS (SELECT slug, 0 AS kind, blk AS id FROM b WHERE bzh = ''), s AS (SELECT k.slug, 1 AS kind, key_no AS id FROM k JOIN b USING (slug, blk) WHERE zh = '' AND bzh <> '' AND NOT (right(text, 1) NOT IN ('.', '!', '?') AND length(text) <= 10) AND NOT regexp_matches(text, 'x\\d+$'))
-SELECT slug, count_if(kind = 1) AS open_keys FROM (SELECT * FROM o UNION ALL SELECT * FROM s) GROUP BY slug HAVING count_if(kind = 1) > 0""")
+@query(f"""WITH {_STORE}, o AS (SELECT slug, 'blk' AS kind FROM b WHERE bzh = ''), s AS (SELECT k.slug, 'key' AS kind FROM k JOIN b USING (slug, blk) WHERE zh = '' AND bzh <> '' AND text <> '' AND NOT regexp_matches(text, 'Last-modified') AND NOT regexp_matches(text, '^[^xX]*x\\d+$|^第?\\d+期$|^\\d+次$'))
+SELECT slug, kind, count(*) AS n FROM (SELECT * FROM o UNION ALL SELECT * FROM s) GROUP BY slug, kind""")
 def untranslated_worklist(spark, sf):
     keys, blocks = _store(spark, sf)
     known = spark.createDataFrame([("",)], "key string")
-    items = store.worklist(keys, blocks, known, text.squeeze)
-    return items.filter("kind = 'key'").groupBy("slug").agg(count().alias("open_keys"))
+    return store.worklist(keys, blocks, known, text.squeeze, allow_fragments=True).groupBy("slug", "kind").agg(count().alias("n"))
 
 
 @query("""WITH d AS (SELECT trim(regexp_replace(text, '\\s+', ' ', 'g')) AS norm, max_by(lang, doc_id) AS zh FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1)
