@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HOT, LOWER, flat, materialize, mix64, partitions, range_hashes, runs, skew_join, word_spans
+from .common import HOT, LOWER, discard, flat, materialize, mix64, partitions, range_hashes, runs, skew_join, word_spans
 from .components import components
 
 BLOCK = 256  # classes in a block
@@ -344,6 +344,7 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, all_links: bool = False):
         self.spark, self.k, self.num, self.den, self.all_links = docs.sparkSession, k, num, den, all_links
+        self.stored: list[DataFrame] = []  # tables that only the links are made from
         cut = _cut(num, den)
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
         self.sketch = materialize(rows.mapInArrow(_sketch(k, cut), "doc_id long, n long, inside long, s1 long, s2 long, t long"), "sketch")
@@ -362,15 +363,15 @@ class NearDuplicates:
         prefix = F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1
         spare = F.greatest(F.lit(0), prefix - (F.col("inside") - F.size("common")))
         picked = own.join(self.classes, ["s1", "s2"]).withColumn("prefix", F.concat(F.slice("common", 1, spare.cast("int")), F.filter("all", lambda h: (h < 0) | (h >= cut))))
-        held = materialize(picked.filter("size(prefix) > 0").select("node", "n", "at", "s1", "s2", "prefix"), "prefixes")
+        held = self._store(picked.filter("size(prefix) > 0").select("node", "n", "at", "s1", "s2", "prefix"), "prefixes")
         near = self._runs(held)
-        family = materialize(components(near.select(F.col("node").alias("u"), F.col("tie").alias("v"))).withColumnRenamed("root", "family"), "families")
+        family = self._store(components(near.select(F.col("node").alias("u"), F.col("tie").alias("v"))).withColumnRenamed("root", "family"), "families")
         sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("classes"))
-        family = materialize(skew_join(family, sizes, ["family"], F.col("classes") > max(1024, family.count() // HOT)), "families")
+        family = self._store(skew_join(family, sizes, ["family"], F.col("classes") > max(1024, family.count() // HOT)), "families")
         # Linked sets' sizes are in one bin or in adjacent ones; a family that is one group needs no bins.
         bin_ = F.floor(F.log("n") / math.log(den / num * 1.0001)).cast("int") if num < den else F.col("n").cast("int")
         members = held.join(family, "node").withColumn("bin", F.when(F.col("classes") <= BLOCK, 0).otherwise(bin_))
-        members = materialize(members, "members")
+        members = self._store(members, "members")
         self.sets = self._load(rows, members)
         large = members.filter(F.col("classes") > BLOCK)
         easy, found = (None, None) if all_links or large.isEmpty() else self._rounds(large)
@@ -389,43 +390,49 @@ class NearDuplicates:
             groups = groups.unionByName(by_element.select(F.col("h").alias("g1"), F.col("run").cast("int").alias("g2"), "node", "bin"))
         # A large component's classes have blocks of their own, which needn't meet.
         pure = F.when(F.col("size") >= PURE, F.col("root")).otherwise(F.lit(-1).cast("long"))
-        groups = materialize(groups.join(found, "node", "left").withColumn("part", F.coalesce(pure, F.lit(-1).cast("long"))).select("g1", "g2", "node", "bin", "part"), "groups")
+        groups = self._store(groups.join(found, "node", "left").withColumn("part", F.coalesce(pure, F.lit(-1).cast("long"))).select("g1", "g2", "node", "bin", "part"), "groups")
         links = self._linked(self._meetings(groups))
         links = (links if easy is None else links.unionByName(easy)).filter("u <> v").select("u", "v")
         self.links = materialize(links.distinct() if all_links else links, "links")
+        for stored in self.stored:
+            discard(stored)
+
+    def _store(self, df: DataFrame, name: str) -> DataFrame:
+        self.stored.append(materialize(df, name))
+        return self.stored[-1]
 
     def _runs(self, held: DataFrame) -> DataFrame:
         """``node, n, h, run, tie`` for each element of a prefix. Linked sets' sizes are within the threshold's ratio, and
         so are those of neighbours by size between them: among the sets with an element, all that can link by it are in
         one run of such neighbours; tie is the run's least node. Only distinct sizes are put in order."""
-        near = materialize(held.select("node", "n", F.explode("prefix").alias("h")), "near")
+        near = self._store(held.select("node", "n", F.explode("prefix").alias("h")), "near")
         sizes = near.groupBy("h", "n").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("c"))
         by_size = Window.partitionBy("h").orderBy("n")
         sizes = sizes.withColumn("_m", F.lag("n").over(by_size))
         sizes = sizes.withColumn("run", F.sum(F.when(F.col("_m") * self.den >= F.col("n") * self.num, 0).otherwise(1)).over(by_size))
         sizes = sizes.withColumn("tie", F.min("least").over(Window.partitionBy("h", "run"))).select("h", "n", "run", "tie", "c")
-        return materialize(skew_join(near, sizes, ["h", "n"], F.col("c") > max(1024, near.count() // HOT)).select("node", "n", "h", "run", "tie"), "near")
+        return self._store(skew_join(near, sizes, ["h", "n"], F.col("c") > max(1024, near.count() // HOT)).select("node", "n", "h", "run", "tie"), "near")
 
     def _load(self, rows: DataFrame, members: DataFrame) -> DataFrame:
         """``node, elements`` of every class with a family, from the text of one of its rows."""
         wanted = members.select(F.col("at.doc").alias("_doc"), F.col("at.t").alias("_t"), "node", "s1", "s2")
         texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
         texts = texts.join(wanted.hint("shuffle_hash"), (F.col("doc") == F.col("_doc")) & (F.col("t") == F.col("_t"))).select("text", "node", "s1", "s2")
-        return materialize(texts.mapInArrow(_load_sets(self.k), "node long, elements binary"), "sets")
+        return self._store(texts.mapInArrow(_load_sets(self.k), "node long, elements binary"), "sets")
 
     def _rounds(self, large: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Links that make few components of what is close, and ``node, root, size`` of these; rounds end when they no
         longer find much."""
-        large = materialize(large.select("family", "bin", "node", "prefix"), "large")
+        large = self._store(large.select("family", "bin", "node", "prefix"), "large")
         links, loose, hubs, left, salt = None, large, None, large.count(), 0
         while True:
             salt += 1
-            found = materialize(self._linked(self._easy(loose, large, hubs, salt)), "links")
-            links = found if links is None else materialize(links.unionByName(found), "links")
+            found = self._store(self._linked(self._easy(loose, large, hubs, salt)), "links")
+            links = found if links is None else self._store(links.unionByName(found), "links")
             roots = components(links.select("u", "v"))
             size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-            roots = materialize(skew_join(roots, size, ["root"], F.col("size") > max(1024, left // HOT)).select("node", "root", "size"), "parts")
-            loose = materialize(large.join(roots.filter(F.col("size") >= PURE).select("node"), "node", "left_anti"), "loose")
+            roots = self._store(skew_join(roots, size, ["root"], F.col("size") > max(1024, left // HOT)).select("node", "root", "size"), "parts")
+            loose = self._store(large.join(roots.filter(F.col("size") >= PURE).select("node"), "node", "left_anti"), "loose")
             hubs, before, left = found.filter("degree > 0").select(F.col("u").alias("node"), "degree"), left, loose.count()
             if left > 0.7 * before or left <= BLOCK:
                 return links, roots
@@ -444,7 +451,7 @@ class NearDuplicates:
         full = loose.groupBy("family", "bin", "bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k2"))
         loose = loose.join(full, ["family", "bin", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("node"), "k2"))
         listed = full.select("family", "bin", "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k2") - 1)).alias("sub"))
-        listed = materialize(listed.withColumn("meeting", F.monotonically_increasing_id()), "easy")
+        listed = self._store(listed.withColumn("meeting", F.monotonically_increasing_id()), "easy")
         near_by = listed.withColumn("bin", F.explode(F.array(F.col("bin") - 1, "bin", F.col("bin") + 1)))
         rows = loose.join(listed, ["family", "bin", "bucket", "sub"]).select("meeting", "node")
         return rows.unionByName(near_by.join(pivots, ["family", "bin"]).select("meeting", "node")).withColumn("side", F.lit(0))
@@ -453,14 +460,14 @@ class NearDuplicates:
         """``meeting, node, side``: every block meets itself and the others of its bin and of the next, but blocks of one
         large component don't meet."""
         keys = ["g1", "g2", "bin", "part"]
-        counted = materialize(groups.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.count(F.lit(1)).alias("c")), "blocks")
+        counted = self._store(groups.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.count(F.lit(1)).alias("c")), "blocks")
         hot = F.col("c") > max(1024, groups.count() // HOT)
         placed = skew_join(groups, counted, keys, hot).withColumn("no", F.pmod(F.xxhash64("node"), "k"))
         listed = counted.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("no"))
         a = listed.select("g1", "g2", "bin", F.struct("part", "no").alias("a"), F.explode(F.array("bin", F.col("bin") + 1)).alias("other"))
         b = listed.select("g1", "g2", F.col("bin").alias("other"), F.struct("part", "no").alias("b"))
         pairs = a.join(b, ["g1", "g2", "other"]).filter((F.col("bin") < F.col("other")) | (F.col("a") <= F.col("b"))).filter("a.part <> b.part OR a.part = -1")
-        pairs = materialize(pairs.withColumn("meeting", F.monotonically_increasing_id()), "meetings")
+        pairs = self._store(pairs.withColumn("meeting", F.monotonically_increasing_id()), "meetings")
         first = pairs.select("g1", "g2", "bin", "a.part", "a.no", "meeting", F.lit(0).alias("side"))
         second = pairs.filter("bin < other OR a <> b").select("g1", "g2", F.col("other").alias("bin"), "b.part", "b.no", "meeting", F.lit(1).alias("side"))
         return placed.join(first.unionByName(second), [*keys, "no"]).select("meeting", "node", "side")
