@@ -32,11 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back, so that later jobs start from files."""
+def materialize(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, in a folder for each value of ``folders``, and read it back, so that
+    later jobs start from files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     return stored
@@ -45,9 +46,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def discard(stored: DataFrame | None) -> None:
     """Delete a table of :func:`materialize` that nothing reads any more."""
     if stored is not None and (path := getattr(stored, "_stored_at", None)):
-        jvm, conf = stored.sparkSession._jvm, stored.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+        delete(stored.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def numbered(df: DataFrame, name: str, column: str, *order) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, license_scan, line_dedup, mixing, near_dup, packing, substrings, topk, toxicity, warc
+from . import digest, license_scan, line_dedup, mixing, near_dup, packing, sessions, substrings, topk, toxicity, warc
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op12_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.close_sessions(table(spark, sf_dir, "clicks"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_near_duplicates": op10_near_duplicates,
+    "op12_sessions": op12_sessions,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
@@ -77,4 +82,5 @@ ORACLES: dict[str, str] = {
     "op5_license_scan": license_scan.oracle(),
     "op6_top_k": topk.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op12_sessions": sessions.ORACLE,
 }

@@ -5,7 +5,7 @@ import pytest
 
 from palimpsest.llm.queries import ORACLES, QUERIES
 
-TABLES = "documents embeddings pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations clicks".split()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
