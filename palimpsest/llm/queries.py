@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, license_scan, line_dedup, mixing, near_dup, packing, sessions, substrings, topk, toxicity, warc
+from . import decontaminate, digest, kd_means, license_scan, line_dedup, mixing, near_dup, packing, sessions, substrings, topk, toxicity, warc
 from .common import table
 
 
@@ -59,10 +59,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_means.kd_means(table(spark, sf_dir, "embeddings"))
+
+
 def op12_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.close_sessions(table(spark, sf_dir, "clicks"))
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -74,7 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_centroids": op11_centroids,
     "op12_sessions": op12_sessions,
+    "op13_decontaminate": op13_decontaminate,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
@@ -82,5 +92,7 @@ ORACLES: dict[str, str] = {
     "op5_license_scan": license_scan.oracle(),
     "op6_top_k": topk.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op11_centroids": kd_means.oracle(),
     "op12_sessions": sessions.ORACLE,
+    "op13_decontaminate": decontaminate.oracle(),
 }
