@@ -213,7 +213,8 @@ def close_sessions(clicks: DataFrame, batches: int = 12, delay_hours: int = 120,
     rows = cut.select("click_id", "client", "t", F.pmod(F.xxhash64("client"), F.lit(buckets)).cast("int").alias("bucket"), slot, "batch")
     marks = spark.range(batches * buckets).select(*(F.lit(None).cast("long").alias(c) for c in ("click_id", "client", "t")), F.expr(f"cast(id div {batches} as int)").alias("bucket"), F.lit(None).cast("long").alias("slot"), F.expr(f"cast(id % {batches} as int)").alias("batch"))
     # a client's slot goes to one file, so that it becomes one row before the state's shuffle; the clock's slots spread a client
-    every = materialize(rows.unionByName(marks).repartition(partitions(spark), "client", "slot", "bucket"), "batches", "batch")
+    spread = F.pmod(F.xxhash64("client", "slot"), F.lit(-(-2 * partitions(spark) // batches)))
+    every = materialize(rows.unionByName(marks).repartition(partitions(spark), "batch", spread), "batches", "batch")
     discard(cut)
 
     root = f"{shared_dir(spark)}/sessions-{uuid.uuid4().hex}"
