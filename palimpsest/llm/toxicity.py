@@ -1,7 +1,7 @@
 """Tag toxic spans with a linear-chain conditional random field and score documents by its marginals.
 
 Tokens are runs of letters (A-Z lower-cased, any byte from 0x80 on counts as a letter); a sequence is the tokens between
-two of ``. ! ?`` or line feeds, in pieces of 256 at most. States: 0 clean, 1 toxic. A token's features are its bytes, its
+two of ``. ! ?`` or line feeds, however many; only the fit cuts its sample's into pieces of FIT_SEQUENCE. States: 0 clean, 1 toxic. A token's features are its bytes, its
 first 3, 4, 5 and 6 bytes and its last 4, hashed into 2**20 weights.
 
 Documents are labelled, tokens aren't, so tokens get their labels from the documents': a token of a toxic document is
@@ -9,8 +9,10 @@ toxic if one of its features is far more frequent, beyond chance, in toxic docum
 gradient ascent on the conditional likelihood. Forward-backward gives each token's marginal; a document's score is a
 logistic function of the expected number of toxic tokens and of the largest marginal, fitted on the documents' labels.
 
-The model is fitted on a bounded sample of the labelled documents that aren't held out: MAX_TRAINING of each label and
-MAX_TRAINING_BYTES of their texts, smallest md5(doc_id) first, with all sequences of each. The logistic function is fitted
+The model is fitted on a bounded sample of the labelled documents that aren't held out: MAX_TRAINING of each label, smallest
+md5(doc_id) first, and of these, in that order, whole texts of MAX_TRAINING_BYTES together: first those that need no more than
+1/TEXT_SHARE of it, then longer ones, each if it still fits. So no long text keeps others out. Where no text of a label fits, the
+least of them is learnt from as far as the bound goes, so that no label is lost. The logistic function is fitted
 on signals of documents that a field hadn't seen: the sample's halves are scored by fields fitted on the other half. Its
 ridge is the one of RIDGES with the least loss when either half's function is tried on the other half. Nothing is chosen
 by the held-out fold. Scoring covers every whole text.
@@ -30,17 +32,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Ranges, flat, runs
+from .common import LOWER, Ranges, discard, flat, materialize, runs
 
 MAX_TRAINING = 2000
 MAX_TRAINING_BYTES = 2 << 20  # the fit takes about a second a MB on the driver
 FOLDS = 5
 RIDGES = (0.001, 0.01, 0.1, 1.0, 10.0)
 FEATURES = 1 << 20
-MAX_SEQUENCE = 256
+TEXT_SHARE = 16
+FIT_SEQUENCE = 256
+FAINT = 0.05
 CHUNK = 256  # texts tokenized at a time, so that arrays stay small
 AFFIXES = (3, 4, 5, 6)
 SUFFIX = 4
@@ -66,8 +70,8 @@ class Tokens:
         return Tokens(*(getattr(self, k)[keep] for k in ("start", "end", "doc", "features", "sequence", "place", "word")))
 
 
-def tokenize(data: np.ndarray, offsets: np.ndarray) -> Tokens:
-    """Tokens of texts that lie back to back in ``data``."""
+def tokenize(data: np.ndarray, offsets: np.ndarray, longest: int | None = None) -> Tokens:
+    """Tokens of texts that lie back to back in ``data``; sequences of over ``longest`` are cut."""
     data = LOWER[data]
     letter = np.concatenate([[False], _LETTER[data], [False]])
     first = np.zeros(len(data) + 1, bool)
@@ -80,14 +84,16 @@ def tokenize(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     new[1:] = (doc[1:] != doc[:-1]) | (stops[start[1:]] != stops[end[:-1]])
     begin = np.flatnonzero(new)
     place = np.arange(len(start)) - np.repeat(begin, np.diff(np.append(begin, len(start))))
-    new |= place % MAX_SEQUENCE == 0
+    if longest:
+        place %= longest
+        new |= place == 0
     sequence = np.cumsum(new) - 1
     ranges = Ranges(data)
     kinds = [ranges.hashes(start, end)] + [ranges.hashes(start, np.minimum(start + n, end)) for n in AFFIXES] + [ranges.hashes(np.maximum(end - SUFFIX, start), end)]
     features = np.empty((len(start), len(kinds)), np.int32)
     for i, h in enumerate(kinds):
         features[:, i] = (h ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(44)
-    return Tokens(start, end, doc, features, sequence, place % MAX_SEQUENCE, kinds[0])
+    return Tokens(start, end, doc, features, sequence, place, kinds[0])
 
 
 def _join(parts: list[Tokens], docs: list[int]) -> Tokens:
@@ -207,12 +213,13 @@ def token_labels(tokens: Tokens, doc_label: np.ndarray) -> np.ndarray:
 
 
 def _signals(p: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
-    """Intercept, log(1 + expected toxic tokens) and largest marginal of each document."""
+    """Intercept, log(1 + expected toxic tokens) and largest marginal of each document. Marginals under FAINT don't count
+    as tokens: in a long text they would add up by its length alone."""
     most = np.zeros(docs)
     if len(p):
         first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         most[doc[first]] = np.maximum.reduceat(p, first)
-    expected = np.bincount(doc, p, docs) if len(p) else np.zeros(docs)
+    expected = np.bincount(doc, np.where(p < FAINT, 0, p), docs) if len(p) else np.zeros(docs)
     return np.stack([np.ones(docs), np.log1p(expected), most], 1)
 
 
@@ -260,7 +267,7 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray) -> Model:
     if not len(labels) or labels.min() == labels.max():
         return Model(None, np.zeros(3), float(np.average(labels, weights=weights)) if len(labels) else 0.0)
     chunks = list(runs(texts, 1 << 20, CHUNK))
-    tokens = _join([tokenize(*flat(texts.slice(i, n))) for i, n in chunks], [i for i, _ in chunks])
+    tokens = _join([tokenize(*flat(texts.slice(i, n)), FIT_SEQUENCE) for i, n in chunks], [i for i, _ in chunks])
     half = np.zeros(len(labels), bool)
     for y in (0, 1):
         half[np.flatnonzero(labels == y)[::2]] = True
@@ -321,17 +328,37 @@ def _score(model: Model, carried: list[str], text_column: str):
     return score
 
 
+def sampled(sizes: list[tuple[int, int]], max_bytes: int) -> list[int]:
+    """Of (id, bytes) in order the ids that are learnt from: of texts up to a share of ``max_bytes`` as many as fit, then longer
+    ones, each if it still fits; the smallest one if none does."""
+    taken, total, share = [], 0, max_bytes // TEXT_SHARE
+    for i, size in (x for x in sizes if x[1] <= share):
+        if total + size > max_bytes:
+            break  # going on with what is small enough would make the sample one of short texts
+        taken.append(i)
+        total += size
+    for i, size in (x for x in sizes if x[1] > share):
+        if total + size <= max_bytes:
+            taken.append(i)
+            total += size
+    return taken or [i for i, _ in sorted(sizes, key=lambda x: x[1])[:1]]
+
+
 def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING, max_bytes: int = MAX_TRAINING_BYTES) -> Model:
     """Fit on labelled documents outside the held-out fold, ``max_training`` and ``max_bytes`` of each label at most."""
     ids = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = ids.filter(~held_out("doc_id")).filter(F.col("toxic").isin(0, 1))
     have = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
     order = [F.md5(F.col("doc_id").cast("string")), "doc_id"]
-    chosen = [ids.filter(F.col("toxic") == y).orderBy(*order).limit(max_training) for y in (0, 1)]
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # max_training of each label, so the window is bounded
-    texts = texts.withColumn("bytes", F.sum(F.octet_length("text")).over(Window.partitionBy("toxic").orderBy(*order)))
-    sample = texts.filter(F.col("bytes") <= max_bytes).select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending")])
+    labelled = ids.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = [labelled.filter(F.col("toxic") == y).orderBy(*order).limit(max_training) for y in (0, 1)]
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")  # 2 * max_training ids at most
+    texts = materialize(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "labelled")
+    sizes = texts.select("doc_id", "toxic", F.octet_length("text").alias("bytes")).orderBy(*order).collect()  # no texts yet, 2 * max_training numbers
+    taken = [i for y in (0, 1) for i in sampled([(r.doc_id, r.bytes) for r in sizes if r.toxic == y], max_bytes)]
+    learnt = texts.filter(F.col("doc_id").isin(taken)).select("doc_id", F.substring("text", 1, max_bytes).alias("text"), "toxic")  # cuts only what alone exceeds the bound
+    sample = learnt.toArrow().sort_by([("doc_id", "ascending")])
+    discard(texts)
     y = sample.column("toxic").to_numpy().astype(np.float64) if sample.num_rows else np.zeros(0)
     share = np.array([max(1.0, have.get(v, 0) / max(1, int((y == v).sum()))) for v in (0, 1)])
     return fit(sample.column("text").combine_chunks(), y, share[y.astype(int)])
