@@ -268,16 +268,20 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray) -> Model:
         return Model(None, np.zeros(3), float(np.average(labels, weights=weights)) if len(labels) else 0.0)
     chunks = list(runs(texts, 1 << 20, CHUNK))
     tokens = _join([tokenize(*flat(texts.slice(i, n)), FIT_SEQUENCE) for i, n in chunks], [i for i, _ in chunks])
-    half = np.zeros(len(labels), bool)
+    crf = _field(tokens, labels, np.ones(len(labels), bool))
+    half, x = np.zeros(len(labels), bool), np.zeros((len(labels), 3))
     for y in (0, 1):
         half[np.flatnonzero(labels == y)[::2]] = True
-    x = np.zeros((len(labels), 3))
+
+    def signals(by: Crf) -> np.ndarray:
+        p, _, _ = by.marginals(by.emissions(tokens.features), tokens.place)
+        return _signals(p, tokens.doc, len(labels))
+
+    if min((labels == y).sum() for y in (0, 1)) < 2:  # one half would lack a label
+        return Model(crf, calibrate(signals(crf), labels, weights, RIDGES[-1]))
     for side in (half, ~half):
-        crf, there = _field(tokens, labels, side), ~side
-        p, _, _ = crf.marginals(crf.emissions(tokens.features), tokens.place)
-        x[there] = _signals(p, tokens.doc, len(labels))[there]
+        x[~side] = signals(_field(tokens, labels, side))[~side]
     tried = {r: sum(_loss(x[~s], labels[~s], weights[~s], calibrate(x[s], labels[s], weights[s], r)) for s in (half, ~half)) for r in RIDGES}
-    crf = _field(tokens, labels, np.ones(len(labels), bool))
     return Model(crf, calibrate(x, labels, weights, min(tried, key=tried.get)))
 
 

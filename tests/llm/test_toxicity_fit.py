@@ -60,10 +60,10 @@ def test_chains_are_scored_whole():
 
 def sample(seed):
     r = random.Random(seed)
-    texts = [" ".join(r.choice(["ill", "bad", "vile"] if i % 2 and r.random() < 0.5 else ["sun", "tree", "lake", "stone"]) + r.choice([" ", ". "]) for _ in range(12)) for i in range(30)]
+    texts = [" ".join(r.choice(["ill", "bad", "vile"] if i % 2 and r.random() < 0.5 else ["sun", "tree", "lake", "stone"]) + r.choice([" ", ". "]) for _ in range(12)) for i in range(80)]
     data = "".join(texts).encode()
     offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
-    return toxicity.tokenize(np.frombuffer(data, np.uint8), offsets), np.array([i % 2 for i in range(30)], np.float64)
+    return toxicity.tokenize(np.frombuffer(data, np.uint8), offsets), np.array([i % 2 for i in range(80)], np.float64)
 
 
 def test_token_labels():
