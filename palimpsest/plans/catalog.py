@@ -42,13 +42,6 @@ HREF = '<a href="([^"]*)"'
 # ------------------------------------------------------------------ pages
 
 
-@query("""SELECT page_id, CAST(i - 1 AS BIGINT) AS ord, hrefs[i] AS href FROM (
-  SELECT page_id, h AS hrefs, unnest(range(1, len(h) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages))""")
-def link_extract(spark, sf):
-    found = table(spark, sf, "pages").lateralJoin(dom.Links(F.col("html").outer()))
-    return found.select("page_id", long("ord").alias("ord"), "href")
-
-
 def _links(spark, sf):
     """A page's linked names, the first of each, by built-ins; names that five pages link to are registered."""
     pages = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("host"), F.regexp_extract_all("html", F.lit(HREF), 1).alias("hrefs"))
@@ -117,13 +110,6 @@ def escaped_titles(spark, sf):
     return table(spark, sf, "pages").select("page_id", text.escape_html(F.regexp_extract("html", "<h1>([^<]*)", 1)).alias("escaped"), text.site_href(F.col("url"), "/site/").alias("href"))
 
 
-@query("""SELECT tag, CAST(count(*) AS BIGINT) AS n FROM (
-  SELECT unnest(regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<script.*?</script>', '<script>', 'g'), '<([a-z][a-z0-9]*)[ >]', 1)) AS tag FROM pages) GROUP BY tag""")
-def dom_tag_counts(spark, sf):
-    nodes = table(spark, sf, "pages").select("html").lateralJoin(dom.Nodes(F.col("html").outer()))
-    return nodes.filter("tag <> '' AND tag <> '!' AND tag <> '#root'").groupBy("tag").agg(count().alias("n"))
-
-
 @query()
 def chunk_blocks(spark, sf):
     found = table(spark, sf, "pages").lateralJoin(dom.Chunks(F.col("html").outer()))
