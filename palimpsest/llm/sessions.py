@@ -9,8 +9,7 @@ The rows are cut into batches, which one Structured Streaming query reads in ord
 
 * Before rows are shuffled, those of a client within one half hour of the clock become one (they share a session whatever
   else arrives), so a client of a third of all rows has 48 rows a day at most, however many it clicks.
-* A group of the state is a bucket of clients by hash; there are more of them the more rows there are, so none grows with the
-  input. A mark for each bucket follows each batch, so that every bucket closes its sessions with the batch.
+* A group of the state is a bucket of clients by hash, one for every ``bucket_rows`` clicks, so none grows with the input. A mark for each bucket follows each batch, so that every bucket closes its sessions with the batch.
 * The driver gets the extremes of arrival and one largest time a batch. The contract's late-row bound is exact to the
   microsecond and counts whole batches, so it is a filter of its own, not Spark's watermark of whole milliseconds.
 
@@ -30,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .common import delete, discard, materialize, partitions, shared_dir
@@ -196,7 +196,18 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} can't be moved to {target}")
 
 
-def close_sessions(clicks: DataFrame, batches: int = 12, delay_hours: int = 120, apart_minutes: int = 30, bucket_rows: int = 100_000) -> DataFrame:
+def _run(writer: DataStreamWriter) -> None:
+    """Read what is there. Checksum files of the checkpoint, which this call deletes, would double what each task creates."""
+    conf, name = writer._spark.conf, "spark.sql.streaming.checkpoint.fileChecksum.enabled"
+    was = conf.get(name)
+    conf.set(name, "false")
+    try:
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        conf.set(name, was)
+
+
+def close_sessions(clicks: DataFrame, batches: int = 12, delay_hours: int = 120, apart_minutes: int = 30, bucket_rows: int = 50_000) -> DataFrame:
     """Sessions of ``clicks`` as the stream closes them, one row each (:data:`RESULT`).
 
     ``bucket_rows`` is about how many clicks, over all batches, share a group of the state.
@@ -208,7 +219,7 @@ def close_sessions(clicks: DataFrame, batches: int = 12, delay_hours: int = 120,
     apart, latest, total = apart_minutes * MINUTE, {}, 0
     for row in cut.groupBy("batch").agg(F.max("t").alias("latest"), F.count(F.lit(1)).alias("n")).collect():  # a row a batch
         latest[row.batch], total = row.latest, total + row.n
-    buckets = max(2 * partitions(spark), -(-total // bucket_rows))
+    buckets = -(-total // bucket_rows)
     slot = F.expr(_whole("t", apart)).alias("slot")
     rows = cut.select("click_id", "client", "t", F.pmod(F.xxhash64("client"), F.lit(buckets)).cast("int").alias("bucket"), slot, "batch")
     marks = spark.range(batches * buckets).select(*(F.lit(None).cast("long").alias(c) for c in ("click_id", "client", "t")), F.expr(f"cast(id div {batches} as int)").alias("bucket"), F.lit(None).cast("long").alias("slot"), F.expr(f"cast(id % {batches} as int)").alias("batch"))
@@ -230,7 +241,7 @@ def close_sessions(clicks: DataFrame, batches: int = 12, delay_hours: int = 120,
         stream = stream.select("bucket", "client", "slot", "t", F.crc32(F.col("click_id").cast("string")).alias("crc")).mapInArrow(_combine, _SUMMARY)
         step = _step(batch, None if bound is None else bound - apart, batches if batch == batches - 1 else None, apart)
         closed = stream.groupBy("bucket").applyInPandasWithState(step, RESULT, _STATE, "append", GroupStateTimeout.NoTimeout)
-        closed.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        _run(closed.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint"))
         before = bound
     for done in (every._stored_at, f"{root}/in", f"{root}/checkpoint"):
         delete(spark, done)
