@@ -5,8 +5,11 @@ or the end, but for ``v.`` before a number. A single line feed, ``;`` or ``:`` b
 stand in it: a known sentence is found from cut to cut of either kind, over as many lines as it takes, the longest first.
 Known sentences map to identifiers. A rule is an ordered list of identifiers; it matches where these stand next to each
 other among the text's recognised sentences. One projection does all of it: there is no shuffle, and a document of any
-source or size is a row of its own. The SQL cuts at every line feed, so it finds no sentence that wraps; both agree on
-tables without such.
+source or size is a row of its own. The sentences form one pattern factored by common beginnings, so a text costs its length
+and not the catalogue's.
+
+The catalogue has sentences of licences' own texts and headers, and short notices, which are made of names and of the forms in
+which authors write them; callers may pass their own.
 
 Edge cases: a null or empty text has no sentences; sentences that repeat are recognised each time; rows that repeat give
 rows that repeat; an empty table gives an empty result; of other columns only ``carry`` is kept.
@@ -20,6 +23,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.functions.lexicon import trie_regex
+
 #: Sentences of public licence texts and notices, in lower-case words.
 SENTENCES: dict[str, str] = {
     "mit-line": "released under the mit license",
@@ -92,6 +97,79 @@ RULES: list[tuple[str, str, list[str]]] = [
 RULES += [(f"spdx-{x.lower()}-short", x, [f"spdx-{x.lower()}"]) for x in SPDX]
 
 
+#: How notices name a licence, by the licence.
+NAMES: dict[str, list[str]] = {
+    "MIT": ["mit", "mit license", "expat license"],
+    "Apache-2.0": ["apache license version 2 0", "apache license 2 0", "apache 2 0 license", "apache 2 0", "apache version 2 0 license"],
+    "GPL-2.0-only": ["gnu general public license version 2", "gnu general public license v2 0", "gnu gpl v2", "gpl v2", "gplv2", "gpl 2 0"],
+    "GPL-3.0-only": ["gnu general public license version 3", "gnu general public license v3 0", "gnu gpl v3", "gpl v3", "gplv3", "gpl 3 0"],
+    "LGPL-2.1-only": ["gnu lesser general public license version 2 1", "gnu lgpl v2 1", "lgpl v2 1", "lgplv2 1"],
+    "LGPL-3.0-only": ["gnu lesser general public license version 3", "gnu lgpl v3", "lgpl v3", "lgplv3"],
+    "AGPL-3.0-only": ["gnu affero general public license version 3", "gnu affero general public license v3 0", "gnu agpl v3", "agpl v3", "agplv3"],
+    "BSD-2-Clause": ["bsd 2 clause license", "2 clause bsd license", "simplified bsd license", "freebsd license"],
+    "BSD-3-Clause": ["bsd 3 clause license", "3 clause bsd license", "new bsd license", "modified bsd license"],
+    "ISC": ["isc license", "isc"],
+    "MPL-2.0": ["mozilla public license version 2 0", "mozilla public license 2 0", "mpl 2 0", "mpl v2 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license 2 0", "epl 2 0"],
+    "EUPL-1.2": ["european union public licence version 1 2", "eupl 1 2", "eupl v1 2"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license 1 0"],
+    "Zlib": ["zlib license"],
+    "Unlicense": ["unlicense"],
+    "WTFPL": ["wtfpl", "do what the fuck you want to public license"],
+    "Artistic-2.0": ["artistic license 2 0", "artistic license version 2 0"],
+    "CC0-1.0": ["creative commons zero v1 0 universal", "cc0 1 0 universal", "cc0 1 0", "cc0"],
+    "CC-BY-4.0": ["creative commons attribution 4 0 international license", "creative commons attribution 4 0 license", "cc by 4 0 license", "cc by 4 0"],
+    "CC-BY-SA-4.0": ["creative commons attribution sharealike 4 0 international license", "creative commons attribution share alike 4 0 international license", "cc by sa 4 0 license", "cc by sa 4 0"],
+    "CC-BY-NC-4.0": ["creative commons attribution noncommercial 4 0 international license", "cc by nc 4 0 license", "cc by nc 4 0"],
+    "CC-BY-ND-4.0": ["creative commons attribution noderivatives 4 0 international license", "cc by nd 4 0 license", "cc by nd 4 0"],
+}
+#: Forms of notices around a name, and the addresses that stand for a licence.
+FORMS: list[str] = [
+    "licensed under the {}", "licensed under {}", "released under the {}", "distributed under the {}", "published under the {}", "code is licensed under the {}",
+    "this project is licensed under the {}", "this project is licensed under the {} see the license file for details", "this project is licensed under the {} see the license md file for details",
+    "this software is licensed under the {}", "this software is released under the {}", "this work is licensed under a {}", "this work is licensed under the {}", "this code is released under the {}",
+    "the source code is licensed under the {}", "the gem is available as open source under the terms of the {}", "available as open source under the terms of the {}", "open source under the terms of the {}",
+    "use of this source code is governed by a {} that can be found in the license file", "this program is made available under the terms of the {}", "license {}", "the {}", "{}",
+]
+ADDRESSES: dict[str, list[str]] = {
+    "CC-BY-4.0": ["creativecommons org licenses by 4 0"], "CC-BY-SA-4.0": ["creativecommons org licenses by sa 4 0"], "CC-BY-NC-4.0": ["creativecommons org licenses by nc 4 0"],
+    "CC0-1.0": ["creativecommons org publicdomain zero 1 0"], "Apache-2.0": ["www apache org licenses license 2 0", "www apache org licenses license 2 0 txt"], "MIT": ["opensource org licenses mit"],
+    "MPL-2.0": ["mozilla org mpl 2 0"], "GPL-3.0-only": ["www gnu org licenses gpl 3 0 html"],
+}
+#: Headings and notices of one form each.
+OTHERS: list[tuple[str, str]] = [
+    ("MIT", "the gem is available as open source under the terms of the mit license https opensource org licenses mit"),
+    ("Apache-2.0", "apache license version 2 0 january 2004"),
+    ("GPL-3.0-only", "gnu general public license version 3 29 june 2007"),
+    ("GPL-2.0-only", "gnu general public license version 2 june 1991"),
+    ("LGPL-3.0-only", "gnu lesser general public license version 3 29 june 2007"),
+    ("LGPL-2.1-only", "gnu lesser general public license version 2 1 february 1999"),
+    ("AGPL-3.0-only", "gnu affero general public license version 3 19 november 2007"),
+    ("BSD-3-Clause", "use of this source code is governed by a bsd style license that can be found in the license file"),
+    ("BSL-1.0", "see accompanying file license 1 0 txt or copy at http www boost org license 1 0 txt"),
+]
+
+
+#: Further texts of sentences, by text: the identifier that they stand for.
+NOTICES: dict[str, str] = {}
+
+
+def _catalogue() -> None:
+    """Short notices of every name in every form; a licence's all have one identifier and one rule. What is known already stays."""
+    known = set(SENTENCES.values())
+    made = [(lic, form.format(name)) for lic, names in NAMES.items() for name in names for form in FORMS]
+    made += [(lic, form.format(address)) for lic, addresses in ADDRESSES.items() for address in addresses for form in ("http {}", "https {}", "{}")]
+    for lic, text in [*made, *OTHERS]:
+        name = f"notice-{lic.lower()}"
+        if text not in known:
+            if name not in SENTENCES:
+                SENTENCES[name] = text
+                RULES.append((f"{name}-short", lic, [name]))
+            NOTICES[text] = name
+
+
+_catalogue()
+
 #: White space that ends no line.
 _BLANK = r"[\x20\x09\x0B-\x0D]"
 
@@ -109,18 +187,24 @@ def normalised(text: Column) -> Column:
 
 def sentences(text: Column, known: Iterable[str]) -> Column:
     """The known sentences of a text, in order."""
-    alternatives = "|".join(re.sub(" ", "[ |]", s) for s in sorted(known, key=len, reverse=True))
+    alternatives = trie_regex(known).replace("\\ ", "[ |]")
     found = F.regexp_extract_all(normalised(text), F.lit(rf"(?<![a-z0-9 ])(?:{alternatives})(?![a-z0-9 ])"), F.lit(0))
     return F.transform(found, lambda s: F.translate(s, "|", " "))
 
 
+def identifiers() -> dict[str, str]:
+    """The catalogue: each known sentence's identifier."""
+    return {text: name for name, text in SENTENCES.items()} | NOTICES
+
+
 def license_scan(docs: DataFrame, known: dict[str, str] | None = None, rules: list[tuple[str, str, list[str]]] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_recognised, sentence_ids, rules, licenses`` of each row: the number of recognised sentences, their
     identifiers in order, the names of the rules that match and the licences they find (sorted; a longer rule hides the
     rules whose sequences it contains). Lists are joined by commas."""
-    known, rules = known or SENTENCES, rules or RULES
-    ids = F.create_map(*[x for name, text in known.items() for x in (F.lit(text), F.lit(name))])
-    found = docs.select("doc_id", F.transform(sentences(F.col("text"), known.values()), lambda s: F.element_at(ids, s)).alias("_ids"), *carry)
+    named = {text: name for name, text in known.items()} if known else identifiers()
+    rules = rules or RULES
+    ids = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+    found = docs.select("doc_id", F.transform(sentences(F.col("text"), named), lambda s: F.element_at(ids, s)).alias("_ids"), *carry)
     found = found.withColumn("_sequence", F.concat(F.lit(","), F.array_join("_ids", ","), F.lit(",")))
     sequence = {name: f",{','.join(parts)}," for name, _, parts in rules}
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(lic).alias("license"), F.lit(sequence[name]).alias("sequence"), F.array(*[F.lit(n) for n, s in sequence.items() if n != name and sequence[name] in s]).cast("array<string>").alias("inside")) for name, lic, _ in rules])
@@ -137,14 +221,22 @@ def _quoted(x: str) -> str:
 
 
 def oracle() -> str:
-    """The same in DuckDB, by joins."""
-    known = ", ".join(f"({_quoted(text)}, {_quoted(name)})" for name, text in SENTENCES.items())
+    """The same in DuckDB: cuts stand between brackets, so that a sentence is what brackets enclose, and rules are joined."""
+    known = ", ".join(f"({_quoted(text)}, {_quoted(name)})" for text, name in identifiers().items())
     sequence = {name: f",{','.join(parts)}," for name, _, parts in RULES}
     rules = ", ".join(f"({_quoted(n)}, {_quoted(lic)}, {_quoted(sequence[n])})" for n, lic, _ in RULES)
+    steps = "replace(lower(coalesce(text, '')), '|', ' ')"
+    for pattern, by in (
+        (r"\bv\.([\x20\x09-\x0D]+[0-9])", r"v \1"), (r"[.!?]+(?:[\x20\x09-\x0D]|\z)", r"\n\n"), (r"[;:]([\x20\x09\x0B-\x0D])", r"\n\1"),
+        (r"[^a-z0-9\n]+", " "), (r" ?\n ?(?:\n ?)+", ">#<"), (r" ?\n ?", "><"),
+    ):
+        by = by.replace(r"\n", "' || chr(10) || '")
+        steps = f"regexp_replace({steps}, '{pattern}', '{by}', 'g')"
+    alternatives = "|".join(s.replace(" ", "(?: |><)") for s in sorted(identifiers(), key=len, reverse=True))
     return f"""
 WITH k(sentence, id) AS (VALUES {known}), r(name, license, seq) AS (VALUES {rules}),
-t AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[.!?]+(?:[\\x20\\x09-\\x0D]|\\z)|\\n', chr(10), 'g'), '[^a-z0-9\\n]+', ' ', 'g'), chr(10)) AS parts FROM documents),
-u AS (SELECT doc_id, trim(unnest(parts)) AS sentence, generate_subscripts(parts, 1) AS i FROM t),
+t AS (SELECT doc_id, regexp_extract_all('<' || trim({steps}) || '>', '<(?:{alternatives})>') AS parts FROM documents),
+u AS (SELECT doc_id, replace(substr(part, 2, length(part) - 2), '><', ' ') AS sentence, i FROM (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM t)),
 f AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY i) AS ids FROM u JOIN k USING (sentence) GROUP BY doc_id),
 m AS (SELECT doc_id, name, license, seq FROM f JOIN r ON contains(',' || ids || ',', seq)),
 s AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.name <> m.name AND contains(o.seq, m.seq))),
