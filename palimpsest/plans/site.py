@@ -9,16 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dom import Chunks, page_fragment
 from ..functions.text import page_url, wiki_last_modified
+from ..operators import memory
 from ..operators.joins import first_by
+from ..sources.commits import Change, Commits, retried
 from ..sources.web import page_status
 from . import registry
 
 Fetch = Callable[[DataFrame], DataFrame]
+KEYS = "ord int, key_no int, ja string, zh string"
 
 
 def discover(menu: DataFrame, lists: DataFrame, wanted: DataFrame, known: DataFrame, base: str, aliases: dict[str, str] | None = None, slugs: dict[str, str] | None = None) -> DataFrame:
@@ -75,11 +78,13 @@ class Update:
     entities_changed: bool
 
 
-def update(recent: DataFrame, pages: DataFrame, manifest: DataFrame, current: DataFrame, fetch: Fetch, base: str, at: str, max_attempts: int = 3) -> Update:
+def update(recent: DataFrame, pages: DataFrame, manifest: DataFrame, current: DataFrame, fetch: Fetch, base: str, at: str, max_attempts: int = 3, keep: Fetch | None = None) -> Update:
     """Fetch and parse what changed. ``pages`` is the registry; ``manifest``: name, url, sha256, status, wiki_last_modified,
-    fetched_at, error, attempts, parsed_sha256. A page that couldn't be fetched keeps its last content."""
+    fetched_at, error, attempts, parsed_sha256. A page that couldn't be fetched keeps its last content. ``keep`` stores the answers
+    and reads them back, so that no page is asked for twice (a second request could answer otherwise); without it they are cached."""
     due = registry.incremental_update(recent, pages, manifest, current, max_attempts)
-    news = fetched(due, fetch, base, at).cache()  # a second request could answer otherwise
+    answers = fetched(due, fetch, base, at)
+    news = keep(answers) if keep else answers.cache()
     held = manifest.select("name", F.col("sha256").alias("_sha"), F.col("wiki_last_modified").alias("_modified"), "parsed_sha256")
     counted = registry.counted_attempts(manifest, news).join(held, "name", "left")
     failed = F.col("status") != "ok"
@@ -89,3 +94,51 @@ def update(recent: DataFrame, pages: DataFrame, manifest: DataFrame, current: Da
     parsed, done = parse(whole, snapshots)
     touched = parsed.fragments.select("name").join(pages.filter("category = 'character-detail'").select("name"), "name", "left_semi")
     return Update(done, snapshots, parsed, not touched.isEmpty())
+
+
+def run(commits: Commits, recent: DataFrame, current: DataFrame, fetch: Fetch, base: str, at: str, norm: Callable[[Column], Column], max_attempts: int = 3) -> int:
+    """An update from end to end, published as one version: what changed is fetched and parsed, its texts get the numbers and the
+    translations of the page's last version, and manifest, snapshots, fragments and keys appear together. Returns the version.
+
+    ``commits`` holds ``registry`` (as :func:`discover` makes it) and ``manifest``; ``keys`` has a row a page: name, keys (ord, key_no,
+    ja, zh). Another run that published meanwhile makes this one a :class:`Conflict`; its answers are files by then, so nothing is
+    asked for again by a caller that passes them as ``fetch``.
+    """
+    version = commits.version()
+    manifest = commits.read("manifest", version)
+    done = update(recent, commits.read("registry", version), manifest, current, fetch, base, at, max_attempts, lambda rows: commits.stage("answers", rows))
+    texts = done.parsed.chunks.filter("translate").select(F.col("name").alias("slug"), F.col("i").alias("ord"), F.col("text").alias("ja"))
+    known = commits.tables(version)
+    if "keys" in known:
+        old = commits.read("keys", version).join(done.snapshots.select("name"), "name", "left_semi").select(F.col("name").alias("slug"), F.inline("keys"))
+    else:
+        old = commits.spark.createDataFrame([], f"slug string, {KEYS}")
+    carried = memory.carry_over(old, texts, norm).groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("ord", "key_no", "ja", "zh"))).alias("keys"))
+    keys = done.parsed.fragments.select("name").join(carried.withColumnRenamed("slug", "name"), "name", "left")
+    keys = keys.select("name", F.coalesce("keys", F.array()).alias("keys"))
+    before = manifest.select(*(F.col(c).alias(f"_{c}") for c in manifest.columns))
+    same = F.lit(True)
+    for c in manifest.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    touched = done.manifest.join(before, F.col("name") == F.col("_name"), "left").filter(~same).select(*manifest.columns)
+    return commits.commit({
+        "manifest": Change(touched, ["name"]), "snapshots": Change(done.snapshots, ["name"]),
+        "fragments": Change(done.parsed.fragments, ["name"]), "keys": Change(keys, ["name"]),
+    }, read=version)
+
+
+def open_items(commits: Commits, version: int | None = None) -> DataFrame:
+    """The texts of a version that have no translation yet: name, key_no, ja."""
+    return commits.read("keys", version).select("name", F.inline("keys")).filter("coalesce(zh, '') = ''").select("name", "key_no", "ja")
+
+
+def filled(commits: Commits, translations: DataFrame) -> int:
+    """Publish translations (name, key_no, zh) of a version's keys; keys that the version lacks are left out."""
+
+    def change(version: int) -> dict[str, Change]:
+        rows = commits.read("keys", version).join(translations.select("name").distinct(), "name", "left_semi").select("name", F.inline("keys"))
+        new = translations.groupBy("name", "key_no").agg(F.max("zh").alias("_zh"))
+        both = rows.join(new, ["name", "key_no"], "left").withColumn("zh", F.coalesce("_zh", "zh"))
+        return {"keys": Change(both.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("ord", "key_no", "ja", "zh"))).alias("keys")), ["name"])}
+
+    return retried(commits, change)

@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from palimpsest.functions import dom
 from palimpsest.plans.catalog import ORACLES, QUERIES
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations client_changes".split()
 
 
 @pytest.fixture(scope="module")
