@@ -231,20 +231,42 @@ def rewrite(root: Node, rules: list[Rule]) -> None:
                 waiting.extend(reversed(make(child)))
 
 
-def rewrite_links(body: Node, name_of: Callable[[str], str | None], slugs: dict[str, str], url_of: Callable[[str], str]) -> None:
-    """Links to known pages become routes; links to other pages and sites leave in a new window."""
-    for a in body.find("a"):
-        href = a.attrs.get("href")
-        if href is None:
-            continue
-        name = name_of(href)
-        anchor = "#" + href.split("#", 1)[1] if name is not None and "#" in href else ""
-        if name is not None and (slug := slugs.get(name)):
-            a.attrs |= {"href": f"__ROUTE__/{quote(slug)}.html{anchor}", "class": f"{a.attrs.get('class', '')} internal-link".strip()}
+# What a link of each kind carries beside its address.
+AWAY = {"target": "_blank", "rel": "noopener"}
+LINK_MARKS = {"page": ("internal-link", {}), "source": ("source-link", AWAY), "outer": ("", AWAY)}
+
+
+@dataclass
+class LinkRow:
+    """A link of a page: its element, what it points at, and the kind of that."""
+
+    at: Node
+    kind: str
+    address: str
+
+
+def link_rows(body: Node, name_of: Callable[[str], str | None], slugs: dict[str, str], url_of: Callable[[str], str]) -> list[LinkRow]:
+    """Links that change, each with its new address: a page of the site, a page of the source, another site."""
+    rows = []
+    for a, href in ((a, a.attrs["href"]) for a in body.find("a") if a.attrs.get("href") is not None):
+        name, (_, mark, part) = name_of(href), href.partition("#")
+        here = None if name is None else slugs.get(name)
+        if here:
+            rows.append(LinkRow(a, "page", f"__ROUTE__/{quote(here)}.html{mark}{part}"))
         elif name is not None:
-            a.attrs |= {"href": url_of(name) + anchor, "target": "_blank", "rel": "noopener", "class": f"{a.attrs.get('class', '')} source-link".strip()}
+            rows.append(LinkRow(a, "source", f"{url_of(name)}{mark}{part}"))
         elif href.startswith("http"):
-            a.attrs |= {"target": "_blank", "rel": "noopener"}
+            rows.append(LinkRow(a, "outer", href))
+    return rows
+
+
+def rewrite_links(body: Node, name_of: Callable[[str], str | None], slugs: dict[str, str], url_of: Callable[[str], str]) -> None:
+    """Put each link row's address and its kind's marks back at the link's place."""
+    for row in link_rows(body, name_of, slugs, url_of):
+        mark, more = LINK_MARKS[row.kind]
+        row.at.attrs |= {"href": row.address, **more}
+        if mark:
+            row.at.attrs["class"] = " ".join(filter(None, [row.at.attrs.get("class"), mark]))
 
 
 def innermost_blocks(root: Node) -> list[Node]:
@@ -279,17 +301,17 @@ def visible_text(html: str) -> str:
     return " ".join(clean(html).content(" ").split())
 
 
+NO_SPACE, NO_SIGNS = re.compile(r"\s+"), re.compile(r"[^\w　-鿿぀-ヿ]")
+
+
 def relink_contents(body: Node) -> None:
-    """Links of a table of contents point at the headings whose text they have; the first heading of a text counts."""
-    bare = lambda t: re.sub(r"[^\w　-鿿぀-ヿ]", "", re.sub(r"\s+", "", t))
-    heads: dict[str, str] = {}
-    for h in body.find("h1", "h2", "h3", "h4", "h5", "h6"):
-        if (key := bare(h.content())) and h.attrs.get("id"):
-            heads.setdefault(key, h.attrs["id"])
-    for box in body.find("div", class_="contents"):
-        for a in box.find("a"):
-            if a.attrs.get("href", "").startswith("#") and (to := heads.get(re.sub(r"\s+", "", a.content()))):
-                a.attrs["href"] = "#" + to
+    """Join the links of tables of contents with the headings on their texts without blanks (a heading's also without signs); of
+    headings with one text the first counts. Matched links point at their heading."""
+    headings = [(NO_SIGNS.sub("", NO_SPACE.sub("", h.content())), h.attrs.get("id")) for h in body.find(*(f"h{n}" for n in range(1, 7)))]
+    by_text = dict(reversed([(text, anchor) for text, anchor in headings if text and anchor]))
+    links = [(NO_SPACE.sub("", a.content()), a) for box in body.find("div", class_="contents") for a in box.find("a") if a.attrs.get("href", "")[:1] == "#"]
+    for text, a in links:
+        a.attrs["href"] = f"#{by_text[text]}" if text in by_text else a.attrs["href"]
 
 
 def cell_text(cell: Node) -> str:
