@@ -9,7 +9,7 @@ source or size is a row of its own. The sentences form one pattern factored by c
 and not the catalogue's.
 
 The catalogue has sentences of licences' own texts and headers, and short notices, which are made of names and of the forms in
-which authors write them; callers may pass their own.
+which authors write them; callers may pass their own. A name alone on a line is no notice, as it may end a sentence that wraps.
 
 Edge cases: a null or empty text has no sentences; sentences that repeat are recognised each time; rows that repeat give
 rows that repeat; an empty table gives an empty result; of other columns only ``carry`` is kept.
@@ -129,7 +129,7 @@ FORMS: list[str] = [
     "this project is licensed under the {}", "this project is licensed under the {} see the license file for details", "this project is licensed under the {} see the license md file for details",
     "this software is licensed under the {}", "this software is released under the {}", "this work is licensed under a {}", "this work is licensed under the {}", "this code is released under the {}",
     "the source code is licensed under the {}", "the gem is available as open source under the terms of the {}", "available as open source under the terms of the {}", "open source under the terms of the {}",
-    "use of this source code is governed by a {} that can be found in the license file", "this program is made available under the terms of the {}", "license {}", "the {}", "{}",
+    "use of this source code is governed by a {} that can be found in the license file", "this program is made available under the terms of the {}", "license {}",
 ]
 ADDRESSES: dict[str, list[str]] = {
     "CC-BY-4.0": ["creativecommons org licenses by 4 0"], "CC-BY-SA-4.0": ["creativecommons org licenses by sa 4 0"], "CC-BY-NC-4.0": ["creativecommons org licenses by nc 4 0"],
@@ -150,6 +150,7 @@ OTHERS: list[tuple[str, str]] = [
 ]
 
 
+NOTICE = "notice-"
 #: Further texts of sentences, by text: the identifier that they stand for.
 NOTICES: dict[str, str] = {}
 
@@ -158,9 +159,9 @@ def _catalogue() -> None:
     """Short notices of every name in every form; a licence's all have one identifier and one rule. What is known already stays."""
     known = set(SENTENCES.values())
     made = [(lic, form.format(name)) for lic, names in NAMES.items() for name in names for form in FORMS]
-    made += [(lic, form.format(address)) for lic, addresses in ADDRESSES.items() for address in addresses for form in ("http {}", "https {}", "{}")]
+    made += [(lic, form.format(address)) for lic, addresses in ADDRESSES.items() for address in addresses for form in ("http {}", "https {}")]
     for lic, text in [*made, *OTHERS]:
-        name = f"notice-{lic.lower()}"
+        name = f"{NOTICE}{lic.lower()}"
         if text not in known:
             if name not in SENTENCES:
                 SENTENCES[name] = text
@@ -200,7 +201,7 @@ def identifiers() -> dict[str, str]:
 def license_scan(docs: DataFrame, known: dict[str, str] | None = None, rules: list[tuple[str, str, list[str]]] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_recognised, sentence_ids, rules, licenses`` of each row: the number of recognised sentences, their
     identifiers in order, the names of the rules that match and the licences they find (sorted; a longer rule hides the
-    rules whose sequences it contains). Lists are joined by commas."""
+    rules whose sequences it contains, and any other rule the notices of its licence). Lists are joined by commas."""
     named = {text: name for name, text in known.items()} if known else identifiers()
     rules = rules or RULES
     ids = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
@@ -210,7 +211,8 @@ def license_scan(docs: DataFrame, known: dict[str, str] | None = None, rules: li
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(lic).alias("license"), F.lit(sequence[name]).alias("sequence"), F.array(*[F.lit(n) for n, s in sequence.items() if n != name and sequence[name] in s]).cast("array<string>").alias("inside")) for name, lic, _ in rules])
     matched = F.when(F.size("_ids") > 0, F.filter(table, lambda r: F.contains(F.col("_sequence"), r["sequence"])))
     found = found.withColumn("_all", F.coalesce(matched, F.slice(table, 1, 0)))
-    shown = F.filter("_all", lambda r: ~F.arrays_overlap(r["inside"], F.transform("_all", lambda x: x["name"])))
+    said = lambda r: F.startswith(r["name"], F.lit(NOTICE)) & F.exists("_all", lambda x: (x["license"] == r["license"]) & ~F.startswith(x["name"], F.lit(NOTICE)))
+    shown = F.filter("_all", lambda r: ~F.arrays_overlap(r["inside"], F.transform("_all", lambda x: x["name"])) & ~said(r))
     found = found.withColumn("_shown", shown)
     joined = lambda field: F.array_join(F.sort_array(F.array_distinct(F.transform("_shown", lambda r: r[field]))), ",")
     return found.select("doc_id", F.size("_ids").cast("long").alias("n_recognised"), F.array_join("_ids", ",").alias("sentence_ids"), joined("name").alias("rules"), joined("license").alias("licenses"), *carry)
@@ -239,7 +241,8 @@ t AS (SELECT doc_id, regexp_extract_all('<' || trim({steps}) || '>', '<(?:{alter
 u AS (SELECT doc_id, replace(substr(part, 2, length(part) - 2), '><', ' ') AS sentence, i FROM (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM t)),
 f AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY i) AS ids FROM u JOIN k USING (sentence) GROUP BY doc_id),
 m AS (SELECT doc_id, name, license, seq FROM f JOIN r ON contains(',' || ids || ',', seq)),
-s AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.name <> m.name AND contains(o.seq, m.seq))),
+s AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.name <> m.name AND contains(o.seq, m.seq))
+  AND NOT (starts_with(m.name, '{NOTICE}') AND EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.license = m.license AND NOT starts_with(o.name, '{NOTICE}')))),
 a AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS rules, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM s GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_recognised, coalesce(ids, '') AS sentence_ids, coalesce(rules, '') AS rules, coalesce(licenses, '') AS licenses
 FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN a ON a.doc_id = d.doc_id

@@ -4,7 +4,7 @@ from palimpsest.llm import license_scan
 
 NOTICES = [
     ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details."),
-    ("MIT", "# MIT License\n\nCopyright (c) 2020 Someone"),
+    ("", "# MIT License\n\nCopyright (c) 2020 Someone"),
     ("MIT", "License: MIT"),
     ("MIT", "The gem is available as open source under the terms of the [MIT License](https://opensource.org/licenses/MIT)."),
     ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/"),
