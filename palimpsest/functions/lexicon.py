@@ -65,6 +65,13 @@ def replace_all(text: Column, table: dict[str, str]) -> Column:
     return text
 
 
+def replace_rules(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
+    """Replace by one regular expression after the other; ``$1`` and on in a replacement stand for the pattern's groups."""
+    for pattern, replacement in rules:
+        text = F.regexp_replace(text, pattern, replacement)
+    return text
+
+
 def align_segments(source: Column, target: Column, table: dict[str, str]) -> Column:
     """Where source and target have equally many segments, those of the target whose source segment is a key get its value."""
     values = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])

@@ -157,6 +157,13 @@ def filled_templates(spark, sf):
     return rows.select(long("p_partkey").alias("part"), lexicon.restore_keys(template, values).alias("html"))
 
 
+@query("""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(text, '([a-z]+)ing\\b', '<\\1>', 'g'), '<([a-z]{1,3})>', '\\1+\\1', 'g'), '\\s+$', '')) AS digest FROM documents""")
+def rule_chain(spark, sf):
+    """Rules with groups, one after the other: the second one sees what the first one wrote."""
+    rules = [(r"([a-z]+)ing\b", "<$1>"), (r"<([a-z]{1,3})>", "$1+$1"), (r"\s+$", "")]
+    return table(spark, sf, "documents").select("doc_id", F.md5(F.encode(lexicon.replace_rules(F.col("text"), rules), "UTF-8")).alias("digest"))
+
+
 # ------------------------------------------------------------------ numbers in effect texts
 
 
