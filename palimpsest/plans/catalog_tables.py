@@ -99,6 +99,26 @@ def navigation_rows(spark, sf):
     return registry.navigation(wanted, links.withColumn("name", F.trim("name")), {}, {})
 
 
+@query("""SELECT node, depth, listed FROM (SELECT r_name AS node, 0 AS depth, true AS listed FROM region UNION ALL SELECT n_name, 1, true FROM nation JOIN region ON r_regionkey = n_regionkey UNION ALL SELECT DISTINCT s_name, 0, false FROM supplier UNION ALL SELECT DISTINCT c_name, 0, false FROM customer)""")
+def navigation_list(spark, sf):
+    """Nations below regions, then the suppliers and customers that no list has."""
+    region, nation = table(spark, sf, "region"), table(spark, sf, "nation")
+    edges = region.select(F.lit("root").alias("parent"), F.col("r_name").alias("node"), F.col("r_regionkey").alias("ord"))
+    edges = edges.unionByName(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("parent"), F.col("n_name").alias("node"), F.col("n_nationkey").alias("ord")))
+    names = lambda name, column, key: table(spark, sf, name).select(F.col(column).alias("name"), F.col(key).alias("ord"))
+    pages = names("supplier", "s_name", "s_suppkey").unionByName(names("customer", "c_name", "c_custkey")).unionByName(names("nation", "n_name", "n_nationkey"))
+    return registry.navigation_list(edges, "root", pages).select("node", "depth", "listed")
+
+
+@query("""SELECT lang, count(*) AS n FROM documents WHERE source IS NULL OR source NOT IN (SELECT source FROM documents WHERE source IS NOT NULL GROUP BY source HAVING count(*) * 25 < (SELECT count(*) FROM documents)) GROUP BY lang""")
+def unprotected_texts(spark, sf):
+    """Documents by language, but those of sources with under a twenty-fifth of all, which are protected."""
+    docs = table(spark, sf, "documents").select("source", "lang")
+    total = docs.agg(count().alias("total"))
+    small = docs.filter("source IS NOT NULL").groupBy("source").agg(count().alias("n")).join(F.broadcast(total), F.col("n") * 25 < F.col("total"))  # one row
+    return registry.unprotected(docs, "source", small.select(F.col("source").alias("name"))).groupBy("lang").agg(count().alias("n"))
+
+
 # ------------------------------------------------------------------ texts
 
 

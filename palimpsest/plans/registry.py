@@ -135,3 +135,16 @@ def tree(edges: DataFrame, root: str) -> DataFrame:
         level = level.drop("_again")
         found = found.unionByName(level)
     return found.drop("_up")
+
+
+def navigation_list(edges: DataFrame, root: str, pages: DataFrame) -> DataFrame:
+    """:func:`tree` with the ``pages`` (name, ord) that it doesn't reach behind it, on the first level: node, path, depth, sort, listed."""
+    listed = tree(edges, root).withColumn("listed", F.lit(True))
+    rest = pages.filter("name IS NOT NULL").groupBy("name").agg(F.min("ord").alias("ord")).join(listed.select(F.col("node").alias("name")), "name", "left_anti")
+    place = F.concat(F.lit("~"), F.lpad(F.col("ord").cast("string"), 9, "0"))  # behind all digits
+    return listed.unionByName(rest.select(F.col("name").alias("node"), F.col("name").alias("path"), F.lit(0).alias("depth"), place.alias("sort"), F.lit(False).alias("listed")))
+
+
+def unprotected(rows: DataFrame, name: str, protected: DataFrame) -> DataFrame:
+    """``rows`` but those whose page is ``protected`` (name): its texts are kept as they are. Rows without a page stay."""
+    return rows.join(protected.select(F.col("name").alias("_name")).distinct(), F.col(name) == F.col("_name"), "left_anti")
