@@ -87,9 +87,10 @@ def pivot_with_total(rows: DataFrame, row: str, column: str, values: list[str])
     return rows.groupBy(row).agg(*counts, F.count(F.lit(1)).alias("all"))
 
 
-def ordered_groups(rows: DataFrame, group: str, groups: list[str], order: str, value: str) -> DataFrame:
-    """Each group's values in order; groups without rows keep an empty list."""
-    dimension = rows.sparkSession.createDataFrame([(i, g) for i, g in enumerate(groups)], "position int, group_name string")
+def ordered_groups(rows: DataFrame, group: str, groups: list[str] | DataFrame, order: str, value: str) -> DataFrame:
+    """Each group's values in order; groups without rows keep an empty list. ``groups``: names in order, or a table (position,
+    group_name)."""
+    dimension = groups if isinstance(groups, DataFrame) else rows.sparkSession.createDataFrame(list(enumerate(groups)), "position int, group_name string")
     lists = rows.groupBy(F.col(group).alias("_g")).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_order"), F.col(value).alias("_value")))), lambda x: x["_value"]).alias("members"))
     return dimension.join(lists, F.col("group_name") == F.col("_g"), "left").select("position", "group_name", F.coalesce("members", F.array().cast(dict(lists.dtypes)["members"])).alias("members"))
 

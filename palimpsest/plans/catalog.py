@@ -467,7 +467,8 @@ def pivot_margin(spark, sf):
 @query("""SELECT r_name AS group_name, coalesce(string_agg(n_name, ',' ORDER BY n_nationkey), '') AS members FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name
 UNION ALL SELECT 'ATLANTIS', ''""")
 def group_ordered_list(spark, sf):
-    groups = [r["r_name"] for r in table(spark, sf, "region").orderBy("r_regionkey").collect()] + ["ATLANTIS"]  # regions: a fixed handful
+    groups = table(spark, sf, "region").select(F.col("r_regionkey").alias("position"), F.col("r_name").alias("group_name"))
+    groups = groups.unionByName(spark.createDataFrame([(99, "ATLANTIS")], "position int, group_name string"))
     rows = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     return order.ordered_groups(rows, "r_name", groups, "n_nationkey", "n_name").select("group_name", F.array_join("members", ",").alias("members"))
 

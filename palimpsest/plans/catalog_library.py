@@ -151,7 +151,7 @@ def queue_left(spark, sf):
 @query("""SELECT r_name AS group_name, coalesce(string_agg(n_name || '|' || n_nationkey || '|https://wiki.example/index.php?' || url_encode(n_name), ',' ORDER BY n_nationkey), '') AS pages FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY 1""")
 def mirrored_groups(spark, sf):
     region = table(spark, sf, "region")
-    groups = [r["r_name"] for r in region.orderBy("r_regionkey").collect()]  # a fixed handful
+    groups = region.select(F.col("r_regionkey").alias("position"), F.col("r_name").alias("group_name"))
     rows = table(spark, sf, "nation").join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", F.col("n_nationkey").alias("ord"), F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("slug"))
     plan = registry.mirror_plan(rows, F.col("r_name"), groups, BASE)
     return plan.select("group_name", F.array_join(F.transform("members", lambda m: F.concat_ws("|", m["name"], m["slug"], m["url"])), ",").alias("pages"))

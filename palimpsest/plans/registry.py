@@ -51,7 +51,7 @@ def entity_rows(cells: DataFrame, base: str) -> DataFrame:
     return first_by(links.select("page", "name", F.col("_r").alias("rarity"), "ord"), ["page", "name"], ["ord"]).withColumn("slug", F.concat(F.lit("characters/"), "name"))
 
 
-def mirror_plan(registry: DataFrame, group_of: Column, groups: list[str], base: str) -> DataFrame:
+def mirror_plan(registry: DataFrame, group_of: Column, groups: list[str] | DataFrame, base: str) -> DataFrame:
     """Every group in its order with its pages (name, slug, url) in the registry's; empty groups stay."""
     rows = registry.withColumn("_group", group_of).withColumn("page", F.struct("name", "slug", page_url(F.col("name"), base).alias("url")))
     return ordered_groups(rows, "_group", groups, "ord", "page")
