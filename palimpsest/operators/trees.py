@@ -33,6 +33,8 @@ _OPTIONAL = {
 }
 #: Places that share a row of the range join.
 SEGMENT = 1024
+#: Characters of pages to a task: shuffled tags are small, so Spark would put too many into one.
+TASK_CHARACTERS = 4 << 20
 
 
 def tokens(pages: DataFrame, page: str, html: str) -> DataFrame:
@@ -65,9 +67,15 @@ def _levels(rows: DataFrame, keys: list[str], step: Column) -> DataFrame:
     return rows.withColumn("_level", F.when(F.col("_step") < 0, before).otherwise(F.col("_sum") - F.col("_low"))).drop("_step", "_sum", "_low")
 
 
-def elements(found: DataFrame) -> DataFrame:
+def tasks(pages: DataFrame, html: str) -> int:
+    """How many tasks keep each one's share of pages small, whatever the input's size."""
+    return (pages.agg(F.sum(F.length(html))).first()[0] or 0) // TASK_CHARACTERS + 1
+
+
+def elements(found: DataFrame, parts: int | None = None) -> DataFrame:
     """``page, node, until, tag, attrs``: each element from its opening tag's place to the place where it ends, which is its
-    own if it holds nothing. The page itself is the element with the empty tag."""
+    own if it holds nothing. The page itself is the element with the empty tag. ``parts``: :func:`tasks`, else Spark's choice."""
+    found = found.repartition(parts, "page") if parts else found
     optional = sorted({t for own, _, _ in _OPTIONAL.values() for t in own})
     after = Window.partitionBy("page").orderBy(F.col("ord").desc()).rowsBetween(Window.unboundedPreceding, -1)
     block = F.last(F.when(F.col("tag").isin(*CONTAINERS), F.col("ord")), ignorenulls=True).over(after)
@@ -94,20 +102,28 @@ def elements(found: DataFrame) -> DataFrame:
     return every.select("page", F.col("ord").alias("node"), F.coalesce("until", left_open).alias("until"), "tag", "attrs")
 
 
-def structural_join(outer: DataFrame, inner: DataFrame) -> DataFrame:
+def _met(outer: DataFrame, inner: DataFrame, parts: int | None, carry: tuple[str, ...] = ()) -> DataFrame:
+    segments = F.sequence(F.floor(F.col("node") / SEGMENT), F.floor(F.col("until") / SEGMENT))
+    a = outer.select("page", F.col("node").alias("ancestor"), "until", *carry, F.explode(segments).alias("_segment"))
+    d = inner.select("page", "node", F.floor(F.col("node") / SEGMENT).alias("_segment"))
+    if parts:
+        a, d = a.repartition(parts, "page", "_segment"), d.repartition(parts, "page", "_segment")
+    return a.join(d, ["page", "_segment"]).filter("ancestor < node AND node < until")
+
+
+def structural_join(outer: DataFrame, inner: DataFrame, parts: int | None = None) -> DataFrame:
     """``page, ancestor, node``: each of ``outer`` (page, node, until) with each of ``inner`` (page, node) that begins inside.
 
     Pages are cut into segments of places: an outer row goes to each segment that it reaches into, an inner one to its own, so
     that a long page isn't met as a whole by one task."""
-    segments = F.sequence(F.floor(F.col("node") / SEGMENT), F.floor(F.col("until") / SEGMENT))
-    a = outer.select("page", F.col("node").alias("ancestor"), "until", F.explode(segments).alias("_segment"))
-    d = inner.select("page", "node", F.floor(F.col("node") / SEGMENT).alias("_segment"))
-    return a.join(d, ["page", "_segment"]).filter("ancestor < node AND node < until").select("page", "ancestor", "node")
+    return _met(outer, inner, parts).select("page", "ancestor", "node")
 
 
-def nearest_ancestor(outer: DataFrame, inner: DataFrame) -> DataFrame:
-    """``page, node, ancestor``: of the outer rows that each inner one begins inside the last to begin."""
-    return structural_join(outer, inner).groupBy("page", "node").agg(F.max("ancestor").alias("ancestor"))
+def nearest_ancestor(outer: DataFrame, inner: DataFrame, parts: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``page, node, ancestor``: of the outer rows that each inner one begins inside the last to begin, with its columns ``carry``.
+    An inner row has one segment, so its ancestors meet where they were joined."""
+    last = F.max(F.struct("ancestor", *carry)).alias("_last")
+    return _met(outer, inner, parts, carry).groupBy("page", "_segment", "node").agg(last).select("page", "node", "_last.*")
 
 
 def inline_runs(found: DataFrame, source: str, boundary: Column | None = None, least: int = 2) -> DataFrame:

@@ -36,19 +36,19 @@ _PARTS = {"nav": "regexp_extract(h, '(?s)<nav>(.*?)</nav>', 1)", "article": "reg
   SELECT page_id, unnest({list(_PARTS)}) AS part, unnest([{', '.join(f"CAST(len(regexp_extract_all({p}, '<(a|b|p)[ >]')) AS BIGINT)" for p in _PARTS.values())}]) AS n FROM (SELECT page_id, {_CLEAN} AS h FROM pages)) WHERE n > 0""")
 def nearest_part(spark, sf):
     """Of each link, paragraph and bold text the part of the page that it stands in, by page."""
-    nodes = trees.elements(_tokens(spark, sf))
-    parts = nodes.filter(F.col("tag").isin(*_PARTS))
-    found = trees.nearest_ancestor(parts, nodes.filter(F.col("tag").isin("a", "b", "p")))
-    named = found.join(parts.select("page", F.col("node").alias("ancestor"), F.col("tag").alias("part")), ["page", "ancestor"])
-    return named.groupBy(F.col("page").alias("page_id"), "part").agg(count().alias("n"))
+    n = trees.tasks(table(spark, sf, "pages"), "html")
+    nodes = trees.elements(_tokens(spark, sf), n)
+    found = trees.nearest_ancestor(nodes.filter(F.col("tag").isin(*_PARTS)), nodes.filter(F.col("tag").isin("a", "b", "p")), n, ("tag",))
+    return found.groupBy(F.col("page").alias("page_id"), F.col("tag").alias("part")).agg(count().alias("n"))
 
 
 @query(f"""SELECT page_id, CAST(count(*) AS BIGINT) AS pairs FROM (
   SELECT page_id, unnest(regexp_extract_all({_PARTS['nav']}, '(?s)<li>.*?</li>')) AS li FROM (SELECT page_id, {_CLEAN} AS h FROM pages)), (SELECT unnest(range(3)) AS i) WHERE contains(li, '<a ') GROUP BY page_id""")
 def structural_pairs(spark, sf):
     """(ancestor, link) for the lists, items and bars above each link: three each."""
-    nodes = trees.elements(_tokens(spark, sf))
-    found = trees.structural_join(nodes.filter(F.col("tag").isin("ul", "li", "nav")), nodes.filter("tag = 'a'"))
+    n = trees.tasks(table(spark, sf, "pages"), "html")
+    nodes = trees.elements(_tokens(spark, sf), n)
+    found = trees.structural_join(nodes.filter(F.col("tag").isin("ul", "li", "nav")), nodes.filter("tag = 'a'"), n)
     return found.groupBy(F.col("page").alias("page_id")).agg(count().alias("pairs"))
 
 

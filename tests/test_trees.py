@@ -128,3 +128,20 @@ def test_inline_runs(spark, made):
         want = {p: runs for p, html in pages if (runs := plain_runs(html, source))}
         assert got == want
     assert got == want and want
+
+
+def test_in_given_parts(spark, made, monkeypatch):
+    """The number of tasks follows the pages' size, and doesn't change what is found."""
+    pages, df = made
+    assert trees.tasks(df.limit(0), "html") == 1
+    monkeypatch.setattr(trees, "TASK_CHARACTERS", 1000)
+    n = trees.tasks(df, "html")
+    assert n == sum(len(h) for _, h in pages) // 1000 + 1
+    found = trees.tokens(df, "page", "html")
+    nodes, plain = trees.elements(found, n), trees.elements(found)
+    assert nodes.filter("tag <> ''").rdd.getNumPartitions() >= n
+    inner = plain.filter("node > 0")
+    want = {(r.page, r.node, r.ancestor) for r in trees.nearest_ancestor(inner, inner).collect()}
+    got = trees.nearest_ancestor(nodes.filter("node > 0"), inner, n, ("tag",)).collect()
+    tags = {(r.page, r.node): r.tag for r in inner.collect()}
+    assert want and {(r.page, r.node, r.ancestor) for r in got} == want and all(tags[r.page, r.ancestor] == r.tag for r in got)
