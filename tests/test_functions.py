@@ -2,6 +2,7 @@
 
 import difflib
 import hashlib
+import random
 import re
 import unicodedata
 from urllib.parse import quote
@@ -253,3 +254,19 @@ def test_keyed():
 
 def test_deep_pages():
     assert dom.visible_text("<div>" * 3000 + "x") == "x"
+
+
+def test_ratio_as_difflib():
+    """Also of long texts, where frequent characters are left out at first."""
+    r = random.Random(8)
+    for letters in ("ab", "abcé😀", "etaoin shrdlu" * 3 + "".join(map(chr, range(0x3041, 0x3090)))):
+        for n in (0, 1, 30, 199, 200, 450):
+            x = "".join(r.choice(letters) for _ in range(n))
+            y = list(x)
+            for _ in range(5):
+                at = r.randrange(len(y) + 1)
+                y[at : at + r.randrange(9)] = [r.choice(letters) for _ in range(r.randrange(9))]
+            for b in ("".join(y), x, "", "".join(r.choice(letters) for _ in range(n))):
+                assert python.ratio(x, b) == difflib.SequenceMatcher(None, x, b).ratio()
+    x = "".join(r.choice("etaoin shrdlu" * 3 + "".join(map(chr, range(0x3041, 0x3090)))) for _ in range(3000))
+    assert python.ratio(x, x[::2] + x) == 6000 / 7500
