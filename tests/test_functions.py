@@ -270,3 +270,16 @@ def test_ratio_as_difflib():
                 assert python.ratio(x, b) == difflib.SequenceMatcher(None, x, b).ratio()
     x = "".join(r.choice("etaoin shrdlu" * 3 + "".join(map(chr, range(0x3041, 0x3090)))) for _ in range(3000))
     assert python.ratio(x, x[::2] + x) == 6000 / 7500
+
+
+def test_templates_in_long_texts(spark):
+    """In time that doesn't grow with the square of a stretch without x."""
+    df = spark.createDataFrame([("1" + "y" * 400_000,), ("1" + "y" * 400_000 + "x10",)], "t string")
+    assert [r[0] for r in df.select(text.is_numeric_template(df.t)).collect()] == [False, True]
+
+
+def test_segments_are_cut_once(spark):
+    df = spark.createDataFrame([("a, b", "c, d"), ("a, b", "c"), (None, "c"), ("a", None)], "s string, t string")
+    done = df.select(lexicon.align_segments(df.s, df.t, {"a": "A"}).alias("r"))
+    assert [r.r for r in done.collect()] == ["A, d", "c", "c", None]
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 2
